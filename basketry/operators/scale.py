@@ -70,7 +70,7 @@ def running_totals(
     inside = W.partitionBy(*group, "_range").orderBy(*order_cols)
     so_far = inside.rowsBetween(W.unboundedPreceding, 0)
     return (
-        ranged.join(offsets, [*group, "_range"])
+        ranged.join(offsets, [*group, "_range"], "left")
         .withColumns(
             {f"{n}_running": F.col(f"_b_{n}") + F.sum(f"_s_{n}").over(so_far) for n in sums}
             | {

@@ -8,7 +8,20 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.operators import churn, cleaning, daily, inventory, profile, rfm
+from basketry.operators import (
+    churn,
+    cleaning,
+    daily,
+    drift,
+    evaluation,
+    inventory,
+    profile,
+    rfm,
+    runs,
+    segmentation,
+    series,
+    serving,
+)
 from basketry.plans import prepared as P
 from basketry.sources import readers
 from basketry.sources.schemas import SOURCE_COLUMNS
@@ -289,3 +302,355 @@ def reorder_trigger(spark, sf_dir):
         "stock_code", "on_hand", "reorder_point", "should_reorder", "recommended_order_qty"
     )
     return P.rounded(table, 5, "reorder_point", "recommended_order_qty")
+
+
+# --- time series ----------------------------------------------------------------------------
+
+
+def _split(spark, sf_dir):
+    return series.train_test_split(P.demand(spark, sf_dir), P.TEST_DAYS, P.VALIDATION_DAYS)
+
+
+@query
+def diff1(spark, sf_dir):
+    return series.first_difference(P.demand(spark, sf_dir))
+
+
+@query
+def decompose(spark, sf_dir):
+    table = series.decompose(P.demand(spark, sf_dir))
+    return P.rounded(table, 6, "trend", "seasonal", "resid")
+
+
+@query
+def seasonal_by_dow(spark, sf_dir):
+    table = series.seasonal_by_weekday(series.decompose(P.demand(spark, sf_dir)))
+    return P.rounded(table, 6, "mean_seasonal")
+
+
+@query
+def stationarity_verdict(spark, sf_dir):
+    """Verdict per series from two simple flags that stand in for the test results."""
+    stats = P.demand(spark, sf_dir).groupBy("series_id").agg(
+        (F.max("ds") > F.lit("2001-07-30").cast("date")).alias("adf_stationary"),
+        (F.count_if(F.col("y") == 0) < 10).alias("kpss_stationary"),
+    )
+    verdict = series.stationarity_verdict(F.col("adf_stationary"), F.col("kpss_stationary"))
+    return stats.withColumn("verdict", verdict)
+
+
+@query
+def series_features(spark, sf_dir):
+    demand = P.demand(spark, sf_dir)
+    table = series.series_features(demand, series.uk_holidays(demand))
+    return P.rounded(table, 9, "dow_sin", "dow_cos")
+
+
+@query
+def ts_split(spark, sf_dir):
+    return _split(spark, sf_dir).select("series_id", "ds", "split")
+
+
+@query
+def scale_series(spark, sf_dir):
+    table = series.scale_series(_split(spark, sf_dir))
+    return P.rounded(table.select("series_id", "ds", "y_mean", "y_std", "y_scaled"), 6, "y_mean", "y_std", "y_scaled")
+
+
+@query
+def lag_windows(spark, sf_dir):
+    windows = series.lag_windows(series.scale_series(_split(spark, sf_dir)), 14)
+    table = windows.select("series_id", "ds", "split", F.posexplode("window").alias("pos", "step"))
+    return P.rounded(table.withColumn("step", F.col("step")[0]), 6, "step")
+
+
+@query
+def naive_forecast(spark, sf_dir):
+    return series.naive_seasonal(_split(spark, sf_dir)).select("series_id", "ds", "y", "naive")
+
+
+# --- forecast evaluation and ensemble ---------------------------------------------------------
+# Two simple forecasts stand in for the models: lag 7 and the mean of the previous 7 rows.
+
+
+def _stand_in_forecasts(spark, sf_dir):
+    rows = series.in_order().rowsBetween(-7, -1)
+    return _split(spark, sf_dir).select(
+        "series_id",
+        "ds",
+        "split",
+        F.col("y").alias("actual"),
+        F.lag("y", 7).over(series.in_order()).alias("additive_pred"),
+        F.avg("y").over(rows).alias("sequence_pred"),
+    )
+
+
+def _val_and_test(spark, sf_dir):
+    rows = _stand_in_forecasts(spark, sf_dir)
+    return rows.filter("split = 'val'").drop("split"), rows.filter("split = 'test'").drop("split")
+
+
+@query
+def forecast_eval(spark, sf_dir):
+    _, test = _val_and_test(spark, sf_dir)
+    table = evaluation.evaluate_forecasts(test, ["additive_pred", "sequence_pred"])
+    return P.rounded(table, 6, "mae", "rmse", "mape")
+
+
+@query
+def ape_by_dow(spark, sf_dir):
+    _, test = _val_and_test(spark, sf_dir)
+    return P.rounded(evaluation.ape_by_weekday(test, ["additive_pred", "sequence_pred"]), 6, "ape")
+
+
+@query
+def weight_sweep(spark, sf_dir):
+    val, _ = _val_and_test(spark, sf_dir)
+    return P.rounded(evaluation.weight_sweep(val), 6, "mape")
+
+
+@query
+def best_weight(spark, sf_dir):
+    val, _ = _val_and_test(spark, sf_dir)
+    return evaluation.best_weight(evaluation.weight_sweep(val))
+
+
+@query
+def day_type_weights(spark, sf_dir):
+    val, _ = _val_and_test(spark, sf_dir)
+    return evaluation.day_type_weights(val)
+
+
+@query
+def ensemble_apply(spark, sf_dir):
+    val, test = _val_and_test(spark, sf_dir)
+    table = evaluation.apply_weights(
+        test, evaluation.best_weight(evaluation.weight_sweep(val)), evaluation.day_type_weights(val)
+    )
+    return P.rounded(table, 6, "sequence_pred", "ensemble_global", "ensemble_day_type")
+
+
+# --- segments and risk ------------------------------------------------------------------------
+# Clusters stand in as customer_id % 6 with every 50th customer as noise, risk scores as recency
+# relative to the longest recency.
+
+
+def _rfm(spark, sf_dir):
+    return rfm.compute_rfm(P.customers(spark, sf_dir))
+
+
+def _clustered(table):
+    noise = F.col("customer_id") % 50 == 0
+    return table.withColumn("cluster", F.when(noise, -1).otherwise(F.col("customer_id") % 6).cast("int"))
+
+
+@query
+def scaled_rfm(spark, sf_dir):
+    table = segmentation.scaled_rfm(_rfm(spark, sf_dir)).select("customer_id", *segmentation.SCALED)
+    return P.rounded(table, 6, *segmentation.SCALED)
+
+
+@query
+def label_segments(spark, sf_dir):
+    return segmentation.label_segments(_clustered(_rfm(spark, sf_dir)))
+
+
+@query
+def davies_bouldin(spark, sf_dir):
+    labelled = _clustered(segmentation.scaled_rfm(_rfm(spark, sf_dir)))
+    return P.rounded(segmentation.davies_bouldin(labelled, segmentation.SCALED), 6, "davies_bouldin")
+
+
+def _segments(spark, sf_dir):
+    return rfm.add_rfm_scores(_rfm(spark, sf_dir)).withColumnRenamed("rfm_segment", "segment_name")
+
+
+def _risk(spark, sf_dir):
+    """Stand-in scores for the customers active by the cutoff, with their churn label."""
+    table = churn.churn_dataset(P.customers(spark, sf_dir), P.CUTOFF, home_country=P.HOME)
+    score = F.pmod(F.col("customer_id") * 37 + F.col("recency_days"), F.lit(1000)) / 1000.0
+    return table.withColumn("churn_probability", score)
+
+
+def _scored(spark, sf_dir):
+    """Scores in steps of 0.01, so that many customers tie."""
+    return _risk(spark, sf_dir).select(
+        "customer_id",
+        (F.floor(F.round(F.col("churn_probability") * 1000) / 10) / 100.0).alias("score"),
+        F.col("churned").alias("label"),
+    )
+
+
+@query
+def segment_profile(spark, sf_dir):
+    return serving.segment_profile(_segments(spark, sf_dir))
+
+
+@query
+def risk_by_segment(spark, sf_dir):
+    table = serving.risk_by_segment(_segments(spark, sf_dir), _risk(spark, sf_dir))
+    return P.rounded(table, 6, "churn_probability")
+
+
+@query
+def risk_list(spark, sf_dir):
+    return serving.risk_list(
+        _segments(spark, sf_dir), _risk(spark, sf_dir), 0.5, ["champions", "lost", "regular"]
+    )
+
+
+@query
+def kpis(spark, sf_dir):
+    return serving.kpis(
+        daily.daily_aggregates(P.completed(spark, sf_dir)), _rfm(spark, sf_dir), _risk(spark, sf_dir)
+    ).drop("total_revenue_text")
+
+
+@query
+def inventory_search(spark, sf_dir):
+    table = serving.inventory_search(_recommended(spark, sf_dir), "RING", sort_by="reorder_point")
+    return P.rounded(table, 4, "daily_demand_mean", "safety_stock", "reorder_point", "eoq")
+
+
+@query
+def report_top10(spark, sf_dir):
+    return serving.report_top10(_risk(spark, sf_dir), _recommended(spark, sf_dir)).drop("detail")
+
+
+@query
+def precision_at_k(spark, sf_dir):
+    return P.rounded(evaluation.precision_at_top_k(_scored(spark, sf_dir), "customer_id"), 6, "precision")
+
+
+@query
+def precision_curve(spark, sf_dir):
+    fractions = [i / 20 for i in range(1, 21)]
+    table = evaluation.precision_curve(_scored(spark, sf_dir), "customer_id", fractions)
+    return P.rounded(table, 6, "precision")
+
+
+@query
+def roc_curve(spark, sf_dir):
+    return P.rounded(evaluation.roc_curve(_scored(spark, sf_dir)), 9, "fpr", "tpr")
+
+
+@query
+def churn_eval(spark, sf_dir):
+    table = evaluation.classification_metrics(_scored(spark, sf_dir), "customer_id")
+    return P.rounded(table, 9, *table.columns)
+
+
+# --- drift and runs -----------------------------------------------------------------------------
+
+
+def _churn_snapshots(spark, sf_dir):
+    return drift.churn_snapshots(P.customers(spark, sf_dir), P.REFERENCE_CUTOFF, P.CUTOFF, P.HOME)
+
+
+def _demand_snapshots(spark, sf_dir):
+    return drift.demand_snapshots(P.daily_flagged(spark, sf_dir), P.DEMAND_SPLIT, P.DEMAND_FROM)
+
+
+def _distances(table, *columns):
+    return P.rounded(table.select("column", "n_reference", "n_current", *columns), 6, *columns)
+
+
+@query
+def drift_ks(spark, sf_dir):
+    table = drift.drift_distances(_demand_snapshots(spark, sf_dir), drift.DEMAND_COLUMNS)
+    return _distances(table, "ks_distance", "ks_p_value")
+
+
+@query
+def drift_wasserstein(spark, sf_dir):
+    table = drift.drift_distances(_churn_snapshots(spark, sf_dir), drift.CHURN_COLUMNS)
+    return _distances(table, "wasserstein_normed")
+
+
+@query
+def drift_churn(spark, sf_dir):
+    table = drift.drift_summary(_churn_snapshots(spark, sf_dir), drift.CHURN_COLUMNS)
+    return P.rounded(table, 6, "value")
+
+
+@query
+def drift_demand(spark, sf_dir):
+    table = drift.drift_summary(_demand_snapshots(spark, sf_dir), drift.DEMAND_COLUMNS)
+    return P.rounded(table, 6, "value")
+
+
+def _checked(spark, sf_dir):
+    return drift.check_drift(_churn_snapshots(spark, sf_dir), _demand_snapshots(spark, sf_dir))
+
+
+@query
+def drift_share(spark, sf_dir):
+    return P.rounded(_checked(spark, sf_dir), 6, "drifted_share")
+
+
+@query
+def retrain_targets(spark, sf_dir):
+    return drift.retrain_targets(_checked(spark, sf_dir))
+
+
+def _runs(spark, sf_dir):
+    """Run records that stand in for logged runs: one per event type and user."""
+    groups = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type", "user_id").agg(
+        F.min("ts").alias("start_time"),
+        F.max("ts").alias("end_time"),
+        F.max("value").alias("high"),
+        F.min("value").alias("low"),
+    )
+    metrics = F.create_map(
+        F.lit("mape"), F.col("low"), F.lit("auc"), F.col("high") / 500, F.lit("precision"), F.col("high") / 400
+    )
+    return groups.select(
+        F.concat_ws("-", "event_type", F.col("user_id").cast("string")).alias("run_id"),
+        F.lit(None).cast("string").alias("parent_run_id"),
+        F.col("event_type").alias("experiment"),
+        F.concat(F.lit("run_"), (F.col("user_id") % 7).cast("string")).alias("run_name"),
+        "start_time",
+        "end_time",
+        F.create_map(F.lit("user"), F.col("user_id").cast("string")).alias("params"),
+        metrics.alias("metrics"),
+    )
+
+
+RUN_METRICS = ["mape", "auc", "precision"]
+
+
+@query
+def latest_run(spark, sf_dir):
+    return runs.latest_runs(_runs(spark, sf_dir), RUN_METRICS).drop("start_time")
+
+
+@query
+def best_run(spark, sf_dir):
+    return runs.best_run(_runs(spark, sf_dir), "mape")
+
+
+@query
+def constraints(spark, sf_dir):
+    latest = runs.latest_runs(_runs(spark, sf_dir), RUN_METRICS)
+    return runs.constraints(
+        latest,
+        [
+            ("churn", "signup", "run_1", "auc", ">=", runs.AUC_TARGET),
+            ("churn", "signup", "run_1", "precision", ">=", runs.PRECISION_TARGET),
+            ("forecast", "purchase", "run_2", "mape", "<=", runs.MAPE_TARGET),
+        ],
+    )
+
+
+@query
+def model_evolution(spark, sf_dir):
+    return runs.model_evolution(
+        _runs(spark, sf_dir),
+        [
+            ("manual sweep", "signup", "run_1", "auc"),
+            ("search", "signup", "run_3", "auc"),
+            ("additive", "purchase", "run_2", "mape"),
+            ("sequence", "purchase", "run_4", "mape"),
+            ("ensemble", "purchase", "run_5", "mape"),
+        ],
+    )

@@ -425,3 +425,373 @@ SELECT stock_code, on_hand, round(reorder_point, 5) AS reorder_point, on_hand <
 FROM reco JOIN (SELECT CAST(p_partkey AS VARCHAR) AS stock_code, CAST(p_partkey % 40 AS DOUBLE) AS on_hand
                 FROM part) USING (stock_code)
 """)
+
+# --- time series ---
+DOW = "CAST(isodow(ds) - 1 AS INTEGER)"
+cte("ts_split", "demand", """
+SELECT series_id, ds, y, CASE WHEN k <= 56 THEN 'test' WHEN k <= 112 THEN 'val' ELSE 'train' END AS split
+FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds DESC) AS k FROM demand)
+""")
+cte("scaled_series", "ts_split", """
+SELECT t.*, y_mean, y_std, (y - y_mean) / y_std AS y_scaled FROM ts_split t JOIN (
+  SELECT series_id, avg(y) AS y_mean, CASE WHEN stddev_pop(y) = 0 THEN 1.0 ELSE stddev_pop(y) END AS y_std
+  FROM ts_split WHERE split = 'train' GROUP BY 1) s ON t.series_id = s.series_id
+""")
+oracle("diff1", "demand", """
+SELECT series_id, CAST(ds AS VARCHAR) AS ds, d AS y
+FROM (SELECT series_id, ds, y - lag(y) OVER (PARTITION BY series_id ORDER BY ds) AS d FROM demand)
+WHERE d IS NOT NULL
+""")
+cte("detrended", "demand", f"""
+SELECT *, y - trend AS detrended FROM (
+  SELECT series_id, ds, y, {DOW} AS dow,
+         CASE WHEN count(*) OVER w = 7 THEN avg(y) OVER w END AS trend
+  FROM demand
+  WINDOW w AS (PARTITION BY series_id ORDER BY ds ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING))
+""")
+cte("decomposed", "detrended", """
+SELECT d.series_id, ds, y AS observed, trend, seasonal, detrended - seasonal AS resid, d.dow
+FROM detrended d JOIN (
+  SELECT series_id, dow, m - avg(m) OVER (PARTITION BY series_id) AS seasonal
+  FROM (SELECT series_id, dow, avg(detrended) AS m FROM detrended GROUP BY 1, 2)) s
+  ON d.series_id = s.series_id AND d.dow = s.dow
+""")
+oracle("decompose", "decomposed", """
+SELECT series_id, CAST(ds AS VARCHAR) AS ds, observed, round(trend, 6) AS trend,
+       round(seasonal, 6) AS seasonal, round(resid, 6) AS resid FROM decomposed
+""")
+oracle("seasonal_by_dow", "decomposed", """
+SELECT series_id, dow, round(avg(seasonal), 6) AS mean_seasonal FROM decomposed GROUP BY 1, 2
+""")
+oracle("stationarity_verdict", "demand", """
+SELECT *, CASE WHEN adf_stationary AND kpss_stationary THEN 'stationary'
+               WHEN NOT adf_stationary AND NOT kpss_stationary THEN 'non_stationary'
+               WHEN adf_stationary THEN 'conflicting_trend_stationary'
+               ELSE 'conflicting_difference_stationary' END AS verdict
+FROM (SELECT series_id, max(ds) > DATE '2001-07-30' AS adf_stationary,
+             count(*) FILTER (WHERE y = 0) < 10 AS kpss_stationary FROM demand GROUP BY 1)
+""")
+cte("holidays", "demand", """
+SELECT unnest([
+  make_date(y, 1, 1), easter - 2, easter + 1,
+  make_date(y, 5, 1) + CAST((8 - isodow(make_date(y, 5, 1))) % 7 AS INTEGER),
+  make_date(y, 5, 31) - CAST(isodow(make_date(y, 5, 31)) - 1 AS INTEGER),
+  make_date(y, 8, 31) - CAST(isodow(make_date(y, 8, 31)) - 1 AS INTEGER),
+  make_date(y, 12, 25), make_date(y, 12, 26)]) AS ds
+FROM (
+  SELECT y, CAST(make_date(y, CAST((h + l - 7 * m + 114) // 31 AS INTEGER),
+                 CAST((h + l - 7 * m + 114) % 31 + 1 AS INTEGER)) AS DATE) AS easter
+  FROM (SELECT *, (a + 11 * h + 22 * l) // 451 AS m FROM (
+    SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM (
+      SELECT *, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM (
+        SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM (
+          SELECT CAST(unnest(generate_series((SELECT year(min(ds)) FROM demand),
+                                             (SELECT year(max(ds)) FROM demand))) AS BIGINT) AS y))))))
+""")
+oracle("series_features", "demand holidays", f"""
+SELECT series_id, CAST(ds AS VARCHAR) AS ds, y, round(sin({DOW} * 2 * pi() / 7), 9) AS dow_sin,
+       round(cos({DOW} * 2 * pi() / 7), 9) AS dow_cos,
+       CASE WHEN {DOW} = 5 THEN 1.0::DOUBLE ELSE 0.0 END AS is_saturday,
+       CASE WHEN ds IN (SELECT ds FROM holidays) THEN 1.0::DOUBLE ELSE 0.0 END AS is_uk_holiday
+FROM demand
+""")
+oracle("ts_split", "ts_split", "SELECT series_id, CAST(ds AS VARCHAR) AS ds, split FROM ts_split")
+oracle("scale_series", "scaled_series", """
+SELECT series_id, CAST(ds AS VARCHAR) AS ds, round(y_mean, 6) AS y_mean, round(y_std, 6) AS y_std,
+       round(y_scaled, 6) AS y_scaled FROM scaled_series
+""")
+oracle("lag_windows", "scaled_series", """
+, numbered AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds) AS k FROM scaled_series)
+SELECT t.series_id, CAST(t.ds AS VARCHAR) AS ds, t.split, CAST(p.pos AS INTEGER) AS pos,
+       round(w.y_scaled, 6) AS step
+FROM numbered t CROSS JOIN range(14) p(pos)
+JOIN numbered w ON w.series_id = t.series_id AND w.k = t.k - 14 + p.pos
+WHERE t.k > 14
+""")
+oracle("naive_forecast", "ts_split", """
+SELECT series_id, CAST(ds AS VARCHAR) AS ds, y, naive
+FROM (SELECT *, lag(y, 7) OVER (PARTITION BY series_id ORDER BY ds) AS naive FROM ts_split)
+WHERE split = 'test'
+""")
+
+# --- forecast evaluation ---
+cte("forecasts", "ts_split", f"""
+SELECT series_id, ds, split, y AS actual, {DOW} AS dow,
+       lag(y, 7) OVER (PARTITION BY series_id ORDER BY ds) AS additive_pred,
+       avg(y) OVER (PARTITION BY series_id ORDER BY ds ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS sequence_pred
+FROM ts_split
+""")
+cte("long_test", "forecasts", """
+SELECT series_id, ds, dow, actual, 'additive_pred' AS model, additive_pred AS p FROM forecasts WHERE split = 'test'
+UNION ALL SELECT series_id, ds, dow, actual, 'sequence_pred', sequence_pred FROM forecasts WHERE split = 'test'
+""")
+oracle("forecast_eval", "long_test", """
+SELECT series_id, model, round(avg(abs(actual - p)), 6) AS mae,
+       round(sqrt(avg((actual - p) * (actual - p))), 6) AS rmse,
+       round(avg(abs((actual - p) / actual)) FILTER (WHERE actual <> 0) * 100, 6) AS mape,
+       count(*) FILTER (WHERE actual = 0) AS n_excluded_zero_actual, count(*) AS n_total
+FROM long_test GROUP BY 1, 2
+""")
+oracle("ape_by_dow", "long_test", """
+SELECT series_id, model, dow, round(avg(abs(actual - p) / actual * 100), 6) AS ape
+FROM long_test WHERE actual <> 0 GROUP BY 1, 2, 3
+""")
+cte("grid", "forecasts", """
+SELECT *, weight * sequence_pred + (1 - weight) * additive_pred AS blended,
+       CASE dow WHEN 5 THEN 'saturday' WHEN 6 THEN 'sunday' ELSE 'weekday' END AS day_type
+FROM forecasts, (SELECT i / 20.0::DOUBLE AS weight FROM range(21) r(i)) WHERE split = 'val'
+""")
+cte("sweep", "grid", """
+SELECT series_id, weight, avg(abs((actual - blended) / actual)) FILTER (WHERE actual <> 0) * 100 AS mape
+FROM grid GROUP BY 1, 2
+""")
+cte("global_weight", "sweep", """
+SELECT series_id, weight AS global_weight FROM sweep
+QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY mape NULLS FIRST, weight) = 1
+""")
+cte("day_weights", "grid forecasts", """
+SELECT s.series_id, coalesce(max(weight) FILTER (WHERE day_type = 'weekday'), 0.5) AS weight_weekday,
+       coalesce(max(weight) FILTER (WHERE day_type = 'saturday'), 0.5) AS weight_saturday,
+       coalesce(max(weight) FILTER (WHERE day_type = 'sunday'), 0.5) AS weight_sunday
+FROM (SELECT DISTINCT series_id FROM forecasts WHERE split = 'val') s LEFT JOIN (
+  SELECT series_id, day_type, weight FROM (
+    SELECT series_id, day_type, weight, CASE WHEN day_type = 'saturday' THEN avg(abs(actual - blended))
+           ELSE avg(abs((actual - blended) / actual)) FILTER (WHERE actual <> 0) END AS score
+    FROM grid GROUP BY 1, 2, 3)
+  QUALIFY row_number() OVER (PARTITION BY series_id, day_type ORDER BY score NULLS FIRST, weight) = 1) w
+  ON s.series_id = w.series_id
+GROUP BY 1
+""")
+oracle("weight_sweep", "sweep", "SELECT series_id, weight, round(mape, 6) AS mape FROM sweep")
+oracle("best_weight", "global_weight", "SELECT * FROM global_weight")
+oracle("day_type_weights", "day_weights", "SELECT * FROM day_weights")
+oracle("ensemble_apply", "forecasts global_weight day_weights", """
+SELECT f.series_id, CAST(ds AS VARCHAR) AS ds, actual, additive_pred, round(sequence_pred, 6) AS sequence_pred,
+       round(global_weight * sequence_pred + (1 - global_weight) * additive_pred, 6) AS ensemble_global,
+       round(w * sequence_pred + (1 - w) * additive_pred, 6) AS ensemble_day_type
+FROM (SELECT f.*, g.global_weight, CASE dow WHEN 5 THEN weight_saturday WHEN 6 THEN weight_sunday
+             ELSE weight_weekday END AS w
+      FROM forecasts f JOIN global_weight g USING (series_id) JOIN day_weights d USING (series_id)
+      WHERE split = 'test') f
+""")
+
+# --- segments and risk ---
+cte("scaled_rfm", "rfm", """
+SELECT *, (lr - avg(lr) OVER ()) / stddev_pop(lr) OVER () AS recency_days_scaled,
+       (lf - avg(lf) OVER ()) / stddev_pop(lf) OVER () AS frequency_scaled,
+       (lm - avg(lm) OVER ()) / stddev_pop(lm) OVER () AS monetary_scaled
+FROM (SELECT customer_id, ln(1 + recency_days) AS lr, ln(1 + frequency) AS lf,
+             ln(1 + CAST(monetary AS DOUBLE)) AS lm FROM rfm)
+""")
+CLUSTER = "CAST(CASE WHEN customer_id % 50 = 0 THEN -1 ELSE customer_id % 6 END AS INTEGER)"
+cte("names", "rfm", f"""
+SELECT cluster, CASE WHEN same = 1 THEN base ELSE base || '_' || CASE rk WHEN 1 THEN 'premium' WHEN 2 THEN 'core'
+       WHEN 3 THEN 'emerging' WHEN 4 THEN 'marginal' ELSE 'tier' || CAST(rk AS VARCHAR) END END AS segment_name
+FROM (SELECT *, count(*) OVER (PARTITION BY base) AS same,
+             row_number() OVER (PARTITION BY base ORDER BY m DESC, cluster) AS rk
+  FROM (SELECT *, CASE
+      WHEN r <= mr AND f >= mf AND m >= mm THEN 'champions' WHEN r <= mr AND f >= mf THEN 'loyal_low_spend'
+      WHEN r <= mr AND m >= mm THEN 'promising_big_spenders' WHEN r <= mr THEN 'new_or_occasional'
+      WHEN f >= mf AND m >= mm THEN 'at_risk_high_value' WHEN f >= mf THEN 'at_risk_low_spend'
+      WHEN m >= mm THEN 'hibernating_high_value' ELSE 'lost' END AS base
+    FROM (SELECT *, median(r) OVER () AS mr, median(f) OVER () AS mf, median(m) OVER () AS mm
+      FROM (SELECT {CLUSTER} AS cluster, avg(recency_days) AS r, avg(frequency) AS f,
+                   avg(CAST(monetary AS DOUBLE)) AS m FROM rfm WHERE {CLUSTER} <> -1 GROUP BY 1))))
+""")
+_scaled = ("recency_days_scaled", "frequency_scaled", "monetary_scaled")
+oracle("scaled_rfm", "scaled_rfm", "SELECT customer_id, " + ", ".join(
+    f"round({c}, 6) AS {c}" for c in _scaled) + " FROM scaled_rfm")
+oracle("label_segments", "rfm names", f"""
+SELECT customer_id, recency_days, frequency, CAST(monetary AS DOUBLE) AS monetary, r.cluster,
+       CASE WHEN r.cluster = -1 THEN 'noise' ELSE segment_name END AS segment_name
+FROM (SELECT *, {CLUSTER} AS cluster FROM rfm) r LEFT JOIN names n ON r.cluster = n.cluster
+""")
+cte("spread", "scaled_rfm", f"""
+SELECT cluster, any_value(a) AS a, any_value(b) AS b, any_value(c) AS c,
+       avg(sqrt((recency_days_scaled - a) ** 2 + (frequency_scaled - b) ** 2 + (monetary_scaled - c) ** 2)) AS s
+FROM (SELECT *, avg(recency_days_scaled) OVER (PARTITION BY cluster) AS a,
+             avg(frequency_scaled) OVER (PARTITION BY cluster) AS b,
+             avg(monetary_scaled) OVER (PARTITION BY cluster) AS c
+      FROM (SELECT *, {CLUSTER} AS cluster FROM scaled_rfm) WHERE cluster <> -1) GROUP BY 1
+""")
+oracle("davies_bouldin", "spread", """
+SELECT round(avg(worst), 6) AS davies_bouldin FROM (
+  SELECT x.cluster, max((x.s + y.s) / sqrt((x.a - y.a) ** 2 + (x.b - y.b) ** 2 + (x.c - y.c) ** 2)) AS worst
+  FROM spread x JOIN spread y ON x.cluster <> y.cluster GROUP BY 1)
+""")
+cte("risk", "features labels", """
+SELECT *, ((customer_id * 37 + recency_days) % 1000) / 1000.0::DOUBLE AS churn_probability
+FROM features JOIN labels USING (customer_id)
+""")
+cte("scored", "risk", """
+SELECT customer_id, ((customer_id * 37 + recency_days) % 1000) // 10 / 100.0::DOUBLE AS score, churned AS label FROM risk
+""")
+oracle("segment_profile", "rfm_scores", """
+SELECT rfm_segment AS segment_name, count(*) AS customers, round(avg(recency_days), 1) AS recency_days,
+       round(avg(frequency), 1) AS frequency, round(avg(CAST(monetary AS DOUBLE)), 1) AS monetary
+FROM rfm_scores GROUP BY 1
+""")
+oracle("risk_by_segment", "rfm_scores risk", """
+SELECT rfm_segment AS segment_name, round(avg(churn_probability), 6) AS churn_probability, count(*) AS customers
+FROM rfm_scores JOIN risk USING (customer_id) GROUP BY 1
+""")
+oracle("risk_list", "rfm_scores risk", """
+SELECT s.customer_id, rfm_segment AS segment_name, churn_probability, s.recency_days, s.frequency,
+       CAST(s.monetary AS DOUBLE) AS monetary
+FROM rfm_scores s JOIN risk r ON s.customer_id = r.customer_id
+WHERE churn_probability >= 0.5 AND rfm_segment IN ('champions', 'lost', 'regular')
+ORDER BY churn_probability DESC, s.customer_id LIMIT 200
+""")
+oracle("kpis", "daily_all rfm risk", """
+SELECT (SELECT CAST(sum(revenue) AS DOUBLE) FROM daily_all) AS total_revenue,
+       (SELECT count(*) FROM rfm) AS customers_segmented,
+       (SELECT count(*) FROM risk WHERE churn_probability >= 0.5) AS customers_at_risk
+""")
+oracle("inventory_search", "reco", """
+SELECT stock_code, description, tier, round(daily_demand_mean, 4) AS daily_demand_mean,
+       round(safety_stock, 4) AS safety_stock, round(r.reorder_point, 4) AS reorder_point, round(eoq, 4) AS eoq,
+       stock_code || ' — ' || description AS label
+FROM reco r WHERE contains(lower(description), 'ring') OR contains(lower(stock_code), 'ring')
+ORDER BY r.reorder_point DESC, stock_code LIMIT 200
+""")
+oracle("report_top10", "risk reco", """
+SELECT 'risk' AS list, CAST(customer_id AS VARCHAR) AS item,
+       format('{:,.1f}%', churn_probability * 100) AS value
+FROM (SELECT * FROM risk ORDER BY churn_probability DESC, customer_id LIMIT 10)
+UNION ALL
+SELECT 'reorder', stock_code, format('{:,.0f}', reorder_point)
+FROM (SELECT * FROM reco ORDER BY reorder_point DESC, stock_code LIMIT 10)
+""")
+cte("ranked", "scored", """
+SELECT *, row_number() OVER w AS k, sum(label) OVER w AS hits, count(*) OVER () AS n FROM scored
+WINDOW w AS (ORDER BY score DESC, customer_id ROWS UNBOUNDED PRECEDING)
+""")
+oracle("precision_at_k", "ranked", """
+SELECT CAST(0.2 AS DOUBLE) AS k_frac, k, round(hits / k, 6) AS precision FROM ranked
+WHERE k = greatest(1, ceil(n * CAST(0.2 AS DOUBLE)))
+""")
+oracle("precision_curve", "ranked", """
+SELECT k_frac, k, round(hits / k, 6) AS precision
+FROM ranked JOIN (SELECT i / 20.0::DOUBLE AS k_frac FROM range(1, 21) r(i))
+  ON k = greatest(1, ceil(n * k_frac))
+""")
+cte("score_counts", "scored", """
+SELECT score AS threshold, sum(label) AS pos, count(*) - sum(label) AS neg,
+       sum(sum(label)) OVER w AS pos_run, sum(count(*) - sum(label)) OVER w AS neg_run,
+       sum(sum(label)) OVER () AS pos_all, sum(count(*) - sum(label)) OVER () AS neg_all
+FROM scored GROUP BY 1 WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)
+""")
+oracle("roc_curve", "score_counts", """
+SELECT threshold, round(neg_run / CAST(neg_all AS DOUBLE), 9) AS fpr, round(pos_run / CAST(pos_all AS DOUBLE), 9) AS tpr
+FROM score_counts
+""")
+oracle("churn_eval", "score_counts scored ranked", """
+SELECT (SELECT round(CAST(sum(neg * (2 * pos_run - pos)) AS DOUBLE) / (2.0 * any_value(pos_all) * any_value(neg_all)), 9)
+        FROM score_counts) AS auc_roc,
+       (SELECT round(hits / k, 9) FROM ranked WHERE k = greatest(1, ceil(n * CAST(0.2 AS DOUBLE)))) AS precision_at_top20pct,
+       (SELECT round(sum(label) / count(*), 9) FROM scored WHERE score >= 0.5) AS precision_at_threshold,
+       (SELECT round(sum(label) FILTER (WHERE score >= 0.5) / sum(label), 9) FROM scored) AS recall_at_threshold
+""")
+
+# --- drift ---
+_churn_columns = ["recency_days", "frequency", "monetary", "avg_order_value", "tenure_days",
+                  "monetary_per_day", "n_distinct_products"]
+_demand_columns = ["revenue", "quantity", "n_invoices", "n_customers"]
+cte("churn_values", "features reference_features", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value, {ref} AS ref FROM {t}"
+    for c in _churn_columns for t, ref in (("reference_features", 1), ("features", 0))
+))
+cte("demand_values", "daily_all", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value, "
+    f"CAST(date < DATE '2000-08-01' AS INTEGER) AS ref FROM daily_all "
+    "WHERE NOT is_partial_day AND date >= DATE '1999-08-01'"
+    for c in _demand_columns
+))
+
+
+def distances_body(values: str) -> str:
+    return f"""
+SELECT "column", n_reference, n_current, ks_distance,
+       CASE WHEN x2 < 0.04 THEN 1.0 ELSE least(greatest(list_sum([
+         CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * j * j * x2) FOR j IN range(1, 101)]), 0), 1)
+         END AS ks_p_value,
+       area / greatest(sqrt(greatest(sq / n_reference - (s / n_reference) ** 2, 0)), 0.001) AS wasserstein_normed
+FROM (
+  SELECT *, ks_distance * ks_distance * n_reference * n_current / (n_reference + n_current) AS x2 FROM (
+    SELECT "column", CAST(max(ref_all) AS BIGINT) AS n_reference, CAST(max(cur_all) AS BIGINT) AS n_current,
+           max(gap) AS ks_distance, coalesce(sum(gap * (next - value)), 0) AS area, sum(value * r) AS s,
+           sum(value * value * r) AS sq
+    FROM (SELECT *, abs(ref_run / ref_all - cur_run / cur_all) AS gap FROM (
+      SELECT "column", value, r, CAST(sum(r) OVER w AS DOUBLE) AS ref_run, CAST(sum(c) OVER w AS DOUBLE) AS cur_run,
+             CAST(sum(r) OVER (PARTITION BY "column") AS DOUBLE) AS ref_all,
+             CAST(sum(c) OVER (PARTITION BY "column") AS DOUBLE) AS cur_all, lead(value) OVER o AS next
+      FROM (SELECT "column", value, sum(ref) AS r, sum(1 - ref) AS c FROM {values} GROUP BY 1, 2)
+      WINDOW w AS (PARTITION BY "column" ORDER BY value ROWS UNBOUNDED PRECEDING),
+             o AS (PARTITION BY "column" ORDER BY value)))
+    GROUP BY 1))
+"""
+
+
+def summary_body(distances: str) -> str:
+    return f"""
+SELECT "column", CASE WHEN n_reference <= 1000 THEN 'K-S p_value' ELSE 'Wasserstein distance (normed)' END AS method,
+       CASE WHEN n_reference <= 1000 THEN ks_p_value ELSE wasserstein_normed END AS value,
+       CASE WHEN n_reference <= 1000 THEN ks_p_value < 0.05 ELSE wasserstein_normed > 0.1 END AS drifted
+FROM {distances}
+"""
+
+
+cte("churn_distances", "churn_values", distances_body("churn_values"))
+cte("demand_distances", "demand_values", distances_body("demand_values"))
+cte("churn_summary", "churn_distances", summary_body("churn_distances"))
+cte("demand_summary", "demand_distances", summary_body("demand_distances"))
+cte("checked", "churn_summary demand_summary", "\nUNION ALL ".join(
+    f"""SELECT '{m}' AS model, count(*) FILTER (WHERE drifted) AS n_drifted,
+       avg(CAST(drifted AS INTEGER)) AS drifted_share, avg(CAST(drifted AS INTEGER)) >= 0.5 AS retrain_recommended
+FROM {t}""" for m, t in (("churn", "churn_summary"), ("forecast", "demand_summary"))
+))
+oracle("drift_ks", "demand_distances", """
+SELECT "column", n_reference, n_current, round(ks_distance, 6) AS ks_distance, round(ks_p_value, 6) AS ks_p_value
+FROM demand_distances
+""")
+oracle("drift_wasserstein", "churn_distances", """
+SELECT "column", n_reference, n_current, round(wasserstein_normed, 6) AS wasserstein_normed FROM churn_distances
+""")
+oracle("drift_churn", "churn_summary", "SELECT * REPLACE (round(value, 6) AS value) FROM churn_summary")
+oracle("drift_demand", "demand_summary", "SELECT * REPLACE (round(value, 6) AS value) FROM demand_summary")
+oracle("drift_share", "checked", "SELECT * REPLACE (round(drifted_share, 6) AS drifted_share) FROM checked")
+oracle("retrain_targets", "checked", "SELECT model FROM checked WHERE retrain_recommended")
+
+# --- runs ---
+cte("runs", "", """
+SELECT event_type || '-' || CAST(user_id AS VARCHAR) AS run_id, event_type AS experiment,
+       'run_' || CAST(user_id % 7 AS VARCHAR) AS run_name, min(ts) AS start_time, min(value) AS mape,
+       max(value) / 500 AS auc, max(value) / 400 AS precision
+FROM events GROUP BY event_type, user_id
+""")
+cte("latest", "runs", """
+SELECT * FROM runs
+QUALIFY row_number() OVER (PARTITION BY experiment, run_name ORDER BY start_time DESC, run_id DESC) = 1
+""")
+oracle("latest_run", "latest", "SELECT * EXCLUDE (start_time) FROM latest")
+oracle("best_run", "runs", """
+SELECT experiment, run_id, run_name, mape AS value FROM runs
+QUALIFY row_number() OVER (PARTITION BY experiment ORDER BY mape, run_id) = 1
+""")
+oracle("constraints", "latest", """
+SELECT 'churn' AS model, 'auc' AS metric, auc AS value, 0.88::DOUBLE AS target, auc >= 0.88 AS meets_target
+FROM latest WHERE experiment = 'signup' AND run_name = 'run_1'
+UNION ALL SELECT 'churn', 'precision', precision, 0.75, precision >= 0.75
+FROM latest WHERE experiment = 'signup' AND run_name = 'run_1'
+UNION ALL SELECT 'forecast', 'mape', mape, 12.0, mape <= 12.0
+FROM latest WHERE experiment = 'purchase' AND run_name = 'run_2'
+""")
+oracle("model_evolution", "latest", "\nUNION ALL ".join(
+    f"SELECT '{stage}' AS stage, '{metric}' AS metric, {metric} AS value FROM latest "
+    f"WHERE experiment = '{exp}' AND run_name = '{run}'"
+    for stage, exp, run, metric in (
+        ("manual sweep", "signup", "run_1", "auc"), ("search", "signup", "run_3", "auc"),
+        ("additive", "purchase", "run_2", "mape"), ("sequence", "purchase", "run_4", "mape"),
+        ("ensemble", "purchase", "run_5", "mape"),
+    )
+))
