@@ -44,9 +44,10 @@ def stratified_split(
 
     The hash order is cut into ranges, so a label is never sorted in one task.
     """
+    hashed = F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit(str(seed))))
     placed = running_totals(
         df,
-        {"hash": F.xxhash64(F.col(id_col), F.lit(seed)), "id": F.col(id_col)},
+        {"hash": hashed, "id": F.col(id_col)},
         {"rank": F.lit(1).cast("long")},
         group=[label],
     )

@@ -795,3 +795,34 @@ oracle("model_evolution", "latest", "\nUNION ALL ".join(
         ("ensemble", "purchase", "run_5", "mape"),
     )
 ))
+
+# --- clustering and split ---
+oracle("strat_split", "labels", """
+SELECT customer_id, churned, k <= ceil(n * CAST(0.2 AS DOUBLE)) AS is_test FROM (
+  SELECT *, row_number() OVER (PARTITION BY churned ORDER BY md5(customer_id || '|42'), customer_id) AS k,
+         count(*) OVER (PARTITION BY churned) AS n FROM labels)
+""")
+cte("near", "scaled_rfm", """
+SELECT a.customer_id AS a, b.customer_id AS b FROM scaled_rfm a JOIN scaled_rfm b
+  ON (a.recency_days_scaled - b.recency_days_scaled) ** 2 + (a.frequency_scaled - b.frequency_scaled) ** 2
+   + (a.monetary_scaled - b.monetary_scaled) ** 2 <= CAST(0.3 AS DOUBLE) ** 2
+""")
+cte("core", "near", "SELECT a AS id FROM near GROUP BY 1 HAVING count(*) >= 10")
+cte("core_edges", "near core", """
+SELECT a, b FROM near WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)
+""")
+cte("reach", "core core_edges", """
+SELECT id AS root, id FROM core
+UNION SELECT r.root, e.b FROM reach r JOIN core_edges e ON e.a = r.id WHERE r.root < e.b
+""")
+cte("component", "reach", """
+SELECT id, CAST(dense_rank() OVER (ORDER BY root) - 1 AS INTEGER) AS cluster
+FROM (SELECT id, min(root) AS root FROM reach GROUP BY 1)
+""")
+oracle("dbscan", "near core component scaled_rfm", """
+SELECT p.customer_id, coalesce(min(cluster), -1) AS cluster FROM scaled_rfm p
+LEFT JOIN (SELECT n.a, c.cluster FROM near n JOIN component c ON n.b = c.id
+           WHERE n.a = n.b OR n.a NOT IN (SELECT id FROM core)) m ON m.a = p.customer_id
+GROUP BY 1
+""")
+SQL["dbscan"] = SQL["dbscan"].replace("WITH ", "WITH RECURSIVE ", 1)
