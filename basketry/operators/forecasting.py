@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators import evaluation
 from basketry.operators.series import lag_windows, scale_series, uk_holidays, unscale
+from basketry.session import cut
 
 CHANGEPOINTS, CHANGEPOINT_RANGE = 25, 0.8
 WEEKLY_ORDER, YEARLY_ORDER = 3, 10
@@ -220,7 +221,7 @@ def lag_sweep(
     features: DataFrame, configs: tuple[dict, ...] = LAG_SWEEP, max_iter: int = 50, seed: int = 42
 ) -> tuple[DataFrame, list[tuple[GBTRegressionModel, int]]]:
     """Validation and holdout metrics of every (lookback, depth), and the fitted models."""
-    rows = {b: window_rows(features, b).cache() for b in {c["lookback"] for c in configs}}
+    rows = {b: cut(window_rows(features, b)) for b in {c["lookback"] for c in configs}}
 
     def fit(config: dict) -> GBTRegressionModel:
         return fit_lag_model(rows[config["lookback"]], config["depth"], max_iter, seed)
@@ -251,7 +252,7 @@ def joined_predictions(
     For the validation rows both models see the inner train rows only; for the holdout the
     additive model is refitted on everything before it.
     """
-    rows = window_rows(features, lag_config["lookback"]).cache()
+    rows = cut(window_rows(features, lag_config["lookback"]))
     model = fit_lag_model(rows, lag_config["depth"], max_iter)
     sequence = predict_lag_model(model, rows).withColumnRenamed("yhat", "sequence_pred")
 

@@ -12,21 +12,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-RANGES = 64
+MIN_RANGES, MAX_RANGES = 16, 2048
 SAMPLE_PER_RANGE = 16
 
 
-def _with_range(df: DataFrame, key: Column, ranges: int) -> DataFrame:
-    """Add ``_range``, the index of the value range of a row's key; a pure function of the data."""
+def _range_count(df: DataFrame) -> int:
+    """As many ranges as the session has shuffle partitions, within bounds."""
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(MIN_RANGES, min(wanted, MAX_RANGES))
+
+
+def _with_range(df: DataFrame, key: Column) -> DataFrame:
+    """Add ``_range``, the index of the value range of a row's key; a pure function of the data.
+
+    The cut points are looked up by bisection, one projection per step.
+    """
+    ranges = _range_count(df)
     sample = df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(ranges * SAMPLE_PER_RANGE)
     every = F.filter(
         F.array_sort(F.collect_list("k")), lambda _, i: F.pmod(i, F.lit(SAMPLE_PER_RANGE)) == 0
     )
-    return (
-        df.withColumn("_cuts", sample.agg(every.alias("c")).scalar())
-        .withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut <= key)))
-        .drop("_cuts")
-    )
+    placed = df.withColumns({"_cuts": sample.agg(every.alias("c")).scalar(), "_range": F.lit(0)})
+    for step in [2**i for i in reversed(range(ranges.bit_length()))]:
+        beyond = F.get("_cuts", F.col("_range") + (step - 1)) <= key
+        placed = placed.withColumn(
+            "_range", F.when(beyond, F.col("_range") + step).otherwise(F.col("_range"))
+        )
+    return placed.drop("_cuts")
 
 
 def running_totals(
@@ -35,7 +47,6 @@ def running_totals(
     sums: dict[str, Column],
     group: list[str] | None = None,
     following: dict[str, str] | None = None,
-    ranges: int = RANGES,
 ) -> DataFrame:
     """Append running and overall sums along a unique order, per ``group`` or over all rows.
 
@@ -48,14 +59,14 @@ def running_totals(
     keyed = df.withColumns({f"_o_{n}": c for n, c in order.items()} | {f"_s_{n}": c for n, c in sums.items()})
     order_cols = [f"_o_{n}" for n in order]
     key = F.struct(*group, *order_cols)
-    ranged = _with_range(keyed, key, ranges)
+    ranged = _with_range(keyed, key)
 
     first = F.struct(*order_cols)
     totals = ranged.groupBy(*group, "_range").agg(
         *[F.sum(f"_s_{n}").alias(f"_t_{n}") for n in sums],
         *[F.min_by(source, first).alias(f"_f_{new}") for new, source in following.items()],
     )
-    # One row per range and group: at most RANGES + number of groups rows.
+    # One row per range and group: at most MAX_RANGES + number of groups rows.
     ahead = W.partitionBy(*group).orderBy("_range")
     before = ahead.rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.expressions import octant_label
 from basketry.operators.rfm import METRICS
+from basketry.session import cut
 
 SCALED = tuple(f"{c}_scaled" for c in METRICS)
 NOISE = -1
@@ -55,7 +56,7 @@ def fit_kmeans(vectors: DataFrame, k: int, seed: int = 42, n_init: int = 10) ->
 
 def _fit_all(vectors: DataFrame, jobs: list[tuple[int, int]], parallelism: int = 8) -> dict:
     def fit(job: tuple[int, int]) -> KMeansModel:
-        return KMeans(k=job[0], seed=job[1], initMode="k-means||", maxIter=50).fit(vectors)
+        return KMeans(k=job[0], seed=job[1], initMode="k-means||", maxIter=30).fit(vectors)
 
     with ThreadPoolExecutor(parallelism) as pool:
         return dict(zip(jobs, pool.map(fit, jobs), strict=True))
@@ -74,16 +75,20 @@ def sweep_kmeans(
         if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
             best[k] = model
 
-    def validity(k: int) -> tuple[int, float, float, float]:
-        labelled = best[k].transform(vectors).withColumnRenamed("prediction", "cluster")
-        silhouette = ClusteringEvaluator(predictionCol="cluster").evaluate(labelled)
-        index = davies_bouldin(labelled, SCALED).first()["davies_bouldin"]
-        return k, best[k].summary.trainingCost, silhouette, index
+    def silhouette(k: int) -> tuple[int, float, float]:
+        labelled = best[k].transform(vectors)
+        return k, best[k].summary.trainingCost, ClusteringEvaluator().evaluate(labelled)
 
-    with ThreadPoolExecutor(4) as pool:
-        rows = list(pool.map(validity, sorted(best)))
-    schema = "k int, inertia double, silhouette double, davies_bouldin double"
-    return vectors.sparkSession.createDataFrame(rows, schema), best
+    with ThreadPoolExecutor(8) as pool:
+        rows = list(pool.map(silhouette, sorted(best)))
+    labels = vectors
+    for k, model in best.items():
+        labels = model.setPredictionCol(f"k{k}").transform(labels)
+        model.setPredictionCol("prediction")
+    long = labels.unpivot(list(SCALED), [f"k{k}" for k in best], "k", "cluster")
+    index = davies_bouldin(long.withColumn("k", F.substring("k", 2, 9).cast("int")), SCALED, by=("k",))
+    table = vectors.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+    return cut(table.join(index, "k")), best
 
 
 def choose_k(sweep: DataFrame, target_range: tuple[int, int] = (6, 8)) -> int:
@@ -98,20 +103,23 @@ def choose_k(sweep: DataFrame, target_range: tuple[int, int] = (6, 8)) -> int:
     return int(chosen)
 
 
-def davies_bouldin(labelled: DataFrame, columns: tuple[str, ...], cluster: str = "cluster") -> DataFrame:
+def davies_bouldin(
+    labelled: DataFrame, columns: tuple[str, ...], cluster: str = "cluster", by: tuple[str, ...] = ()
+) -> DataFrame:
     """Mean over clusters of the worst (scatter + scatter) / centroid distance; noise is left out.
 
-    Only the k centroids meet in one row.
+    ``by`` names columns that separate several clusterings. Only the centroids of one clustering
+    meet in one row.
     """
-    members = labelled.filter(F.col(cluster) != NOISE).select(F.col(cluster).alias("c"), *columns)
-    centroids = members.groupBy("c").agg(F.array(*[F.avg(x) for x in columns]).alias("centroid"))
+    members = labelled.filter(F.col(cluster) != NOISE).select(*by, F.col(cluster).alias("c"), *columns)
+    centroids = members.groupBy(*by, "c").agg(F.array(*[F.avg(x) for x in columns]).alias("centroid"))
     spread = (
-        members.join(centroids, "c")
+        members.join(centroids, [*by, "c"])
         .withColumn("d", _distance(F.array(*[F.col(x) for x in columns]), F.col("centroid")))
-        .groupBy("c")
+        .groupBy(*by, "c")
         .agg(F.avg("d").alias("s"), F.first("centroid").alias("centroid"))
     )
-    everyone = spread.agg(F.sort_array(F.collect_list(F.struct("c", "s", "centroid"))).alias("all"))
+    everyone = spread.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("c", "s", "centroid"))).alias("all"))
 
     def worst(a: Column) -> Column:
         others = F.filter("all", lambda b: b["c"] != a["c"])
@@ -123,9 +131,10 @@ def davies_bouldin(labelled: DataFrame, columns: tuple[str, ...], cluster: str =
 
     ratios = F.transform("all", worst)
     return everyone.select(
+        *by,
         F.try_divide(F.aggregate(ratios, F.lit(0.0), lambda acc, r: acc + r), F.size("all")).alias(
             "davies_bouldin"
-        )
+        ),
     )
 
 

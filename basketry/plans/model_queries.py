@@ -63,7 +63,9 @@ def strat_split(spark, sf_dir):
 @query
 def kmeans_sweep(spark, sf_dir):
     vectors = segmentation.as_vectors(cut(_scaled(spark, sf_dir))).cache()
-    return segmentation.sweep_kmeans(vectors, n_init=N_INIT)[0]
+    sweep, _ = segmentation.sweep_kmeans(vectors, n_init=N_INIT)
+    vectors.unpersist()
+    return sweep
 
 
 @query
