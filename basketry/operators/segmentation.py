@@ -114,7 +114,7 @@ def davies_bouldin(
     members = labelled.filter(F.col(cluster) != NOISE).select(*by, F.col(cluster).alias("c"), *columns)
     centroids = members.groupBy(*by, "c").agg(F.array(*[F.avg(x) for x in columns]).alias("centroid"))
     spread = (
-        members.join(centroids, [*by, "c"])
+        members.join(F.broadcast(centroids), [*by, "c"])  # one row per cluster: k rows
         .withColumn("d", _distance(F.array(*[F.col(x) for x in columns]), F.col("centroid")))
         .groupBy(*by, "c")
         .agg(F.avg("d").alias("s"), F.first("centroid").alias("centroid"))

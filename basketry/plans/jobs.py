@@ -128,7 +128,7 @@ def ensemble_job(
 
 
 def churn_split(dataset: DataFrame, seed: int = 42) -> DataFrame:
-    return cut(churn_model.three_way_split(dataset, "customer_id", "churned", seed=seed))
+    return cut(churn_model.three_way_split(cut(dataset), "customer_id", "churned", seed=seed))
 
 
 def churn_sweep_job(

@@ -21,7 +21,7 @@ from basketry.operators import (
 )
 from basketry.plans import jobs
 from basketry.plans import prepared as P
-from basketry.plans.retail_queries import query
+from basketry.plans.retail_queries import QUERIES, query
 from basketry.session import cut, scratch_path
 from basketry.sources import readers
 from basketry.sources.schemas import RUNS
@@ -87,7 +87,7 @@ def pca2(spark, sf_dir):
 
 
 @query
-def stationarity_tests(spark, sf_dir):
+def stationarity_report(spark, sf_dir):
     flagged = P.daily_flagged(spark, sf_dir, "country")
     long = None
     for column in ("quantity", "revenue"):
@@ -100,6 +100,9 @@ def stationarity_tests(spark, sf_dir):
     )
 
 
+QUERIES["stationarity"] = QUERIES.pop("stationarity_report")
+
+
 @query
 def additive_forecast(spark, sf_dir):
     return jobs.additive_job(cut(_split_series(spark, sf_dir)))[0]
