@@ -281,7 +281,7 @@ def load_model(spark: SparkSession, path: str | None, runs: DataFrame, run_name:
             return PipelineModel.load(path)
     logged = (
         runs.filter((F.col("run_name") == run_name) & F.try_element_at("params", F.lit("model_path")).isNotNull())
-        .agg(F.max_by(F.col("params")["model_path"], "start_time").alias("path"))
+        .agg(F.max_by(F.col("params")["model_path"], F.struct("start_time", "run_id")).alias("path"))
         .first()["path"]
     )
     if logged is None:

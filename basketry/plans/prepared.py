@@ -34,7 +34,8 @@ def flagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _staged:
         flagged = cleaning.flag_lines(cleaning.dedupe(raw_lines(spark, sf_dir)))
-        _staged[key] = stage(flagged.withColumn("is_sale", cleaning.is_real_sale()), "flagged_lines")
+        flagged = flagged.withColumn("is_sale", cleaning.is_real_sale())
+        _staged[key] = stage(flagged.sortWithinPartitions("invoice_date"), "flagged_lines")
     return _staged[key]
 
 
