@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.expressions import days_later, elapsed_days, ntz, ratio
@@ -32,27 +32,69 @@ def churn_labels(sales: DataFrame, cutoff: str, window_days: int = CHURN_WINDOW_
     )
 
 
-def _features(grouped, at) -> DataFrame:
-    spans = grouped.agg(
-        F.min("invoice_date").alias("first_purchase"),
-        F.max("invoice_date").alias("last_purchase"),
-        F.countDistinct("invoice").alias("frequency"),
-        F.sum("total").alias("monetary"),
-        F.sum("quantity").alias("total_quantity"),
-        F.countDistinct("stock_code").alias("n_distinct_products"),
-        F.avg("_home").alias("home_share"),
-        F.count("*").alias("n_lines"),
+def _features(sales: DataFrame, cutoffs: dict[str, Column], home_country: str) -> DataFrame:
+    """Features per (snapshot, customer) for one or more cutoffs, from rows up to each cutoff.
+
+    Lines are combined per (customer, invoice) and per (customer, product) first, with one set of
+    conditional sums per cutoff. A customer with a third of all lines is spread over many tasks,
+    and distinct counts become plain counts of the combined rows.
+    """
+    when = F.col("invoice_date")
+    home = F.coalesce(F.col("country") == home_country, F.lit(False)).cast("long")
+    at_all = list(cutoffs.values())
+    seen = sales.filter(when <= (F.greatest(*at_all) if len(at_all) > 1 else at_all[0]))
+
+    line_sums = {"total": F.col("total"), "quantity": F.col("quantity"), "home": home, "lines": F.lit(1).cast("long")}
+    per_invoice = []
+    for name, at in cutoffs.items():
+        per_invoice += [F.sum(F.when(when <= at, v)).alias(f"{c}_{name}") for c, v in line_sums.items()]
+        per_invoice += [F.min(F.when(when <= at, when)).alias(f"first_{name}"), F.max(F.when(when <= at, when)).alias(f"last_{name}")]
+    invoices = seen.groupBy("customer_id", "invoice").agg(*per_invoice)
+
+    per_customer = []
+    for name in cutoffs:
+        per_customer += [F.sum(f"{c}_{name}").alias(f"{c}_{name}") for c in line_sums]
+        per_customer += [
+            F.min(f"first_{name}").alias(f"first_{name}"),
+            F.max(f"last_{name}").alias(f"last_{name}"),
+            F.count(f"lines_{name}").alias(f"frequency_{name}"),
+        ]
+    customers = invoices.groupBy("customer_id").agg(*per_customer)
+    products = (
+        seen.groupBy("customer_id", "stock_code")
+        .agg(F.min(when).alias("first_sold"))
+        .groupBy("customer_id")
+        .agg(*[F.count_if(F.col("first_sold") <= at).alias(f"products_{n}") for n, at in cutoffs.items()])
     )
-    tenure = elapsed_days(F.col("first_purchase"), at)
-    return spans.withColumns(
-        {
-            "recency_days": elapsed_days(F.col("last_purchase"), at),
-            "avg_order_value": ratio(F.col("monetary"), F.col("frequency")),
+
+    def snapshot(name: str, at: Column) -> Column:
+        def of(column: str) -> Column:
+            return F.col(f"{column}_{name}")
+
+        tenure = elapsed_days(of("first"), at)
+        values = {
+            "snapshot": F.lit(name),
+            "recency_days": elapsed_days(of("last"), at),
+            "frequency": of("frequency"),
+            "monetary": of("total"),
+            "total_quantity": of("quantity"),
+            "n_distinct_products": of("products"),
+            "avg_order_value": ratio(of("total"), of("frequency")),
             "tenure_days": tenure,
-            "avg_days_between_purchases": ratio(tenure, F.greatest("frequency", F.lit(1))),
-            "monetary_per_day": ratio(F.col("monetary"), F.greatest(tenure, F.lit(1))),
-            "is_uk": (F.col("home_share") >= 0.5).cast("int"),
+            "avg_days_between_purchases": ratio(tenure, F.greatest(of("frequency"), F.lit(1))),
+            "monetary_per_day": ratio(of("total"), F.greatest(tenure, F.lit(1))),
+            "is_uk": (ratio(of("home"), of("lines")) >= 0.5).cast("int"),
+            "first_purchase": of("first"),
+            "n_lines": of("lines"),
         }
+        return F.struct(*[v.alias(c) for c, v in values.items()])
+
+    snapshots = F.array(*[snapshot(name, at) for name, at in cutoffs.items()])
+    return (
+        customers.join(products, "customer_id")
+        .select("customer_id", F.explode(snapshots).alias("s"))
+        .select("customer_id", "s.*")
+        .filter(F.col("n_lines") > 0)
     )
 
 
@@ -63,33 +105,17 @@ def churn_features(
 
     ``keep_spans`` keeps ``first_purchase`` and ``n_lines`` for the trend features.
     """
-    at = ntz(cutoff)
-    seen = sales.filter(F.col("invoice_date") <= at).withColumn(
-        "_home", F.coalesce(F.col("country") == home_country, F.lit(False)).cast("int")
-    )
-    features = _features(seen.groupBy("customer_id"), at)
     extra = ["first_purchase", "n_lines"] if keep_spans else []
+    features = _features(sales, {"cutoff": ntz(cutoff)}, home_country)
     return features.select("customer_id", *FEATURES, *extra)
 
 
 def snapshot_features(
     sales: DataFrame, cutoffs: dict[str, str], home_country: str = HOME_COUNTRY
 ) -> DataFrame:
-    """Churn features at several cutoffs from one scan, tagged by ``snapshot``."""
-    moments = F.array(
-        *[
-            F.struct(F.lit(name).alias("snapshot"), ntz(at).alias("cutoff"))
-            for name, at in cutoffs.items()
-        ]
-    )
-    seen = (
-        sales.withColumn("_home", F.coalesce(F.col("country") == home_country, F.lit(False)).cast("int"))
-        .withColumn("_at", F.explode(F.filter(moments, lambda m: F.col("invoice_date") <= m["cutoff"])))
-        .select("*", "_at.snapshot", "_at.cutoff")
-    )
-    return _features(seen.groupBy("snapshot", "cutoff", "customer_id"), F.col("cutoff")).select(
-        "snapshot", "customer_id", *FEATURES
-    )
+    """Churn features at several cutoffs from one pass, tagged by ``snapshot``."""
+    moments = {name: ntz(at) for name, at in cutoffs.items()}
+    return _features(sales, moments, home_country).select("snapshot", "customer_id", *FEATURES)
 
 
 def churn_dataset(

@@ -35,9 +35,10 @@ def add_rfm_scores(rfm: DataFrame, n_bins: int = 5) -> DataFrame:
 
     The three metrics are ranked in one pass over (metric, value, customer) rows.
     """
-    long = rfm.select(
-        "customer_id", *[F.col(c).cast("decimal(28,4)").alias(c) for c in METRICS]
-    ).unpivot("customer_id", list(METRICS), "metric", "value")
+    kept = [c for c in rfm.columns if c not in METRICS]
+    long = rfm.select(*kept, *[F.col(c).cast("decimal(28,4)").alias(c) for c in METRICS]).unpivot(
+        kept, list(METRICS), "metric", "value"
+    )
     ranked = running_totals(
         long,
         {"value": F.col("value"), "customer_id": F.col("customer_id")},
@@ -45,17 +46,17 @@ def add_rfm_scores(rfm: DataFrame, n_bins: int = 5) -> DataFrame:
         group=["metric"],
     ).withColumn("bin", quantile_bin(F.col("rank_running"), F.col("rank_all"), n_bins))
 
-    def score(metric: str) -> Column:
-        return F.max(F.when(F.col("metric") == metric, F.col("bin")))
+    def of(metric: str, column: str) -> Column:
+        return F.max(F.when(F.col("metric") == metric, F.col(column)))
 
-    bins = ranked.groupBy("customer_id").agg(
-        (F.lit(n_bins + 1) - score("recency_days")).alias("r_score"),
-        score("frequency").alias("f_score"),
-        score("monetary").alias("m_score"),
-    )
-    return rfm.join(bins, "customer_id").withColumn(
-        "rfm_segment", rule_segment(F.col("r_score"), F.col("f_score"), F.col("m_score"))
+    scored = ranked.groupBy("customer_id").agg(
+        *[F.first(c).alias(c) for c in kept if c != "customer_id"],
+        *[of(c, "value").cast(rfm.schema[c].dataType).alias(c) for c in METRICS],
+        (F.lit(n_bins + 1) - of("recency_days", "bin")).alias("r_score"),
+        of("frequency", "bin").alias("f_score"),
+        of("monetary", "bin").alias("m_score"),
     )
+    return scored.withColumn("rfm_segment", rule_segment(F.col("r_score"), F.col("f_score"), F.col("m_score")))
 
 
 def segment_sizes(scored: DataFrame) -> DataFrame:

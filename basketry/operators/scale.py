@@ -22,15 +22,21 @@ def _range_count(df: DataFrame) -> int:
     return max(MIN_RANGES, min(wanted, MAX_RANGES))
 
 
-def _with_range(df: DataFrame, key: Column) -> DataFrame:
+def _with_range(df: DataFrame, key: Column, carried: list[str]) -> DataFrame:
     """Add ``_range``, the index of the value range of a row's key; a pure function of the data.
 
-    The cut points are looked up by bisection, one projection per step.
+    The cut points are looked up by bisection, one projection per step. The sample carries the
+    summed columns along, so that it reads the same exchange as the sums do.
     """
     ranges = _range_count(df)
-    sample = df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(ranges * SAMPLE_PER_RANGE)
-    every = F.filter(
-        F.array_sort(F.collect_list("k")), lambda _, i: F.pmod(i, F.lit(SAMPLE_PER_RANGE)) == 0
+    sample = (
+        df.select(key.alias("k"), *carried)
+        .orderBy(F.xxhash64("k"), "k")
+        .limit(ranges * SAMPLE_PER_RANGE)
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("k", *carried)))
+    every = F.transform(
+        F.filter(ordered, lambda _, i: F.pmod(i, F.lit(SAMPLE_PER_RANGE)) == 0), lambda row: row["k"]
     )
     placed = df.withColumns({"_cuts": sample.agg(every.alias("c")).scalar(), "_range": F.lit(0)})
     for step in [2**i for i in reversed(range(ranges.bit_length()))]:
@@ -59,7 +65,7 @@ def running_totals(
     keyed = df.withColumns({f"_o_{n}": c for n, c in order.items()} | {f"_s_{n}": c for n, c in sums.items()})
     order_cols = [f"_o_{n}" for n in order]
     key = F.struct(*group, *order_cols)
-    ranged = _with_range(keyed, key)
+    ranged = _with_range(keyed, key, [f"_s_{n}" for n in sums])
 
     first = F.struct(*order_cols)
     totals = ranged.groupBy(*group, "_range").agg(
