@@ -10,10 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.sources.schemas import PIPELINE_LOG, RAW_CSV, SOURCE_COLUMNS
+from basketry.sources.schemas import CSV_TIMESTAMP, PIPELINE_LOG, RAW_CSV, SOURCE_COLUMNS
 
 log = logging.getLogger(__name__)
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def missing_columns(df: DataFrame) -> list[str]:
@@ -42,7 +41,7 @@ def read_csv_extract(spark: SparkSession, path: str) -> DataFrame:
     for name in named.columns:
         column = F.col(f"`{name}`")
         if name == "invoice_date":
-            column = F.to_timestamp_ntz(column, F.lit(TIMESTAMP_FORMAT))
+            column = F.to_timestamp_ntz(column, F.lit(CSV_TIMESTAMP))
         elif name == "customer_id":
             column = column.cast("double").cast("long")
         elif name in declared:
@@ -79,7 +78,9 @@ def read_table_or_empty(
     try:
         reader = spark.read.schema(schema).format(fmt)
         if fmt == "csv":
-            reader = reader.option("header", True).option("timestampNTZFormat", TIMESTAMP_FORMAT)
+            # Text that does not fit the declared type is an error, not a NULL.
+            reader = reader.option("header", True).option("timestampNTZFormat", CSV_TIMESTAMP)
+            reader = reader.option("mode", "FAILFAST")
         return reader.load(path)
     except AnalysisException as err:
         if "PATH_NOT_FOUND" not in str(err.getCondition() or ""):

@@ -34,6 +34,8 @@ RAW = T.StructType(
     [T.StructField(c, T.LongType() if c == "customer_id" else t) for c, t in _TYPES.items()]
 )
 MONEY = "decimal(18,4)"
+# CSV text of a timestamp, the same for reading and writing.
+CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 RUNS = T.StructType(
     [

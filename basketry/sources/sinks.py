@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.sources.schemas import CSV_TIMESTAMP
+
 
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None
@@ -12,7 +14,7 @@ def write_table(
     """Overwrite one result table; large sales tables are best partitioned by month."""
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).option("timestampNTZFormat", CSV_TIMESTAMP)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

@@ -28,6 +28,7 @@ def test_csv_extract_keeps_codes_and_unknown_columns(spark, csv_file):
     assert df.schema["invoice_date"].dataType.simpleString() == "timestamp_ntz"
     rows = {r["invoice"]: r for r in df.collect()}
     assert rows["489434"]["customer_id"] == 13085 and rows["489434"]["description"] == "GLASS BALL, 20"
+    assert str(rows["489434"]["invoice_date"]) == "2009-12-01 07:45:00"
     assert rows["C489449"]["customer_id"] is None and rows["C489449"]["quantity"] == -12
     assert {r["Till"] for r in rows.values()} == {"T1", "T2"}
     assert readers.missing_columns(df) == ["SourceSheet"]
