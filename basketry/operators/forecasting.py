@@ -167,29 +167,44 @@ def predict_additive(
 def additive_sweep(
     split: DataFrame, naive: DataFrame, configs: tuple[AdditiveConfig, ...] = ADDITIVE_SWEEP
 ) -> tuple[DataFrame, DataFrame]:
-    """Holdout metrics per series and configuration, and the holdout predictions.
+    """Metrics per series and configuration, and the holdout predictions.
 
-    Fits on everything before the test tail; ``naive`` has the seasonal-naive holdout forecast.
-    Adds each configuration's MAPE difference to the naive forecast.
+    The holdout is predicted from everything before it. ``val_mape`` comes from a fit on the train
+    rows alone and is NULL without validation rows. ``naive`` has the seasonal-naive holdout
+    forecast; each configuration's MAPE difference to it is added.
     """
-    coefs, spans = fit_additive(split.filter("split <> 'test'"), configs)
-    test = split.filter("split = 'test'").select("series_id", "ds", F.col("y").alias("actual"))
-    predicted = predict_additive(test, coefs, spans, configs)
-    metrics = predicted.groupBy("series_id", "config").agg(
-        *evaluation.forecast_metrics(F.col("actual"), F.col("yhat"))
-    )
+
+    def predictions(fit_on: str, part: str) -> DataFrame:
+        coefs, spans = fit_additive(split.filter(fit_on), configs)
+        rows = split.filter(F.col("split") == part).select("series_id", "ds", F.col("y").alias("actual"))
+        return predict_additive(rows, coefs, spans, configs)
+
+    def metrics(predicted: DataFrame, *columns) -> DataFrame:
+        return predicted.groupBy("series_id", "config").agg(*columns)
+
+    measures = evaluation.forecast_metrics(F.col("actual"), F.col("yhat"))
+    predicted = predictions("split <> 'test'", "test")
+    validation = metrics(predictions("split = 'train'", "val"), measures[2].alias("val_mape"))
     base = naive.groupBy("series_id").agg(
         evaluation.forecast_metrics(F.col("y"), F.col("naive"))[2].alias("naive_mape")
     )
-    compared = metrics.join(base, "series_id").withColumn(
-        "vs_naive_mape_delta", F.col("mape") - F.col("naive_mape")
+    compared = (
+        metrics(predicted, *measures)
+        .join(validation, ["series_id", "config"], "left")
+        .join(base, "series_id")
+        .withColumn("vs_naive_mape_delta", F.col("mape") - F.col("naive_mape"))
     )
     return compared, predicted
 
 
-def best_config(metrics: DataFrame) -> DataFrame:
-    """Configuration with the lowest MAPE per series, the first one on a tie."""
-    return metrics.groupBy("series_id").agg(F.min_by("config", F.struct("mape", "config")).alias("config"))
+def best_config(metrics: DataFrame, by: tuple[str, ...] = ("series_id",)) -> DataFrame:
+    """Configuration with the lowest validation MAPE, the first one on a tie.
+
+    Without validation rows the holdout MAPE decides.
+    """
+    score = F.avg(F.coalesce("val_mape", "mape")).alias("score")
+    scored = metrics.groupBy(*by, "config").agg(score)
+    return scored.groupBy(*by).agg(F.min_by("config", F.struct("score", "config")).alias("config"))
 
 
 # --- lag-window model -------------------------------------------------------------------------

@@ -104,10 +104,29 @@ def additive_job(split: DataFrame, runs_path: str | None = None) -> tuple[DataFr
     )
     _log(metrics, runs_path, EXPERIMENTS["forecast"],
          F.concat(F.lit("additive_config_"), F.col("config").cast("string")),
-         ["series_id", "config"], ["mae", "rmse", "mape", "vs_naive_mape_delta"])
+         ["series_id", "config"], ["mae", "rmse", "mape", "val_mape", "vs_naive_mape_delta"])
     return metrics, comparison
 
 
+def lag_job(
+    features: DataFrame,
+    configs: tuple[dict, ...] = forecasting.LAG_SWEEP,
+    max_iter: int = 50,
+    runs_path: str | None = None,
+) -> tuple[DataFrame, dict, DataFrame]:
+    """Sweep of the lag-window model: metrics, the configuration with the best mean validation
+    MAPE, and its holdout comparison."""
+    metrics, models = forecasting.lag_sweep(features, configs, max_iter)
+    metrics = cut(metrics)
+    scores = metrics.filter("split = 'val'").groupBy("config").agg(F.avg("mape").alias("score"))
+    best = scores.agg(F.min_by("config", F.struct("score", "config"))).first()[0]
+    model, lookback = models[best]
+    holdout = forecasting.predict_lag_model(model, forecasting.window_rows(features, lookback)).filter("split = 'test'")
+    _log(metrics, runs_path, EXPERIMENTS["forecast"], F.concat(F.lit("lag_config_"), F.col("config").cast("string")),
+         ["series_id", "split", *configs[0]], ["mae", "rmse", "mape"])
+    return metrics, configs[best], holdout
+
+
 def ensemble_job(
     features: DataFrame,
     config: forecasting.AdditiveConfig = forecasting.AdditiveConfig(),
@@ -231,8 +250,11 @@ def retraining_job(
     if "churn" in targets:
         churn_search_job(churn_split(churn_dataset), n_trials, max_iter, model_path, runs_path)
     if "forecast" in targets:
-        additive_job(demand_split, runs_path)
-        ensemble_job(with_calendar(demand_split), max_iter=lag_iterations, runs_path=runs_path)
+        features = with_calendar(demand_split)
+        metrics, _ = additive_job(demand_split, runs_path)
+        additive = forecasting.ADDITIVE_SWEEP[forecasting.best_config(metrics, ()).first()["config"]]
+        _, lag, _ = lag_job(features, max_iter=lag_iterations, runs_path=runs_path)
+        ensemble_job(features, additive, lag, lag_iterations, runs_path)
     after = _constraints(readers.read_table_or_empty(spark, runs_path, RUNS))
     churned = F.when(F.lit("churn" in targets), F.col("constraints.churn"))
     forecast = F.when(F.lit("forecast" in targets), F.col("constraints.forecast"))

@@ -111,7 +111,7 @@ def additive_forecast(spark, sf_dir):
 @query
 def lag_model(spark, sf_dir):
     features = jobs.with_calendar(_split_series(spark, sf_dir))
-    return forecasting.lag_sweep(features, forecasting.LAG_SWEEP[::2], LAG_ITERATIONS)[0]
+    return jobs.lag_job(features, forecasting.LAG_SWEEP[::2], LAG_ITERATIONS)[0]
 
 
 @query

@@ -228,3 +228,16 @@ def test_segmentation_job(spark, tmp_path):
     assert out.chosen_k in (6, 7) and out.segments.count() == 300
     assert out.segments.select("segment_name").distinct().count() == out.chosen_k
     assert spark.read.parquet(f"{tmp_path}/runs").count() == 4
+
+
+def test_retraining_logs_fresh_metrics(spark, tmp_path):
+    t = np.arange(300)
+    split = series.train_test_split(_daily(spark, 100 + 15 * np.sin(2 * np.pi * t / 7)), 56, 56)
+    report = jobs.retraining_job(
+        spark, ["forecast"], None, split, f"{tmp_path}/runs", f"{tmp_path}/model", f"{tmp_path}/log", lag_iterations=3
+    ).first()
+    assert report["retrained_churn"] is None and report["retrained_forecast"]["mape"] < 12
+    assert report["constraints_after_retraining"]["forecast"]["mape_meets_target"] is True
+    names = {r["run_name"] for r in spark.read.parquet(f"{tmp_path}/runs").select("run_name").collect()}
+    assert {"ensemble", "additive_config_0", "lag_config_3"} <= names
+    assert spark.read.json(f"{tmp_path}/log").first()["dag"] == "model_retraining"
