@@ -1,7 +1,7 @@
 """Whole-table orderings that never meet in one task.
 
 A window without ``partitionBy`` sends the whole table to one task. The helpers here split the
-order into value ranges instead: ranges are cut from a bounded hash sample of the ordering key,
+order into value ranges instead: ranges are cut from a hash sample of the ordering key,
 each range is summed on its own, and the few range totals give every range its offset. The
 ordering key must be unique, so a hot value is cut through its tie-breaker as well.
 """
@@ -12,14 +12,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MIN_RANGES, MAX_RANGES = 16, 2048
 SAMPLE_PER_RANGE = 16
+HASH_SPACE = 2**31
 
 
 def _range_count(df: DataFrame) -> int:
-    """As many ranges as the session has shuffle partitions, within bounds."""
-    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(MIN_RANGES, min(wanted, MAX_RANGES))
+    """As many ranges as the session has shuffle partitions."""
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def hash_sample(df: DataFrame, key: Column, wanted: int, carried: list[str] | None = None) -> DataFrame:
+    """About ``wanted`` rows of (k, carried...), chosen by a threshold on the hash of ``key``.
+
+    Every task filters its own rows, so only the sample itself travels. The count reads the same
+    columns as the sample does, so that both share one exchange of ``df`` with later sums.
+    """
+    carried = carried or []
+    rows = df.select(key.alias("k"), *carried)
+    size = rows.agg(
+        F.struct(F.count("*").alias("n"), F.bit_xor(F.xxhash64("k", *carried)).alias("read")).alias("s")
+    ).scalar()
+    share = F.lit(float(wanted)) / F.greatest(size["n"], F.lit(1))
+    return rows.filter(F.pmod(F.xxhash64("k"), F.lit(HASH_SPACE)) < F.lit(float(HASH_SPACE)) * share)
 
 
 def _with_range(df: DataFrame, key: Column, carried: list[str]) -> DataFrame:
@@ -29,17 +43,14 @@ def _with_range(df: DataFrame, key: Column, carried: list[str]) -> DataFrame:
     summed columns along, so that it reads the same exchange as the sums do.
     """
     ranges = _range_count(df)
-    sample = (
-        df.select(key.alias("k"), *carried)
-        .orderBy(F.xxhash64("k"), "k")
-        .limit(ranges * SAMPLE_PER_RANGE)
-    )
+    sample = hash_sample(df, key, ranges * SAMPLE_PER_RANGE, carried)
     ordered = F.array_sort(F.collect_list(F.struct("k", *carried)))
     every = F.transform(
         F.filter(ordered, lambda _, i: F.pmod(i, F.lit(SAMPLE_PER_RANGE)) == 0), lambda row: row["k"]
     )
     placed = df.withColumns({"_cuts": sample.agg(every.alias("c")).scalar(), "_range": F.lit(0)})
-    for step in [2**i for i in reversed(range(ranges.bit_length()))]:
+    # The sample size varies around its mean; twice the mean is out of reach.
+    for step in [2**i for i in reversed(range((2 * ranges + SAMPLE_PER_RANGE).bit_length()))]:
         beyond = F.get("_cuts", F.col("_range") + (step - 1)) <= key
         placed = placed.withColumn(
             "_range", F.when(beyond, F.col("_range") + step).otherwise(F.col("_range"))
@@ -72,7 +83,7 @@ def running_totals(
         *[F.sum(f"_s_{n}").alias(f"_t_{n}") for n in sums],
         *[F.min_by(source, first).alias(f"_f_{new}") for new, source in following.items()],
     )
-    # One row per range and group: at most MAX_RANGES + number of groups rows.
+    # One row per range and group: about the number of shuffle partitions plus that of groups.
     ahead = W.partitionBy(*group).orderBy("_range")
     before = ahead.rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(

@@ -38,7 +38,15 @@ def test_running_totals_per_group(hot):
 def test_ranges_split_the_hot_value(hot):
     key = F.struct("v", "id")
     sizes = [r["count"] for r in scale._with_range(hot, key, ["g"]).groupBy("_range").count().collect()]
-    assert len(sizes) >= scale.MIN_RANGES and max(sizes) < 4000 / 4
+    assert len(sizes) >= 6 and max(sizes) < 4000 / 3
+
+
+def test_sample_is_bounded_per_task_and_needs_no_order(spark):
+    """No top-k node, and 64 tasks together send about the wanted number of rows."""
+    df = spark.range(0, 64_000, 1, 64)
+    sample = scale.hash_sample(df, F.col("id"), 512)
+    assert "TakeOrderedAndProject" not in sample._jdf.queryExecution().executedPlan().toString()
+    assert 380 < sample.count() < 650
 
 
 @pytest.mark.parametrize("n", [1, 2, 13, 500])
