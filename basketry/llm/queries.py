@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, sharding
+from basketry.llm import chat, grammar, packing, sharding
+from basketry.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SHARDS = 40
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PROBE = "</s>[INST] ok [/INST]"
 
 
@@ -39,3 +42,14 @@ def op5_chat_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(table(spark, sf_dir, "documents"), SHARDS)
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query
+def op7_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), TOKENIZER))
+
+
+@query
+def op10_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "repair")
+    return grammar.read_corpus(grammar.write_corpus(table(spark, sf_dir, "documents"), folder, TOKENIZER))
