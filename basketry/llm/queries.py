@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, grammar, packing, sharding
+from basketry.llm import chat, grammar, packing, sharding, simhash
 from basketry.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,8 @@ def op7_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "repair")
     return grammar.read_corpus(grammar.write_corpus(table(spark, sf_dir, "documents"), folder, TOKENIZER))
+
+
+@query
+def op2_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.document_components(table(spark, sf_dir, "documents"))
