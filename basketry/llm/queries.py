@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, grammar, packing, sharding, simhash
+from basketry.llm import chat, decontam, grammar, packing, sharding, simhash
 from basketry.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,16 @@ def op10_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.document_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontam.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
