@@ -259,5 +259,6 @@ def read_corpus(manifest: DataFrame, docs_at_once: int = 4096) -> DataFrame:
                         ["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
 
-    spread = based.repartition("path")
+    # By number: the few bytes of the list must not make adaptive execution read all files in one task.
+    spread = based.repartition(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -99,6 +99,7 @@ def pack(pieces: DataFrame, length: int = LENGTH, group_rows: int = GROUP_ROWS)
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in staged.schema)
     return (
         staged.withColumn("_group", key)
+        .repartition(groups, "_group")
         .groupBy("_group")
         .applyInArrow(fill, f"{fields}, sequence_id long, offset long")
     )
