@@ -46,3 +46,18 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN counts USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+# Five hexadecimal digits are four base-32 digits.
+SQL["op1_warc_zip"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+named AS (
+  SELECT *, array_to_string(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)), '') AS digest
+  FROM p
+), best AS (SELECT html, max(page_id) AS response FROM p GROUP BY html)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> response THEN response END AS refers_to
+FROM named JOIN best USING (html)
+"""

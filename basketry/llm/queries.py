@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontam, grammar, packing, sharding, simhash
+from basketry.llm import chat, decontam, grammar, packing, sharding, simhash, warc
 from basketry.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,10 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query
+def op1_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.deduplicated(table(spark, sf_dir, "pages"))
+    packages = warc.write_packages(records, scratch_path(spark, "packages"))
+    return warc.read_packages(packages, ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
