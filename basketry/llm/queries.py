@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontam, grammar, packing, sharding, simhash, warc
+from basketry.llm import chat, decontam, grammar, packing, pii, sharding, simhash, warc
 from basketry.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,20 @@ def op1_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.deduplicated(table(spark, sf_dir, "pages"))
     packages = warc.write_packages(records, scratch_path(spark, "packages"))
     return warc.read_packages(packages, ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+
+
+@query
+def op4_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    is_kind = lambda kind: lambda span: span["kind"] == kind
+    found = pii.find(docs, pii.fit(docs))
+    counted = {f"n_{kind}": F.size(F.filter("base", is_kind(kind))).cast("long") for kind in pii.KINDS}
+    listed = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    return found.select(
+        "doc_id",
+        *[c.alias(n) for n, c in counted.items()],
+        F.sha2(listed("base"), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+    )
