@@ -7,7 +7,8 @@ library once per worker; ids are kept as little-endian unsigned 32-bit bytes.
 
 from __future__ import annotations
 
-import numpy as np
+import struct
+
 from tokenizers import Tokenizer
 
 CACHED_PIECES = 1_000_000  # distinct pieces a worker remembers; beyond it, it starts afresh
@@ -24,6 +25,10 @@ def _byte_characters() -> dict[int, str]:
 BYTE_CHARACTERS = _byte_characters()
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder(dict):
     """``encoder.ids(raw)``: the ids of a UTF-8 text as little-endian 32-bit bytes.
 
@@ -40,23 +45,26 @@ class Encoder(dict):
             return b""
         if len(self) > CACHED_PIECES:
             self.clear()
+        if b"<|" not in raw:  # special tokens are the only strings whose case the tokenizer sees
+            raw = raw.lower()
         # Only these six are white space for bytes; others stay inside a piece for the library.
         return b"".join([self[piece] for piece in raw.split()])
 
     def __missing__(self, piece: bytes) -> bytes:
         text = piece.decode("utf-8", "replace")
         word = text.rstrip(MARKS)
-        if word.isalpha() and max(word) < "\u0100":  # one word in composed form, perhaps marks after it
-            small = word.lower().encode()
-            if small == piece:  # nothing left for the steps before the model
-                found = self.model.tokenize(small.decode("latin-1").translate(BYTE_CHARACTERS))
-                ids = np.array([token.id for token in found], "<u4").tobytes()
-            else:
-                marks = text[len(word) :].encode()
-                ids = self[small] + self[marks] if marks else self[small]
+        if word.isalpha() and (word.isascii() or max(word) < "\u0100"):
+            # One word in composed form, perhaps with marks after it: only the model is needed.
+            small = word.lower()
+            key = small.encode()
+            ids = self.get(key)
+            if ids is None:
+                written = small if len(key) == len(small) else key.decode("latin-1").translate(BYTE_CHARACTERS)
+                ids = self[key] = _bytes([token.id for token in self.model.tokenize(written)])
+            if len(word) < len(text):
+                ids += self[text[len(word) :].encode()]
         else:
-            found = self.tokenizer.encode(text, add_special_tokens=False).ids
-            ids = np.asarray(found, "<u4").tobytes()
+            ids = _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
         self[piece] = ids
         return ids
 
