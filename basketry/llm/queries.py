@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontam, grammar, packing, pii, sharding, simhash, warc
+from basketry.llm import chat, decontam, grammar, packing, pii, sharding, simhash, toxicity, warc
 from basketry.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,15 @@ def op4_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed("base"), 256).alias("base_sha256"),
         listed("spans").alias("spans"),
     )
+
+
+@query
+def op3_toxicity_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
