@@ -9,8 +9,7 @@ from basketry.functions.expressions import ratio
 from basketry.operators.churn import HOME_COUNTRY, snapshot_features
 from basketry.operators.scale import running_totals
 
-# Sample size up to which the K-S test is used, verdict thresholds, columns.
-SMALL_SAMPLE = 1000
+# Verdict thresholds, columns, methods.
 P_THRESHOLD = 0.05
 DISTANCE_THRESHOLD = 0.1
 SHARE_THRESHOLD = 0.5
@@ -87,16 +86,15 @@ def drift_distances(snapshots: DataFrame, columns: tuple[str, ...]) -> DataFrame
     )
 
 
-def drift_summary(snapshots: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """(column, method, value, drifted): K-S for small references, else normed Wasserstein."""
-    small = F.col("n_reference") <= SMALL_SAMPLE
-    value = F.when(small, F.col("ks_p_value")).otherwise(F.col("wasserstein_normed"))
-    verdict = F.when(small, value < P_THRESHOLD).otherwise(value > DISTANCE_THRESHOLD)
+def drift_summary(snapshots: DataFrame, columns: tuple[str, ...], method: str) -> DataFrame:
+    """(column, method, value, drifted) by the named method, whatever the number of rows."""
+    if method not in (KS_METHOD, DISTANCE_METHOD):
+        raise ValueError(f"unknown drift method {method!r}")
+    by_test = method == KS_METHOD
+    value = F.col("ks_p_value") if by_test else F.col("wasserstein_normed")
+    verdict = value < P_THRESHOLD if by_test else value > DISTANCE_THRESHOLD
     return drift_distances(snapshots, columns).select(
-        "column",
-        F.when(small, KS_METHOD).otherwise(DISTANCE_METHOD).alias("method"),
-        value.alias("value"),
-        verdict.alias("drifted"),
+        "column", F.lit(method).alias("method"), value.alias("value"), verdict.alias("drifted")
     )
 
 
@@ -119,21 +117,29 @@ def churn_snapshots(
     )
 
 
-def demand_snapshots(flagged_daily: DataFrame, split_date: str, from_date: str | None = None) -> DataFrame:
+def demand_snapshots(flagged_daily: DataFrame, split_date: str) -> DataFrame:
     """Daily measures tagged by the period before or from the split date on."""
     days = flagged_daily.filter(~F.col("is_partial_day"))
-    if from_date is not None:
-        days = days.filter(F.col("date") >= F.lit(from_date).cast("date"))
     before = F.col("date") < F.lit(split_date).cast("date")
     return days.select(F.when(before, "reference").otherwise("current").alias("snapshot"), *DEMAND_COLUMNS)
 
 
+def churn_summary(snapshots: DataFrame) -> DataFrame:
+    """Churn features by their distance."""
+    return drift_summary(snapshots, CHURN_COLUMNS, DISTANCE_METHOD)
+
+
+def demand_summary(snapshots: DataFrame) -> DataFrame:
+    """Daily demand by the two-sample test."""
+    return drift_summary(snapshots, DEMAND_COLUMNS, KS_METHOD)
+
+
 def check_drift(churn: DataFrame, demand: DataFrame) -> DataFrame:
     """Both monitored models: share of drifted columns and recommendation."""
     return (
-        drift_share(drift_summary(churn, CHURN_COLUMNS))
+        drift_share(churn_summary(churn))
         .withColumn("model", F.lit("churn"))
-        .unionByName(drift_share(drift_summary(demand, DEMAND_COLUMNS)).withColumn("model", F.lit("forecast")))
+        .unionByName(drift_share(demand_summary(demand)).withColumn("model", F.lit("forecast")))
         .select("model", "n_drifted", "drifted_share", "retrain_recommended")
     )
 

@@ -13,7 +13,6 @@ from basketry.sources.order_sales import sales_lines
 # Parameters of the registered queries on the test tables.
 CUTOFF = "2001-05-03 00:00:00"
 REFERENCE_CUTOFF = "2001-01-22 00:00:00"
-DEMAND_FROM = "1999-08-01"
 DEMAND_SPLIT = "2000-08-01"
 HOME = "AFRICA"
 VALIDATION_DAYS = TEST_DAYS = 56

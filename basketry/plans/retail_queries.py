@@ -548,7 +548,7 @@ def _churn_snapshots(spark, sf_dir):
 
 
 def _demand_snapshots(spark, sf_dir):
-    return drift.demand_snapshots(P.daily_flagged(spark, sf_dir), P.DEMAND_SPLIT, P.DEMAND_FROM)
+    return drift.demand_snapshots(P.daily_flagged(spark, sf_dir), P.DEMAND_SPLIT)
 
 
 def _distances(table, *columns):
@@ -569,13 +569,13 @@ def drift_wasserstein(spark, sf_dir):
 
 @query
 def drift_churn(spark, sf_dir):
-    table = drift.drift_summary(_churn_snapshots(spark, sf_dir), drift.CHURN_COLUMNS)
+    table = drift.churn_summary(_churn_snapshots(spark, sf_dir))
     return P.rounded(table, 6, "value")
 
 
 @query
 def drift_demand(spark, sf_dir):
-    table = drift.drift_summary(_demand_snapshots(spark, sf_dir), drift.DEMAND_COLUMNS)
+    table = drift.demand_summary(_demand_snapshots(spark, sf_dir))
     return P.rounded(table, 6, "value")
 
 

@@ -704,7 +704,7 @@ cte("churn_values", "features reference_features", "\nUNION ALL ".join(
 cte("demand_values", "daily_all", "\nUNION ALL ".join(
     f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value, "
     f"CAST(date < DATE '2000-08-01' AS INTEGER) AS ref FROM daily_all "
-    "WHERE NOT is_partial_day AND date >= DATE '1999-08-01'"
+    "WHERE NOT is_partial_day"
     for c in _demand_columns
 ))
 
@@ -732,19 +732,19 @@ FROM (
 """
 
 
-def summary_body(distances: str) -> str:
-    return f"""
-SELECT "column", CASE WHEN n_reference <= 1000 THEN 'K-S p_value' ELSE 'Wasserstein distance (normed)' END AS method,
-       CASE WHEN n_reference <= 1000 THEN ks_p_value ELSE wasserstein_normed END AS value,
-       CASE WHEN n_reference <= 1000 THEN ks_p_value < 0.05 ELSE wasserstein_normed > 0.1 END AS drifted
-FROM {distances}
-"""
+def summary_body(distances: str, by_test: bool) -> str:
+    method, value, drifted = (
+        ("K-S p_value", "ks_p_value", "ks_p_value < 0.05")
+        if by_test
+        else ("Wasserstein distance (normed)", "wasserstein_normed", "wasserstein_normed > 0.1")
+    )
+    return f"""SELECT "column", '{method}' AS method, {value} AS value, {drifted} AS drifted FROM {distances}"""
 
 
 cte("churn_distances", "churn_values", distances_body("churn_values"))
 cte("demand_distances", "demand_values", distances_body("demand_values"))
-cte("churn_summary", "churn_distances", summary_body("churn_distances"))
-cte("demand_summary", "demand_distances", summary_body("demand_distances"))
+cte("churn_summary", "churn_distances", summary_body("churn_distances", False))
+cte("demand_summary", "demand_distances", summary_body("demand_distances", True))
 cte("checked", "churn_summary demand_summary", "\nUNION ALL ".join(
     f"""SELECT '{m}' AS model, count(*) FILTER (WHERE drifted) AS n_drifted,
        avg(CAST(drifted AS INTEGER)) AS drifted_share, avg(CAST(drifted AS INTEGER)) >= 0.5 AS retrain_recommended
