@@ -24,6 +24,7 @@ from basketry.operators import (
 )
 from basketry.plans import prepared as P
 from basketry.sources import readers
+from basketry.sources.order_sales import sales_lines
 from basketry.sources.schemas import SOURCE_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,10 +46,10 @@ def query(fn: Query) -> Query:
 @query
 def union_yearly(spark, sf_dir):
     """Two period extracts, tagged with their origin and stacked again."""
-    lines = P.raw_lines(spark, sf_dir).drop("source_sheet")
-    early = F.col("invoice_date") < F.lit("1998-01-01").cast("timestamp_ntz")
+    early = F.coalesce(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"), F.lit(False))
+    extracts = {"before 1998": early, "from 1998": ~early}
     return readers.union_yearly(
-        {"before 1998": lines.filter(early), "from 1998": lines.filter(~early)}
+        {name: sales_lines(spark, sf_dir, of).drop("source_sheet") for name, of in extracts.items()}
     )
 
 
@@ -503,7 +504,7 @@ def risk_list(spark, sf_dir):
 def kpis(spark, sf_dir):
     return serving.kpis(
         daily.daily_aggregates(P.completed(spark, sf_dir)), _rfm(spark, sf_dir), _risk(spark, sf_dir)
-    ).drop("total_revenue_text")
+    )
 
 
 @query
@@ -514,7 +515,7 @@ def inventory_search(spark, sf_dir):
 
 @query
 def report_top10(spark, sf_dir):
-    return serving.report_top10(_risk(spark, sf_dir), _recommended(spark, sf_dir)).drop("detail")
+    return serving.report_top10(_risk(spark, sf_dir), _recommended(spark, sf_dir))
 
 
 @query

@@ -8,7 +8,7 @@ zero prices, exact duplicates) by fixed formulas on the keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.sources.schemas import RAW
@@ -19,22 +19,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread an input that has fewer splits than the session has cores over all cores.
+    """Deal an input out over ``basketry.input.partitions`` tasks, if the session sets that.
 
-    Large inputs have more splits than cores and pass through without a shuffle.
+    For single-file inputs on one machine; files of a cluster have splits enough.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    wanted = df.sparkSession.conf.get("basketry.input.partitions", None)
+    return df.repartition(int(wanted), *keys) if wanted else df
 
 
-def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw transaction lines, one row per invoice line, duplicates included."""
+def sales_lines(spark: SparkSession, sf_dir: str, of_orders: Column | None = None) -> DataFrame:
+    """Raw transaction lines, one row per invoice line, duplicates included.
+
+    ``of_orders`` restricts the orders before anything is joined to them.
+    """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_returnflag",
     )
     lines = spread(lines, "l_orderkey", "l_linenumber")
-    orders = table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders")
+    orders = (orders if of_orders is None else orders.filter(of_orders)).select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus", "o_orderdate"
     )
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")

@@ -644,6 +644,7 @@ ORDER BY churn_probability DESC, s.customer_id LIMIT 200
 """)
 oracle("kpis", "daily_all rfm risk", """
 SELECT (SELECT CAST(sum(revenue) AS DOUBLE) FROM daily_all) AS total_revenue,
+       (SELECT '£' || format('{:,.0f}', CAST(sum(revenue) AS DOUBLE)) FROM daily_all) AS total_revenue_text,
        (SELECT count(*) FROM rfm) AS customers_segmented,
        (SELECT count(*) FROM risk WHERE churn_probability >= 0.5) AS customers_at_risk
 """)
@@ -656,10 +657,11 @@ ORDER BY r.reorder_point DESC, stock_code LIMIT 200
 """)
 oracle("report_top10", "risk reco", """
 SELECT 'risk' AS list, CAST(customer_id AS VARCHAR) AS item,
-       format('{:,.1f}%', churn_probability * 100) AS value
+       format('{:,.1f}%', churn_probability * 100) AS value,
+       '£' || format('{:,.0f}', CAST(monetary AS DOUBLE)) AS detail
 FROM (SELECT * FROM risk ORDER BY churn_probability DESC, customer_id LIMIT 10)
 UNION ALL
-SELECT 'reorder', stock_code, format('{:,.0f}', reorder_point)
+SELECT 'reorder', stock_code, format('{:,.0f}', reorder_point), substr(description, 1, 30)
 FROM (SELECT * FROM reco ORDER BY reorder_point DESC, stock_code LIMIT 10)
 """)
 cte("ranked", "scored", """
