@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -265,11 +266,16 @@ def dbscan(
 
 
 def sweep_eps(
-    points: DataFrame, id_col: str, columns: tuple[str, ...], eps_values: list[float], min_samples: int = 10
+    points: DataFrame,
+    id_col: str,
+    columns: tuple[str, ...],
+    eps_values: list[float],
+    min_samples: int = 10,
+    parallelism: int = 6,
 ) -> DataFrame:
     """Clusters, noise and silhouette of the non-noise points per eps."""
-    rows = []
-    for eps in eps_values:
+
+    def measure(eps: float) -> tuple:
         labelled = dbscan(points, id_col, columns, eps, min_samples)
         n, noise, clusters = labelled.agg(
             F.count("*"),
@@ -280,6 +286,9 @@ def sweep_eps(
         if clusters >= 2 and n - noise > clusters:
             kept = as_vectors(points.join(labelled.filter(F.col("cluster") != NOISE), id_col), columns)
             silhouette = ClusteringEvaluator(predictionCol="cluster").evaluate(kept)
-        rows.append((float(eps), clusters, noise, noise / n * 100 if n else None, silhouette))
+        return float(eps), clusters, noise, noise / n * 100 if n else None, silhouette
+
+    with ThreadPoolExecutor(parallelism) as pool:  # independent radii share the cluster
+        rows = list(pool.map(measure, eps_values))
     schema = "eps double, n_clusters long, n_noise long, noise_pct double, silhouette double"
     return points.sparkSession.createDataFrame(rows, schema)

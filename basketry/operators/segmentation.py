@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -13,10 +16,13 @@ from pyspark.sql import functions as F
 
 from basketry.functions.expressions import octant_label
 from basketry.operators.rfm import METRICS
+from basketry.operators.scale import hash_sample
 from basketry.session import cut
 
 SCALED = tuple(f"{c}_scaled" for c in METRICS)
 NOISE = -1
+MAX_ITER, TOLERANCE = 300, 1e-4  # iterations at most, and the squared movement that counts as rest
+SEED_ROWS = 10_000
 # Qualifiers for clusters that share a base name, by falling monetary mean.
 QUALIFIERS = ("premium", "core", "emerging", "marginal")
 
@@ -48,46 +54,127 @@ def as_vectors(scaled: DataFrame, columns: tuple[str, ...] = SCALED) -> DataFram
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(scaled)
 
 
-def fit_kmeans(vectors: DataFrame, k: int, seed: int = 42, n_init: int = 10) -> KMeansModel:
-    """Best of ``n_init`` seeded fits by training cost."""
-    models = _fit_all(vectors, [(k, seed + i) for i in range(n_init)])
-    return min(models.values(), key=lambda m: m.summary.trainingCost)
-
-
-def _fit_all(vectors: DataFrame, jobs: list[tuple[int, int]], parallelism: int = 8) -> dict:
-    def fit(job: tuple[int, int]) -> KMeansModel:
-        return KMeans(k=job[0], seed=job[1], initMode="k-means||", maxIter=30).fit(vectors)
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        return dict(zip(jobs, pool.map(fit, jobs), strict=True))
+@dataclass(frozen=True)
+class Centers:
+    """A k-means fit: its centers, the sum of squared distances, and the iterations it took."""
+
+    centers: np.ndarray
+    cost: float
+    iterations: int
+
+    def assign(self, rows: DataFrame, columns: tuple[str, ...] = SCALED, name: str = "cluster") -> DataFrame:
+        """The nearest center of every row, the smaller number on a tie."""
+
+        def squared(center) -> Column:
+            terms = [(F.col(c) - float(v)) * (F.col(c) - float(v)) for c, v in zip(columns, center, strict=True)]
+            return sum(terms[1:], terms[0])
+
+        nearest = F.array_min(F.array(*[F.struct(squared(c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(self.centers)]))
+        return rows.withColumn(name, nearest["i"])
+
+
+def _first_centers(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k-means++ on a sample."""
+    rng = np.random.default_rng(seed)
+    centers = [sample[rng.integers(len(sample))]]
+    for _ in range(k - 1):
+        apart = np.min([((sample - c) ** 2).sum(1) for c in centers], axis=0)
+        total = apart.sum()
+        centers.append(sample[rng.choice(len(sample), p=apart / total)] if total > 0 else sample[rng.integers(len(sample))])
+    return np.array(centers)
+
+
+def _lloyd_step(rows: DataFrame, columns: tuple[str, ...], centers: dict[int, np.ndarray]) -> dict[int, dict[int, tuple]]:
+    """For every fit: cluster -> (rows, cost, sums...). One pass over the rows for all fits."""
+    width = len(columns)
+    names = ["fit", "cluster", "n", "cost", *[f"s{i}" for i in range(width)]]
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = {f: np.zeros((len(c), width + 2)) for f, c in centers.items()}
+        for batch in batches:
+            points = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], 1)
+            for f, c in centers.items():
+                squared = ((points[:, None, :] - c[None]) ** 2).sum(2)
+                nearest = squared.argmin(1)
+                cost = squared[np.arange(len(points)), nearest]
+                for i, weights in enumerate((None, cost, *points.T)):
+                    totals[f][:, i] += np.bincount(nearest, weights, len(c))
+        lines = [(f, j, *row) for f, table in totals.items() for j, row in enumerate(table.tolist())]
+        arrays = [pa.array(v, pa.int32() if i < 2 else pa.float64()) for i, v in enumerate(zip(*lines, strict=True))]
+        yield pa.RecordBatch.from_arrays(arrays, names)
+
+    schema = "fit int, cluster int, " + ", ".join(f"{n} double" for n in names[2:])
+    partial = rows.select(*columns).mapInArrow(sums, schema)
+    out: dict[int, dict[int, tuple]] = {}
+    for r in partial.groupBy("fit", "cluster").agg(*[F.sum(n).alias(n) for n in names[2:]]).collect():
+        out.setdefault(r["fit"], {})[r["cluster"]] = tuple(r)[2:]
+    return out
+
+
+def fit_starts(
+    rows: DataFrame, jobs: list[tuple[int, int]], columns: tuple[str, ...] = SCALED,
+    max_iter: int = MAX_ITER, tolerance: float = TOLERANCE, sample: int = SEED_ROWS,
+) -> dict[tuple[int, int], Centers]:
+    """Lloyd's iterations of all (k, seed) pairs side by side, each until its centers rest.
+
+    An iteration is one pass over all rows, whatever the number of fits; what comes back is one
+    row per fit and cluster. The first centers are drawn from about ``sample`` rows; ``rows`` should
+    be cached or checkpointed.
+    """
+    key = F.struct(*[F.col(c) for c in rows.columns if c != "features"])
+    drawn = hash_sample(rows, key, sample, list(columns)).select(*columns).collect()
+    start = np.array(sorted(map(tuple, drawn)), float).reshape(-1, len(columns))
+    if not len(start):
+        raise ValueError("no rows to cluster")
+    centers = {i: _first_centers(start, k, seed) for i, (k, seed) in enumerate(jobs)}
+    moving, done = dict(centers), {}
+    for iteration in range(1, max_iter + 1):
+        for fit, clusters in _lloyd_step(rows, columns, moving).items():
+            table = np.array([clusters[j] for j in range(len(moving[fit]))])
+            filled = table[:, 0] > 0
+            moved = moving[fit].copy()
+            moved[filled] = table[filled, 2:] / table[filled, :1]
+            rests = ((moved - moving[fit]) ** 2).sum() <= tolerance
+            if rests or iteration == max_iter:
+                done[fit] = Centers(moving.pop(fit), float(table[:, 1].sum()), iteration)
+            else:
+                moving[fit] = moved
+        if not moving:
+            break
+    return {job: done[i] for i, job in enumerate(jobs)}
+
+
+def fit_kmeans(rows: DataFrame, k: int, seed: int = 42, n_init: int = 10, max_iter: int = MAX_ITER) -> Centers:
+    """Best of ``n_init`` seeded fits by cost."""
+    fits = fit_starts(rows, [(k, seed + i) for i in range(n_init)], max_iter=max_iter)
+    return min(fits.values(), key=lambda f: f.cost)
 
 
 def sweep_kmeans(
-    vectors: DataFrame, ks: range = range(2, 13), seed: int = 42, n_init: int = 10
-) -> tuple[DataFrame, dict[int, KMeansModel]]:
-    """Inertia, silhouette and Davies-Bouldin index per k, and the best model of every k.
+    vectors: DataFrame, ks: range = range(2, 13), seed: int = 42, n_init: int = 10, max_iter: int = MAX_ITER
+) -> tuple[DataFrame, dict[int, Centers]]:
+    """Inertia, silhouette and Davies-Bouldin index per k, and the best fit of every k.
 
-    Fits of all k and seeds run side by side; ``vectors`` should be cached or checkpointed.
+    ``vectors`` should be cached or checkpointed.
     """
-    fits = _fit_all(vectors, [(k, seed + i) for k in ks for i in range(n_init)])
-    best: dict[int, KMeansModel] = {}
-    for (k, _), model in fits.items():
-        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-            best[k] = model
+    fits = fit_starts(vectors, [(k, seed + i) for k in ks for i in range(n_init)], max_iter=max_iter)
+    best: dict[int, Centers] = {}
+    for (k, _), fit in fits.items():
+        if k not in best or fit.cost < best[k].cost:
+            best[k] = fit
 
     def silhouette(k: int) -> tuple[int, float, float]:
-        labelled = best[k].transform(vectors)
-        return k, best[k].summary.trainingCost, ClusteringEvaluator().evaluate(labelled)
+        labelled = best[k].assign(vectors, name="prediction").withColumn("prediction", F.col("prediction").cast("double"))
+        return k, best[k].cost, ClusteringEvaluator().evaluate(labelled)
 
     with ThreadPoolExecutor(8) as pool:
-        rows = list(pool.map(silhouette, sorted(best)))
-    labels = vectors
-    for k, model in best.items():
-        labels = model.setPredictionCol(f"k{k}").transform(labels)
-        model.setPredictionCol("prediction")
+        scores = list(pool.map(silhouette, sorted(best)))
+    labels = vectors.select(*SCALED)
+    for k, fit in best.items():
+        labels = fit.assign(labels, name=f"k{k}")
     long = labels.unpivot(list(SCALED), [f"k{k}" for k in best], "k", "cluster")
     index = davies_bouldin(long.withColumn("k", F.substring("k", 2, 9).cast("int")), SCALED, by=("k",))
-    table = vectors.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+    table = vectors.sparkSession.createDataFrame(scores, "k int, inertia double, silhouette double")
     return cut(table.join(index, "k")), best
 
 

@@ -71,7 +71,7 @@ def segmentation_job(
     vectors = segmentation.as_vectors(scaled).cache()
     sweep, models = segmentation.sweep_kmeans(vectors, ks, n_init=n_init)
     k = segmentation.choose_k(sweep, TARGET_RANGE)
-    labelled = models[k].transform(vectors).withColumnRenamed("prediction", "cluster")
+    labelled = models[k].assign(vectors)
     segments = cut(segmentation.label_segments(labelled.drop("features", *segmentation.SCALED)))
     vectors.unpersist()
     _log(sweep, runs_path, EXPERIMENTS["segments"], F.concat(F.lit("kmeans_k"), F.col("k").cast("string")),

@@ -63,7 +63,7 @@ def strat_split(spark, sf_dir):
 @query
 def kmeans_sweep(spark, sf_dir):
     vectors = segmentation.as_vectors(cut(_scaled(spark, sf_dir))).cache()
-    sweep, _ = segmentation.sweep_kmeans(vectors, n_init=N_INIT)
+    sweep, _ = segmentation.sweep_kmeans(vectors)
     vectors.unpersist()
     return sweep
 
@@ -71,7 +71,7 @@ def kmeans_sweep(spark, sf_dir):
 @query
 def kmeans_segments(spark, sf_dir):
     table = rfm.compute_rfm(P.customers(spark, sf_dir))
-    return jobs.segmentation_job(table, range(6, 9), N_INIT).segments
+    return jobs.segmentation_job(table).segments
 
 
 @query
@@ -80,6 +80,14 @@ def dbscan(spark, sf_dir):
     return density.dbscan(scaled, "customer_id", segmentation.SCALED, 0.3, jobs.MIN_SAMPLES)
 
 
+@query
+def dbscan_sweep(spark, sf_dir):
+    """All radii, and whether the density clustering is viable with one of them."""
+    scaled = cut(_scaled(spark, sf_dir))
+    table = density.sweep_eps(scaled, "customer_id", segmentation.SCALED, jobs.EPS_VALUES, jobs.MIN_SAMPLES)
+    return table.withColumn("viable", F.col("n_clusters").between(*jobs.TARGET_RANGE))
+
+
 @query
 def pca2(spark, sf_dir):
     table, explained = segmentation.project_2d(segmentation.as_vectors(_scaled(spark, sf_dir)))

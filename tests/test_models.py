@@ -241,3 +241,21 @@ def test_retraining_logs_fresh_metrics(spark, tmp_path):
     names = {r["run_name"] for r in spark.read.parquet(f"{tmp_path}/runs").select("run_name").collect()}
     assert {"ensemble", "additive_config_0", "lag_config_3"} <= names
     assert spark.read.json(f"{tmp_path}/log").first()["dag"] == "model_retraining"
+
+
+def test_kmeans_fits_rest_at_the_means_of_their_rows(spark):
+    from basketry.operators import segmentation
+
+    rng = np.random.default_rng(0)
+    points = np.concatenate([rng.normal(m, 0.3, (60, 3)) for m in (0, 3, 6)])
+    rows = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(points)], ["customer_id", *segmentation.SCALED]).cache()
+    fits = segmentation.fit_starts(rows, [(k, s) for k in (2, 3) for s in range(4)])
+    for (k, _), fit in fits.items():
+        assert len(fit.centers) == k and fit.iterations < segmentation.MAX_ITER
+        nearest = ((points[:, None] - fit.centers[None]) ** 2).sum(2)
+        assert fit.cost == pytest.approx(nearest.min(1).sum())
+        for j in set(nearest.argmin(1)):
+            assert fit.centers[j] == pytest.approx(points[nearest.argmin(1) == j].mean(0), abs=0.05)
+        got = {r["customer_id"]: r["cluster"] for r in fit.assign(rows).collect()}
+        assert [got[i] for i in range(len(points))] == nearest.argmin(1).tolist()
+    assert min(f.cost for (k, _), f in fits.items() if k == 3) < 0.3 * min(f.cost for (k, _), f in fits.items() if k == 2)
