@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators.evaluation import auc, classification_metrics, score_counts
 from basketry.operators.scale import running_totals
+from basketry.operators.trials import run_trials
 
 
 @dataclass(frozen=True)
@@ -160,21 +161,20 @@ def search(
     n_trials: int = 60,
     seed: int = 42,
     max_iter: tuple[int, int] = (100, 800),
-    parallelism: int = 4,
 ) -> tuple[DataFrame, PipelineModel]:
-    """Random search by validation AUC; one row of test metrics for the winner, and its model."""
-    configs = draw_configs(n_trials, seed, max_iter)
-
-    def trial(config: TreeConfig) -> tuple[float, PipelineModel]:
-        model = fit_trees(split, features, label, config)
-        return validation_auc(model, split, label), model
+    """Random search by validation AUC; one row of test metrics for the winner, and its model.
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        done = list(pool.map(trial, configs))
-    best = max(range(n_trials), key=lambda i: (done[i][0], -i))
-    val_auc, model = done[best]
-    row = (n_trials, *asdict(configs[best]).values(), val_auc, *evaluate(model, split, label).first())
-    names = ["n_trials", *asdict(configs[best]), "val_auc", "auc_roc", "precision_at_top20pct"]
+    Trials run as tasks on a bounded sample; the winner is fitted on all rows for as many rounds as
+    its trial found best.
+    """
+    configs = draw_configs(n_trials, seed, max_iter)
+    done = run_trials(split, features, label, [asdict(c) for c in configs], seed)
+    best = max(range(n_trials), key=lambda i: (done[i][0] or 0.0, -i))
+    chosen = replace(configs[best], n_estimators=max(1, done[best][1]))
+    model = fit_trees(split, features, label, chosen, seed)
+    val_auc = validation_auc(model, split, label)
+    row = (n_trials, *asdict(chosen).values(), val_auc, *evaluate(model, split, label).first())
+    names = ["n_trials", *asdict(chosen), "val_auc", "auc_roc", "precision_at_top20pct"]
     names += ["precision_at_threshold", "recall_at_threshold"]
     return split.sparkSession.createDataFrame([row], names), model
 
@@ -201,28 +201,30 @@ def shapley_values(
     background: DataFrame,
     id_col: str = "customer_id",
     permutations: int = 8,
-    background_size: int = 32,
     seed: int = 42,
 ) -> DataFrame:
     """Sampled Shapley contribution (log-odds) per row and feature: (id, feature, contribution).
 
     For every row and sampled feature order, features switch one by one from a background row to
     the row's own values. A prediction counts for the feature just switched on and against the
-    one switched on next, so the sums need no ordering. The background is a fixed number of rows.
+    one switched on next, so the sums need no ordering. Every (row, order) draws its background
+    row by number from the whole background, so large backgrounds are used in full.
     """
     names = feature_names(model)
     d = len(names)
     values = F.array(*[F.col(n).cast("double") for n in names])
-    chosen = background.select(values.alias("b"), F.xxhash64(F.col(id_col), F.lit(seed)).alias("h"))
-    reference = chosen.orderBy("h").limit(background_size).agg(F.collect_list("b").alias("b")).scalar()
+    numbered = running_totals(
+        background.select(id_col, values.alias("_ref")), {"id": F.col(id_col)}, {"n": F.lit(1).cast("long")}
+    ).select((F.col("n_running") - 1).alias("_at"), "_ref")
+    size = background.agg(F.count("*")).scalar()
     index = F.sequence(F.lit(0), F.lit(d - 1))
     hashed = F.transform(index, lambda j: F.struct(F.xxhash64(F.col("_id"), F.col("_p"), F.lit(seed), j).alias("h"), j.alias("j")))
     orders = (
         rows.select(F.col(id_col).alias("_id"), values.alias("_row"))
-        .withColumn("_refs", reference)
         .withColumn("_p", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
         .withColumn("_order", F.transform(F.array_sort(hashed), lambda s: s["j"]))
-        .withColumn("_ref", F.get("_refs", F.pmod(F.xxhash64("_id", "_p", F.lit(seed)), F.size("_refs")).cast("int")))
+        .withColumn("_at", F.pmod(F.xxhash64("_id", "_p", F.lit(seed)), size))
+        .join(numbered, "_at")
         .withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(d))))
     )
     mixed = F.transform(
@@ -233,7 +235,7 @@ def shapley_values(
     )
     margins = (
         model.stages[-1]
-        .transform(orders.withColumn("features", array_to_vector(mixed)).drop("_row", "_refs", "_ref"))
+        .transform(orders.withColumn("features", array_to_vector(mixed)).drop("_row", "_at", "_ref"))
         .withColumn("_margin", vector_to_array("rawPrediction")[1] * 2)
     )
     parts = F.filter(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -26,10 +24,6 @@ from basketry.session import cut, scratch_path
 from basketry.sources import readers
 from basketry.sources.schemas import RUNS
 
-# Sizes of the registered fits; the operators default to the full ones.
-TREES = (churn_model.TreeConfig(4, 0.1, 20), churn_model.TreeConfig(3, 0.05, 30))
-N_INIT, TRIALS, SEARCH_ITERATIONS, LAG_ITERATIONS = 2, 4, (10, 25), 10
-
 
 def _scaled(spark, sf_dir):
     return segmentation.scaled_rfm(rfm.compute_rfm(P.customers(spark, sf_dir)))
@@ -43,15 +37,13 @@ def _dataset(spark, sf_dir):
     return churn.enriched_dataset(P.customers(spark, sf_dir), P.CUTOFF, home_country=P.HOME)
 
 
-@cache
 def _churn_split(spark, sf_dir):
     return jobs.churn_split(_dataset(spark, sf_dir))
 
 
-@cache
-def _churn_fit(spark, sf_dir) -> PipelineModel:
+def _churn_fit(split) -> PipelineModel:
     features = [*churn.FEATURES, *churn.TREND_FEATURES]
-    return churn_model.fit_trees(_churn_split(spark, sf_dir), features, "churned", TREES[0])
+    return churn_model.fit_trees(split, features, "churned", churn_model.TREE_SWEEP[0])
 
 
 @query
@@ -119,13 +111,13 @@ def additive_forecast(spark, sf_dir):
 @query
 def lag_model(spark, sf_dir):
     features = jobs.with_calendar(_split_series(spark, sf_dir))
-    return jobs.lag_job(features, forecasting.LAG_SWEEP[::2], LAG_ITERATIONS)[0]
+    return jobs.lag_job(features)[0]
 
 
 @query
 def ensemble_run(spark, sf_dir):
     features = jobs.with_calendar(_split_series(spark, sf_dir))
-    return jobs.ensemble_job(features, max_iter=LAG_ITERATIONS)[0]
+    return jobs.ensemble_job(features)[0]
 
 
 @query
@@ -139,19 +131,19 @@ def whatif_forecast(spark, sf_dir):
 
 @query
 def gbt_churn(spark, sf_dir):
-    return jobs.churn_sweep_job(_churn_split(spark, sf_dir), TREES)[0]
+    return jobs.churn_sweep_job(_churn_split(spark, sf_dir))[0]
 
 
 @query
 def churn_search(spark, sf_dir):
-    return jobs.churn_search_job(_churn_split(spark, sf_dir), TRIALS, SEARCH_ITERATIONS)[0]
+    return jobs.churn_search_job(_churn_split(spark, sf_dir))[0]
 
 
 @query
 def feature_importance(spark, sf_dir):
     split = _churn_split(spark, sf_dir)
     contributions = churn_model.shapley_values(
-        _churn_fit(spark, sf_dir), split.filter("split = 'test'"), split.filter("split = 'train'")
+        _churn_fit(split), split.filter("split = 'test'"), split.filter("split = 'train'")
     )
     return churn_model.feature_importance(contributions)
 
@@ -159,7 +151,7 @@ def feature_importance(spark, sf_dir):
 @query
 def risk_scores(spark, sf_dir):
     path = scratch_path(spark, "churn_model")
-    churn_model.save_model(_churn_fit(spark, sf_dir), path)
+    churn_model.save_model(_churn_fit(_churn_split(spark, sf_dir)), path)
     model = churn_model.load_model(spark, path, spark.createDataFrame([], RUNS), jobs.SEARCH_RUN)
     return churn_model.score_customers(model, _dataset(spark, sf_dir).drop("churned"))
 

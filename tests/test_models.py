@@ -192,7 +192,7 @@ def test_scoring_orders_and_checks_columns(model, customers):
 def test_contributions_add_up_and_rank(spark, model, customers):
     rows = customers.filter("split = 'test'").limit(20).cache()
     one = customers.filter("customer_id = 7")
-    values = churn_model.shapley_values(model, rows, one, permutations=3, background_size=1)
+    values = churn_model.shapley_values(model, rows, one, permutations=3)
     sums = {r["customer_id"]: r["s"] for r in values.groupBy("customer_id").agg(F.sum("contribution").alias("s")).collect()}
 
     def margin(df):
@@ -259,3 +259,18 @@ def test_kmeans_fits_rest_at_the_means_of_their_rows(spark):
         got = {r["customer_id"]: r["cluster"] for r in fit.assign(rows).collect()}
         assert [got[i] for i in range(len(points))] == nearest.argmin(1).tolist()
     assert min(f.cost for (k, _), f in fits.items() if k == 3) < 0.3 * min(f.cost for (k, _), f in fits.items() if k == 2)
+
+
+def test_trials_rank_configurations(spark):
+    from basketry.operators import trials
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(900, 3))
+    y = (x[:, 0] * x[:, 1] + 0.2 * rng.normal(size=900) > 0).astype(int)
+    rows = [(i, *map(float, x[i]), int(y[i]), ("train", "val", "test")[i % 3 if i % 6 else 0]) for i in range(900)]
+    split = spark.createDataFrame(rows, "customer_id long, a double, b double, c double, churned int, split string")
+    base = dict(learning_rate=0.1, n_estimators=100, subsample=0.8, colsample=1.0, min_child=1, min_gain=0.0)
+    (stump, _), (deep, rounds) = trials.run_trials(split, ["a", "b", "c"], "churned", [base | {"max_depth": 1}, base | {"max_depth": 4}])
+    assert deep > 0.9 > stump and 1 <= rounds <= 100
+    assert trials.rank_auc(np.array([1.0, 1.0, 0.0, 2.0]), np.array([1, 0, 0, 1])) == 0.875
+    assert trials.rank_auc(np.ones(3), np.ones(3)) is None
