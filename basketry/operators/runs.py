@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,29 +28,55 @@ def run_records(
     run_name: Column,
     params: list[str],
     metrics: list[str],
+    started: datetime | None = None,
     parent_run_id: str | None = None,
 ) -> DataFrame:
-    """Turn rows of sweep results into run records, one per row."""
+    """Turn rows of results into run records, one per row, each with an id of its own.
+
+    ``started`` is when the work began (UTC); the records end now.
+    """
 
     def entries(names: list[str], to: str) -> Column:
         pairs = F.array(*[F.struct(F.lit(n).alias("k"), F.col(n).cast(to).alias("v")) for n in names])
         return F.map_from_entries(F.filter(pairs, lambda p: p["v"].isNotNull()))
 
-    now = F.current_timestamp().cast("timestamp_ntz")
+    now = datetime.now(UTC).replace(tzinfo=None)
+    call = uuid.uuid4().hex  # tells this call from every other one
+    named = F.concat_ws("|", F.lit(call), F.lit(experiment), run_name, *[F.col(p).cast("string") for p in params])
     return results.select(
-        F.sha2(F.concat_ws("|", F.lit(experiment), run_name, *[F.col(p).cast("string") for p in params]), 256)
+        F.sha2(named, 256)
         .substr(1, 32)
         .alias("run_id"),
         F.lit(parent_run_id).cast("string").alias("parent_run_id"),
         F.lit(experiment).alias("experiment"),
         run_name.alias("run_name"),
-        now.alias("start_time"),
-        now.alias("end_time"),
+        F.lit(started or now).cast("timestamp_ntz").alias("start_time"),
+        F.lit(now).cast("timestamp_ntz").alias("end_time"),
         entries(params, "string").alias("params"),
         entries(metrics, "double").alias("metrics"),
     )
 
 
+def nested_records(
+    results: DataFrame,
+    experiment: str,
+    name: str,
+    run_name: Column,
+    params: list[str],
+    metrics: list[str],
+    best: str,
+    smallest: bool,
+    started: datetime | None = None,
+) -> DataFrame:
+    """Records of a sweep: one per configuration, below one with the best value of metric ``best``."""
+    value = (F.min if smallest else F.max)(best).alias(f"best_{best}")
+    summary = results.agg(value, F.count("*").alias("n_configs"))
+    parent = run_records(summary, experiment, F.lit(name), ["n_configs"], [f"best_{best}"], started)
+    parent_id = uuid.uuid4().hex
+    children = run_records(results, experiment, run_name, params, metrics, started, parent_id)
+    return parent.withColumn("run_id", F.lit(parent_id)).unionByName(children)
+
+
 def latest_runs(runs: DataFrame, metrics: list[str]) -> DataFrame:
     """Chosen metrics of the newest run per experiment and run name."""
     newest = runs.groupBy("experiment", "run_name").agg(

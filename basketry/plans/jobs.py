@@ -7,6 +7,7 @@ call it as a plain function.
 from __future__ import annotations
 
 from dataclasses import asdict, dataclass
+from datetime import UTC, datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -38,10 +39,26 @@ CHECKS = [
 ]
 
 
-def _log(table: DataFrame, path: str | None, experiment: str, name, params: list[str], metrics: list[str]) -> None:
+def _now() -> datetime:
+    return datetime.now(UTC).replace(tzinfo=None)
+
+
+def _log(table: DataFrame, path: str | None, experiment: str, name: str, params: list[str], metrics: list[str], started) -> None:
     if path is not None:
-        name = F.lit(name) if isinstance(name, str) else name
-        runs.append_runs(runs.run_records(table, experiment, name, params, metrics), path)
+        runs.append_runs(runs.run_records(table, experiment, F.lit(name), params, metrics, started), path)
+
+
+def _log_sweep(
+    table: DataFrame, path: str | None, experiment: str, name: str, key: str, params: list[str], metrics: list[str],
+    best: str, smallest: bool, started,
+) -> None:
+    """One record per configuration below one record of the sweep."""
+    if path is not None:
+        child = F.concat(F.lit(f"{name}_"), F.col(key).cast("string"))
+        records = runs.nested_records(
+            table, experiment, f"{name}_sweep", child, params, metrics, best, smallest, started
+        )
+        runs.append_runs(records, path)
 
 
 # --- segmentation -----------------------------------------------------------------------------
@@ -67,6 +84,7 @@ def segmentation_job(
 
     DBSCAN counts as viable when some eps gives a number of clusters in the target range.
     """
+    started = _now()
     scaled = cut(segmentation.scaled_rfm(rfm))
     vectors = segmentation.as_vectors(scaled).cache()
     sweep, models = segmentation.sweep_kmeans(vectors, ks, n_init=n_init)
@@ -74,14 +92,14 @@ def segmentation_job(
     labelled = models[k].assign(vectors)
     segments = cut(segmentation.label_segments(labelled.drop("features", *segmentation.SCALED)))
     vectors.unpersist()
-    _log(sweep, runs_path, EXPERIMENTS["segments"], F.concat(F.lit("kmeans_k"), F.col("k").cast("string")),
-         ["k"], ["inertia", "silhouette", "davies_bouldin"])
+    _log_sweep(sweep, runs_path, EXPERIMENTS["segments"], "kmeans", "k", ["k"],
+               ["inertia", "silhouette", "davies_bouldin"], "silhouette", False, started)
     by_eps, viable = None, False
     if eps_values:
         by_eps = density.sweep_eps(scaled, "customer_id", segmentation.SCALED, eps_values, MIN_SAMPLES)
         viable = not by_eps.filter(F.col("n_clusters").between(*TARGET_RANGE)).isEmpty()
-        _log(by_eps, runs_path, EXPERIMENTS["segments"], F.concat(F.lit("dbscan_eps"), F.col("eps").cast("string")),
-             ["eps"], ["n_clusters", "n_noise", "noise_pct", "silhouette"])
+        _log_sweep(by_eps, runs_path, EXPERIMENTS["segments"], "dbscan", "eps", ["eps"],
+                   ["n_clusters", "n_noise", "noise_pct", "silhouette"], "silhouette", False, started)
     return Segmentation(segments, sweep, by_eps, k, viable)
 
 
@@ -95,6 +113,7 @@ def with_calendar(split: DataFrame) -> DataFrame:
 
 def additive_job(split: DataFrame, runs_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Sweep of the additive model: metrics per series and configuration, holdout comparison."""
+    started = _now()
     naive = series.naive_seasonal(split)
     metrics, predicted = forecasting.additive_sweep(split, naive)
     metrics, predicted = cut(metrics), cut(predicted)
@@ -102,9 +121,10 @@ def additive_job(split: DataFrame, runs_path: str | None = None) -> tuple[DataFr
     comparison = best.join(naive.select("series_id", "ds", "naive"), ["series_id", "ds"]).select(
         "series_id", "ds", "actual", F.col("yhat").alias("additive_yhat"), F.col("naive").alias("naive_seasonal")
     )
-    _log(metrics, runs_path, EXPERIMENTS["forecast"],
-         F.concat(F.lit("additive_config_"), F.col("config").cast("string")),
-         ["series_id", "config"], ["mae", "rmse", "mape", "val_mape", "vs_naive_mape_delta"])
+    measured = ["mae", "rmse", "mape", "val_mape", "vs_naive_mape_delta"]
+    over_series = metrics.groupBy("config").agg(F.count("*").alias("n_series"), *[F.avg(m).alias(m) for m in measured])
+    _log_sweep(over_series, runs_path, EXPERIMENTS["forecast"], "additive_config", "config", ["config", "n_series"],
+               measured, "mape", True, started)
     return metrics, comparison
 
 
@@ -116,14 +136,22 @@ def lag_job(
 ) -> tuple[DataFrame, dict, DataFrame]:
     """Sweep of the lag-window model: metrics, the configuration with the best mean validation
     MAPE, and its holdout comparison."""
+    started = _now()
     metrics, models = forecasting.lag_sweep(features, configs, max_iter)
     metrics = cut(metrics)
     scores = metrics.filter("split = 'val'").groupBy("config").agg(F.avg("mape").alias("score"))
     best = scores.agg(F.min_by("config", F.struct("score", "config"))).first()[0]
     model, lookback = models[best]
     holdout = forecasting.predict_lag_model(model, forecasting.window_rows(features, lookback)).filter("split = 'test'")
-    _log(metrics, runs_path, EXPERIMENTS["forecast"], F.concat(F.lit("lag_config_"), F.col("config").cast("string")),
-         ["series_id", "split", *configs[0]], ["mae", "rmse", "mape"])
+    measured = ["mae", "rmse", "mape"]
+    of = lambda m, part: F.avg(F.when(F.col("split") == part, F.col(m)))
+    over_series = metrics.groupBy("config", *configs[0]).agg(
+        F.countDistinct("series_id").alias("n_series"),
+        *[of(m, "test").alias(m) for m in measured],
+        of("mape", "val").alias("val_mape"),
+    )
+    _log_sweep(over_series, runs_path, EXPERIMENTS["forecast"], "lag_config", "config", ["config", "n_series", *configs[0]],
+               [*measured, "val_mape"], "mape", True, started)
     return metrics, configs[best], holdout
 
 
@@ -135,11 +163,20 @@ def ensemble_job(
     runs_path: str | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Both models on validation and holdout, weights, ensembled holdout and best strategy."""
+    started = _now()
     validation, holdout = forecasting.joined_predictions(features, config, lag_config, max_iter)
     combined, metrics, _, _ = forecasting.ensemble(cut(validation), cut(holdout))
     metrics = cut(metrics)
     best = forecasting.best_strategy(metrics, runs.MAPE_TARGET)
-    _log(best, runs_path, EXPERIMENTS["forecast"], ENSEMBLE_RUN, ["series_id", "best_strategy"], ["best_ensemble_mape"])
+    # The target holds for all series, so the run's figure is that of the worst one.
+    worst = best.agg(
+        F.max("best_ensemble_mape").alias("best_ensemble_mape"),
+        F.avg("best_ensemble_mape").alias("mean_ensemble_mape"),
+        F.max_by("series_id", "best_ensemble_mape").alias("worst_series"),
+        F.count("*").alias("n_series"),
+    )
+    _log(worst, runs_path, EXPERIMENTS["forecast"], ENSEMBLE_RUN, ["n_series", "worst_series"],
+         ["best_ensemble_mape", "mean_ensemble_mape"], started)
     return combined, metrics, best
 
 
@@ -154,10 +191,11 @@ def churn_sweep_job(
     split: DataFrame, configs=churn_model.TREE_SWEEP, runs_path: str | None = None
 ) -> tuple[DataFrame, PipelineModel]:
     """Manual sweep; the configuration with the best validation AUC is kept."""
+    started = _now()
     table, models = churn_model.sweep(split, list(churn.FEATURES), "churned", configs)
     best = table.agg(F.max_by("config", F.struct("val_auc", -F.col("config")))).first()[0]
-    _log(table, runs_path, EXPERIMENTS["churn"], F.concat(F.lit("trees_config_"), F.col("config").cast("string")),
-         ["config", *asdict(configs[0])], ["val_auc", "auc_roc", "precision_at_top20pct"])
+    _log_sweep(table, runs_path, EXPERIMENTS["churn"], "trees_config", "config", ["config", *asdict(configs[0])],
+               ["val_auc", "auc_roc", "precision_at_top20pct"], "auc_roc", False, started)
     return table, models[best]
 
 
@@ -169,6 +207,7 @@ def churn_search_job(
     runs_path: str | None = None,
 ) -> tuple[DataFrame, str, PipelineModel]:
     """Search with the base and the enriched features; saves and logs the better model."""
+    started = _now()
     sets = {"baseline": list(churn.FEATURES), "enriched": [*churn.FEATURES, *churn.TREND_FEATURES]}
     table, winner, model = churn_model.compare_feature_sets(
         split, sets, "churned", n_trials=n_trials, max_iter=max_iter
@@ -182,7 +221,7 @@ def churn_search_job(
         F.col("precision_at_top20pct").alias("best_test_precision_at_top20pct"),
     )
     _log(best, runs_path, EXPERIMENTS["churn"], SEARCH_RUN, ["best_feature_set", "model_path"],
-         ["best_test_auc", "best_test_precision_at_top20pct"])
+         ["best_test_auc", "best_test_precision_at_top20pct"], started)
     return table, winner, model
 
 

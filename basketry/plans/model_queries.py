@@ -10,6 +10,7 @@ from basketry.operators import (
     churn_model,
     daily,
     density,
+    drift,
     forecasting,
     rfm,
     runs,
@@ -166,15 +167,37 @@ def runs_append(spark, sf_dir):
 
 @query
 def monitoring(spark, sf_dir):
+    """Drift of both models, and the targets against records that the ensemble job wrote before."""
     from basketry.plans.retail_queries import _churn_snapshots, _demand_snapshots
 
+    records = scratch_path(spark, "runs")
+    jobs.ensemble_job(jobs.with_calendar(_split_series(spark, sf_dir)), runs_path=records)
     summary = jobs.monitoring_job(
-        spark, _churn_snapshots(spark, sf_dir), _demand_snapshots(spark, sf_dir), scratch_path(spark, "runs"),
-        scratch_path(spark, "log"),
+        spark, _churn_snapshots(spark, sf_dir), _demand_snapshots(spark, sf_dir), records, scratch_path(spark, "log"),
     )
     return summary.select(
-        "drift.churn_drift.drifted_share",
+        F.round("drift.churn_drift.drifted_share", 6).alias("drifted_share"),
         "drift.churn_drift.retrain_recommended",
-        F.col("drift.demand_drift.drifted_share").alias("demand_drifted_share"),
+        F.round("drift.demand_drift.drifted_share", 6).alias("demand_drifted_share"),
         F.array_join("retrain_targets", ",").alias("retrain_targets"),
+        F.col("constraints.forecast.mape").isNotNull().alias("mape_known"),
+        F.col("constraints.churn.auc_roc").isNull().alias("churn_without_run"),
+    )
+
+
+@query
+def retraining(spark, sf_dir):
+    """The models that drift asks to retrain are retrained; their fresh metrics against the targets."""
+    from basketry.plans.retail_queries import _checked
+
+    targets = [r["model"] for r in drift.retrain_targets(_checked(spark, sf_dir)).collect()]  # at most two
+    dataset = _dataset(spark, sf_dir) if "churn" in targets else None
+    report = jobs.retraining_job(
+        spark, targets, dataset, cut(_split_series(spark, sf_dir)), scratch_path(spark, "runs"),
+        scratch_path(spark, "model"), scratch_path(spark, "log"),
+    )
+    return report.select(
+        F.lit(",".join(sorted(targets))).alias("targets"),
+        F.col("retrained_churn.auc_roc").alias("auc_roc"),
+        F.col("retrained_forecast.mape").alias("mape"),
     )

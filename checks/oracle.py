@@ -764,6 +764,14 @@ oracle("drift_demand", "demand_summary", "SELECT * REPLACE (round(value, 6) AS v
 oracle("drift_share", "checked", "SELECT * REPLACE (round(drifted_share, 6) AS drifted_share) FROM checked")
 oracle("retrain_targets", "checked", "SELECT model FROM checked WHERE retrain_recommended")
 
+oracle("monitoring", "checked", """
+SELECT (SELECT round(drifted_share, 6) FROM checked WHERE model = 'churn') AS drifted_share,
+       (SELECT retrain_recommended FROM checked WHERE model = 'churn') AS retrain_recommended,
+       (SELECT round(drifted_share, 6) FROM checked WHERE model = 'forecast') AS demand_drifted_share,
+       (SELECT coalesce(string_agg(model, ',' ORDER BY model), '') FROM checked WHERE retrain_recommended) AS retrain_targets,
+       true AS mape_known, true AS churn_without_run
+""")
+
 # --- runs ---
 cte("runs", "", """
 SELECT event_type || '-' || CAST(user_id AS VARCHAR) AS run_id, event_type AS experiment,

@@ -227,7 +227,12 @@ def test_segmentation_job(spark, tmp_path):
     out = jobs.segmentation_job(rfm, range(5, 8), 1, [0.5], f"{tmp_path}/runs")
     assert out.chosen_k in (6, 7) and out.segments.count() == 300
     assert out.segments.select("segment_name").distinct().count() == out.chosen_k
-    assert spark.read.parquet(f"{tmp_path}/runs").count() == 4
+    logged = spark.read.parquet(f"{tmp_path}/runs").collect()
+    names = {r["run_name"]: r for r in logged}
+    assert len(logged) == len({r["run_id"] for r in logged}) == 6 and all(r["start_time"] < r["end_time"] for r in logged)
+    assert names["kmeans_6"]["parent_run_id"] == names["kmeans_sweep"]["run_id"]
+    best = max(names[f"kmeans_{k}"]["metrics"]["silhouette"] for k in (5, 6, 7))
+    assert names["kmeans_sweep"]["metrics"]["best_silhouette"] == best
 
 
 def test_retraining_logs_fresh_metrics(spark, tmp_path):
@@ -239,7 +244,7 @@ def test_retraining_logs_fresh_metrics(spark, tmp_path):
     assert report["retrained_churn"] is None and report["retrained_forecast"]["mape"] < 12
     assert report["constraints_after_retraining"]["forecast"]["mape_meets_target"] is True
     names = {r["run_name"] for r in spark.read.parquet(f"{tmp_path}/runs").select("run_name").collect()}
-    assert {"ensemble", "additive_config_0", "lag_config_3"} <= names
+    assert {"ensemble", "additive_config_0", "additive_config_sweep", "lag_config_3"} <= names
     assert spark.read.json(f"{tmp_path}/log").first()["dag"] == "model_retraining"
 
 
@@ -274,3 +279,15 @@ def test_trials_rank_configurations(spark):
     assert deep > 0.9 > stump and 1 <= rounds <= 100
     assert trials.rank_auc(np.array([1.0, 1.0, 0.0, 2.0]), np.array([1, 0, 0, 1])) == 0.875
     assert trials.rank_auc(np.ones(3), np.ones(3)) is None
+
+
+@pytest.mark.parametrize("names", [("a", "b"), ("b", "a")])
+def test_target_is_decided_by_all_series(spark, tmp_path, names):
+    """One series on either side of the target: not met, whatever the series are called."""
+    from basketry.operators import runs
+
+    best = spark.createDataFrame([(names[0], 8.0), (names[1], 40.0)], "series_id string, best_ensemble_mape double")
+    worst = best.agg(F.max("best_ensemble_mape").alias("best_ensemble_mape"), F.count("*").alias("n_series"))
+    records = runs.run_records(worst, jobs.EXPERIMENTS["forecast"], F.lit(jobs.ENSEMBLE_RUN), ["n_series"], ["best_ensemble_mape"])
+    verdict = jobs._constraints(records).first()["constraints"]["forecast"]
+    assert verdict["mape"] == 40.0 and verdict["mape_meets_target"] is False
