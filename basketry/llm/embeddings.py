@@ -58,6 +58,11 @@ def learn_rotations(sample: np.ndarray, count: int, rounds: int = ROUNDS, seed:
     return mean, np.array(found)
 
 
+def unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = vectors / np.abs(vectors).max(1, keepdims=True)  # squares neither overflow nor vanish
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
 def substrings(vectors: np.ndarray, mean: np.ndarray, projections: np.ndarray, bits: int, tables: int) -> np.ndarray:
     """(vectors, tables) keys; every rotation gives as many whole substrings as its bits hold."""
     each = vectors.shape[1] // bits
@@ -136,19 +141,16 @@ def near_duplicates(
     bits = min(bits, length)
     rotations = -(-tables // (length // bits))
     held = spark.sparkContext.broadcast(learn_rotations(learned.reshape(-1, length), rotations))
-
-    def unit(column: pa.Array) -> np.ndarray:
-        flat = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
-        flat = flat / np.abs(flat).max(1, keepdims=True)  # squares neither overflow nor vanish
-        return flat / np.linalg.norm(flat, axis=1, keepdims=True)
+    # Vectors travel as they are stored; four bytes hold a float exactly.
+    stored = "<f4" if dict(embeddings.dtypes)["embedding"] == "array<float>" else "<f8"
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            vectors = unit(batch["vector"])
-            keys = substrings(vectors, *held.value, bits, tables)
-            raw = [v.tobytes() for v in vectors]
+            vectors = batch["vector"].flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+            keys = substrings(unit(vectors), *held.value, bits, tables)
+            raw = [v.tobytes() for v in vectors.astype(stored)]
             codes = [k.tobytes() for k in keys]
             for t in range(keys.shape[1]):
                 yield pa.RecordBatch.from_arrays(
@@ -157,9 +159,11 @@ def near_duplicates(
                 )
 
     keyed = classes.select("idx", "copies", "vector").mapInArrow(index, "t int, bucket long, idx long, copies long, codes binary, raw binary")
-    blocks = keyed.groupBy("t", "bucket").count().filter("count > 1").select("t", "bucket", F.ceil(F.col("count") / block).alias("blocks"))
-    mine = F.pmod(F.xxhash64("idx"), F.col("blocks"))
-    met = keyed.join(blocks, ["t", "bucket"]).withColumn("mine", mine)
+    # Few buckets are larger than a block, so this join seldom has to move the vectors.
+    large = keyed.groupBy("t", "bucket").count().filter(F.col("count") > block)
+    large = large.select("t", "bucket", F.ceil(F.col("count") / block).alias("blocks"))
+    met = keyed.join(large, ["t", "bucket"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
+    met = met.withColumn("mine", F.pmod(F.xxhash64("idx"), F.col("blocks")))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     met = met.withColumns({"lo": F.least("mine", "other"), "hi": F.greatest("mine", "other")}).drop("blocks", "other")
     group = ["t", "bucket", "lo", "hi"]
@@ -173,7 +177,7 @@ def near_duplicates(
             names = np.stack([table[c].to_numpy() for c in group], 1)
             ends = [*(np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1).tolist(), len(names)]
             idx, copies, own = (table[c].to_numpy() for c in ("idx", "copies", "mine"))
-            vectors = np.frombuffer(b"".join(table["raw"].to_pylist()), float).reshape(len(idx), -1)
+            vectors = unit(np.frombuffer(b"".join(table["raw"].to_pylist()), stored).reshape(len(idx), -1).astype(float))
             keys = np.frombuffer(b"".join(table["codes"].to_pylist()), "<u4").reshape(len(idx), -1)
             out, start = [], 0
             for end in ends:
