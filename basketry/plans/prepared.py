@@ -17,20 +17,32 @@ DEMAND_SPLIT = "2000-08-01"
 HOME = "AFRICA"
 VALIDATION_DAYS = TEST_DAYS = 56
 
-_staged: dict[tuple[str, str], DataFrame] = {}
+_staged: dict[tuple, DataFrame] = {}
+SOURCES = ("lineitem", "orders", "part", "supplier", "nation", "region")
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_lines(spark, sf_dir)
 
 
+def _version(spark: SparkSession, sf_dir: str) -> tuple:
+    """Files of the source tables with their sizes and times: one row per file."""
+    out = None
+    for name in SOURCES:
+        files = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(
+            "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
+        )
+        out = files if out is None else out.unionByName(files)
+    return tuple(sorted(map(tuple, out.distinct().collect())))
+
+
 def flagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deduplicated and flagged lines, written once per application and input folder.
+    """Deduplicated and flagged lines, written once per application and state of the input files.
 
     Later stages read the staged Parquet with pushed filters and pruned columns instead of
-    repeating the joins and the full-row deduplication.
+    repeating the joins and the full-row deduplication. Changed files are staged anew.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, _version(spark, sf_dir))
     if key not in _staged:
         flagged = cleaning.flag_lines(cleaning.dedupe(raw_lines(spark, sf_dir)))
         flagged = flagged.withColumn("is_sale", cleaning.is_real_sale())
