@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from basketry.operators.evaluation import auc, classification_metrics, score_counts
 from basketry.operators.scale import running_totals
 from basketry.operators.trials import run_trials
+from basketry.sources.readers import path_exists
 
 
 @dataclass(frozen=True)
@@ -276,11 +277,8 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 def load_model(spark: SparkSession, path: str | None, runs: DataFrame, run_name: str) -> PipelineModel:
     """The model saved at ``path``, else the one logged by the newest run of that name."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    if path:
-        target = hadoop.Path(path)
-        if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
-            return PipelineModel.load(path)
+    if path and path_exists(spark, path):
+        return PipelineModel.load(path)
     logged = (
         runs.filter((F.col("run_name") == run_name) & F.try_element_at("params", F.lit("model_path")).isNotNull())
         .agg(F.max_by(F.col("params")["model_path"], F.struct("start_time", "run_id")).alias("path"))

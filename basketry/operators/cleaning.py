@@ -68,7 +68,11 @@ def customer_sales(completed: DataFrame) -> DataFrame:
 
 def clean_transactions(raw: DataFrame, subset: list[str] | None = None) -> dict[str, DataFrame]:
     """All three cleaned tables of a raw transaction table."""
-    flagged = flag_lines(dedupe(raw, subset))
+    return tables_of(flag_lines(dedupe(raw, subset)))
+
+
+def tables_of(flagged: DataFrame) -> dict[str, DataFrame]:
+    """The three cleaned tables of deduplicated, flagged lines; keep ``flagged`` if all are read."""
     completed = completed_sales(flagged)
     return {
         "completed_sales": completed,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from basketry.operators import (
     churn,
     churn_model,
+    cleaning,
     density,
     drift,
     forecasting,
@@ -61,6 +62,15 @@ def _log_sweep(
         runs.append_runs(records, path)
 
 
+# --- cleaning ---------------------------------------------------------------------------------
+
+
+def cleaned_tables_job(raw: DataFrame, folder: str, subset: list[str] | None = None) -> dict[str, str]:
+    """Write the three cleaned tables; their common parent is computed once."""
+    flagged = cut(cleaning.flag_lines(cleaning.dedupe(raw, subset)))
+    return sinks.write_tables(cleaning.tables_of(flagged), folder)
+
+
 # --- segmentation -----------------------------------------------------------------------------
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from basketry.functions.expressions import product_label, stock_code_of
 from basketry.operators import (
     churn,
     churn_model,
@@ -22,8 +23,8 @@ from basketry.plans import jobs
 from basketry.plans import prepared as P
 from basketry.plans.retail_queries import QUERIES, query
 from basketry.session import cut, scratch_path
-from basketry.sources import readers
-from basketry.sources.schemas import RUNS
+from basketry.sources import readers, sinks
+from basketry.sources.schemas import RAW, RUNS
 
 
 def _scaled(spark, sf_dir):
@@ -201,3 +202,68 @@ def retraining(spark, sf_dir):
         F.col("retrained_churn.auc_roc").alias("auc_roc"),
         F.col("retrained_forecast.mape").alias("mape"),
     )
+
+
+# --- stored tables ------------------------------------------------------------------------------
+
+
+@query
+def csv_roundtrip(spark, sf_dir):
+    """Raw lines written as a CSV extract and read back by its header and suffix."""
+    path = scratch_path(spark, "extract") + ".csv"
+    sinks.export_csv(P.raw_lines(spark, sf_dir), RAW.fieldNames(), path)
+    return readers.read_extract(spark, path)
+
+
+@query
+def cleaned_tables(spark, sf_dir):
+    """The cleaned tables as written: rows, pieces and revenue of each."""
+    written = jobs.cleaned_tables_job(P.raw_lines(spark, sf_dir), scratch_path(spark, "cleaned"))
+    out = None
+    for name, path in written.items():
+        rows = spark.read.parquet(path).agg(
+            F.lit(name).alias("table"), F.count("*").alias("n_rows"), F.sum("quantity").alias("quantity"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query
+def audit_log(spark, sf_dir):
+    """Two monitoring summaries appended to the log and read back."""
+    from basketry.plans.retail_queries import _churn_snapshots, _demand_snapshots
+
+    log = scratch_path(spark, "log")
+    for _ in range(2):
+        jobs.monitoring_job(
+            spark, _churn_snapshots(spark, sf_dir), _demand_snapshots(spark, sf_dir), scratch_path(spark, "runs"), log
+        )
+    entries = readers.read_pipeline_log(spark, log)
+    return entries.groupBy("dag").agg(
+        F.count("*").alias("n_entries"),
+        F.round(F.max("drift.churn_drift.drifted_share"), 6).alias("churn_share"),
+        F.round(F.max("drift.demand_drift.drifted_share"), 6).alias("demand_share"),
+    )
+
+
+@query
+def artifact_status(spark, sf_dir):
+    """The tables of the input folder and one that nobody wrote."""
+    names = ["customer", "lineitem", "orders", "events", "nothing_here"]
+    return readers.artifact_status(spark, {n: f"{sf_dir}/{n}.parquet" for n in names})
+
+
+@query
+def product_labels(spark, sf_dir):
+    """Labels of the recommended products, and the codes taken back out of them."""
+    from basketry.plans.retail_queries import _recommended
+
+    label = product_label(F.col("stock_code"), F.col("description"))
+    return _recommended(spark, sf_dir).select("stock_code", label.alias("label"), stock_code_of(label).alias("code"))
+
+
+@query
+def additive_total(spark, sf_dir):
+    """The additive sweep for the total series."""
+    split = series.train_test_split(P.demand(spark, sf_dir, None), P.TEST_DAYS, P.VALIDATION_DAYS)
+    return jobs.additive_job(cut(split))[0]

@@ -94,12 +94,18 @@ def read_pipeline_log(spark: SparkSession, path: str) -> DataFrame:
     return entries.filter(F.col("timestamp").isNotNull()).orderBy("timestamp")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark finds a file or folder at ``path``."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def artifact_status(spark: SparkSession, artifacts: dict[str, str]) -> DataFrame:
     """One row per named artifact: does its path exist yet?"""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    rows = []
-    for name, path in artifacts.items():
-        target = hadoop.Path(path)
-        rows.append((name, bool(target.getFileSystem(conf).exists(target))))
+    rows = [(name, path_exists(spark, path)) for name, path in artifacts.items()]
     return spark.createDataFrame(rows, "artifact string, ready boolean")

@@ -772,6 +772,26 @@ SELECT (SELECT round(drifted_share, 6) FROM checked WHERE model = 'churn') AS dr
        true AS mape_known, true AS churn_without_run
 """)
 
+oracle("audit_log", "checked", """
+SELECT 'daily_batch' AS dag, 2 AS n_entries,
+       (SELECT round(drifted_share, 6) FROM checked WHERE model = 'churn') AS churn_share,
+       (SELECT round(drifted_share, 6) FROM checked WHERE model = 'forecast') AS demand_share
+""")
+oracle("csv_roundtrip", "raw", f"SELECT * EXCLUDE (invoice_date), {WHEN} FROM raw")
+oracle("cleaned_tables", "completed customers flagged", f"""
+SELECT 'completed_sales' AS "table", count(*) AS n_rows, sum(quantity) AS quantity FROM completed
+UNION ALL SELECT 'customer_sales', count(*), sum(quantity) FROM customers
+UNION ALL SELECT 'excluded', count(*), sum(quantity) FROM flagged WHERE NOT ({SALE})
+""")
+oracle("artifact_status", "", """
+SELECT 'customer' AS artifact, (SELECT count(*) >= 0 FROM customer) AS ready UNION ALL SELECT 'lineitem', (SELECT count(*) >= 0 FROM lineitem)
+UNION ALL SELECT 'orders', (SELECT count(*) >= 0 FROM orders) UNION ALL SELECT 'events', (SELECT count(*) >= 0 FROM events)
+UNION ALL SELECT 'nothing_here', false
+""")
+oracle("product_labels", "reco", """
+SELECT stock_code, concat_ws(' — ', stock_code, description) AS label, stock_code AS code FROM reco
+""")
+
 # --- runs ---
 cte("runs", "", """
 SELECT event_type || '-' || CAST(user_id AS VARCHAR) AS run_id, event_type AS experiment,
