@@ -41,7 +41,7 @@ BEGINNINGS = (3, 4, 5, 6)
 PRIOR = 5.0  # documents of the average sort that every feature is given
 SURE = 0.95  # smoothed share from which a feature settles the label by itself
 PENALTY = 1.0  # documents' worth of evidence that a weight must outweigh
-CACHED = 1_000_000
+CACHED = 400_000  # tokens a worker remembers; beyond it, it starts afresh
 
 # Letters of the character model; everything else is a word boundary, number 0.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
