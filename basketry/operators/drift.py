@@ -79,7 +79,7 @@ def drift_distances(snapshots: DataFrame, columns: tuple[str, ...]) -> DataFrame
             "n_reference",
             "n_current",
             "ks_distance",
-            kolmogorov_p(F.col("ks_distance"), n, F.col("n_current")).alias("ks_p_value"),
+            kolmogorov_p(F.col("ks_distance"), n, F.col("n_current")).alias("ks_p_asymptotic"),
             # A constant reference is normed by a small constant instead of zero.
             (F.coalesce("_area", F.lit(0.0)) / F.greatest("_std", F.lit(0.001))).alias("wasserstein_normed"),
         )
@@ -91,7 +91,7 @@ def drift_summary(snapshots: DataFrame, columns: tuple[str, ...], method: str) -
     if method not in (KS_METHOD, DISTANCE_METHOD):
         raise ValueError(f"unknown drift method {method!r}")
     by_test = method == KS_METHOD
-    value = F.col("ks_p_value") if by_test else F.col("wasserstein_normed")
+    value = F.col("ks_p_asymptotic") if by_test else F.col("wasserstein_normed")
     verdict = value < P_THRESHOLD if by_test else value > DISTANCE_THRESHOLD
     return drift_distances(snapshots, columns).select(
         "column", F.lit(method).alias("method"), value.alias("value"), verdict.alias("drifted")

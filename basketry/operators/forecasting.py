@@ -114,7 +114,7 @@ def _prior_scales(config: AdditiveConfig) -> np.ndarray:
 
 
 def ridge(x: np.ndarray, y: np.ndarray, scales: np.ndarray) -> np.ndarray:
-    """Normal prior on every coefficient; the noise variance is re-estimated once."""
+    """Normal prior on every coefficient; the noise variance is re-estimated in three rounds."""
     gram, moment = x.T @ x, x.T @ y
     noise = max(float(np.var(y)) * 0.25, 1e-8)
     for _ in range(3):

@@ -138,10 +138,12 @@ def naive_seasonal(split: DataFrame, season_length: int = PERIOD, recursive: boo
         naive = F.lag("y", season_length).over(in_order())
         return split.withColumn("naive", naive).filter(F.col("split") == "test")
     is_test = F.col("split") == "test"
-    step = F.sum(is_test.cast("int")).over(in_order().rowsBetween(W.unboundedPreceding, 0))
-    last_season = F.collect_list(F.when(~is_test, F.col("y"))).over(by_series().orderBy("ds"))
-    pick = F.size(last_season) - season_length + F.pmod(step - 1, F.lit(season_length))
-    return split.withColumn("naive", F.get(last_season, pick)).filter(is_test)
+    back = F.row_number().over(by_series().orderBy(F.desc("ds")))
+    season = split.filter(~is_test).withColumn("_back", back).filter(F.col("_back") <= season_length)
+    season = season.select("series_id", "_back", F.col("y").alias("naive"))
+    wanted = season_length - F.pmod(F.row_number().over(in_order()) - 1, F.lit(season_length))
+    tested = split.filter(is_test).withColumn("_back", wanted)
+    return tested.join(season, ["series_id", "_back"], "left").select(*split.columns, "naive")
 
 
 def decompose(series: DataFrame, period: int = PERIOD) -> DataFrame:

@@ -559,7 +559,7 @@ def _distances(table, *columns):
 @query
 def drift_ks(spark, sf_dir):
     table = drift.drift_distances(_demand_snapshots(spark, sf_dir), drift.DEMAND_COLUMNS)
-    return _distances(table, "ks_distance", "ks_p_value")
+    return _distances(table, "ks_distance", "ks_p_asymptotic")
 
 
 @query

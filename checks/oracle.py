@@ -716,7 +716,7 @@ def distances_body(values: str) -> str:
 SELECT "column", n_reference, n_current, ks_distance,
        CASE WHEN x2 < 0.04 THEN 1.0 ELSE least(greatest(list_sum([
          CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * j * j * x2) FOR j IN range(1, 101)]), 0), 1)
-         END AS ks_p_value,
+         END AS ks_p_asymptotic,
        area / greatest(sqrt(greatest(sq / n_reference - (s / n_reference) ** 2, 0)), 0.001) AS wasserstein_normed
 FROM (
   SELECT *, ks_distance * ks_distance * n_reference * n_current / (n_reference + n_current) AS x2 FROM (
@@ -736,7 +736,7 @@ FROM (
 
 def summary_body(distances: str, by_test: bool) -> str:
     method, value, drifted = (
-        ("K-S p_value", "ks_p_value", "ks_p_value < 0.05")
+        ("K-S p_value", "ks_p_asymptotic", "ks_p_asymptotic < 0.05")
         if by_test
         else ("Wasserstein distance (normed)", "wasserstein_normed", "wasserstein_normed > 0.1")
     )
@@ -753,7 +753,7 @@ cte("checked", "churn_summary demand_summary", "\nUNION ALL ".join(
 FROM {t}""" for m, t in (("churn", "churn_summary"), ("forecast", "demand_summary"))
 ))
 oracle("drift_ks", "demand_distances", """
-SELECT "column", n_reference, n_current, round(ks_distance, 6) AS ks_distance, round(ks_p_value, 6) AS ks_p_value
+SELECT "column", n_reference, n_current, round(ks_distance, 6) AS ks_distance, round(ks_p_asymptotic, 6) AS ks_p_asymptotic
 FROM demand_distances
 """)
 oracle("drift_wasserstein", "churn_distances", """
