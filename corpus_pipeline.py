@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import decontam, packing, pii, simhash, toxicity
+from basketry.llm import decontam, packing, pii, resemblance, simhash, toxicity
+from basketry.llm.components import connected_components
 from basketry.operators.scale import attach_by_key
 from basketry.session import cut, scratch_path
 
@@ -31,11 +32,27 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(F.col("score") < TOXIC).select("row.*")
 
 
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: that with the smallest doc_id."""
+def _joined_by_similarity(docs: DataFrame, prints: DataFrame, classes: DataFrame) -> DataFrame:
+    """The classes with their components joined where texts resemble each other."""
+    sizes = classes.groupBy("component").agg(F.min("component_id").alias("least"), F.count("*").alias("n"))
+    placed = attach_by_key(prints, classes.select("fp", "copies", "component"), "fp", "copies")
+    nodes = cut(placed.groupBy("hash").agg(F.min("component").alias("component"), F.count("*").alias("n")))
+    links = resemblance.component_links(docs.select(F.xxhash64(F.col("text")).alias("hash"), "text"), nodes)
+    joined = connected_components(links).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    parts = cut(sizes.join(joined, "component", "left").withColumn("whole", F.coalesce("whole", "component")))
+    least = parts.groupBy("whole").agg(F.min("least").alias("component_id"), F.count("*").alias("parts"))
+    named = cut(attach_by_key(parts.drop("least"), least, "whole", "parts"))
+    return attach_by_key(classes.drop("component_id"), named, "component", "n").drop("component").withColumnRenamed("whole", "component")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, similar: bool = False) -> DataFrame:
+    """One document of each SimHash group stays: that with the smallest doc_id. ``similar`` also joins
+    groups with texts of 5-word similarity 0.8 or more."""
     hashed = F.xxhash64(F.col("text"))
     prints = cut(simhash.fingerprints(docs.select("doc_id", "text", hashed.alias("hash")), carried=["hash"]))
     classes = simhash.near_duplicates(prints).select("fp", "copies", "component", "component_id")
+    if similar:
+        classes = _joined_by_similarity(docs, prints, cut(classes))
     members = attach_by_key(prints, classes, "fp", "copies").filter("doc_id <=> component_id")
     kept = members.groupBy("component").agg(F.min(F.struct("doc_id", "hash")).alias("kept")).select("kept.*")
     rows = _wrapped(docs).select("doc_id", hashed.alias("hash"), "row")
