@@ -62,9 +62,15 @@ JOIN, PART = (0.2, 2.0), (5.0, 0.5)
 EDGES = ".,;:?\"'()[]{}…«»“”‘’ "
 JUNK = re.compile(r"([^\w\s])\1{2,}$")
 TRIPLE = re.compile(r"(.)\1\1")
-SPELLED = re.compile(r"(?:[^\W_]|[@$!|+])(?:[ ._*-]+(?:[^\W_]|[@$!|+]))+")
 INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
-SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+])(?:[ ._*-]{1,2}(?:[^\W_]|[@$!|+])){2,}(?!\S)")
+# A letter without neighbours (what follows an apostrophe belongs to the word before it), or a sign that may
+# stand for one. Runs of these have anything but letters and digits between them and around them.
+UNIT = r"(?:(?<![^\W_])(?<![^\W_]{2}['’])[^\W_](?![^\W_])|(?<![^\W_])(?<![@$!|+])[@$!|+](?![^\W_]|[@$!|+]))"
+BETWEEN = rf"(?:(?!{UNIT})[\W_])"
+SINGLE = re.compile(UNIT)
+SPELLED = re.compile(rf"{UNIT}(?:{BETWEEN}++{UNIT})+")
+SPACED = re.compile(rf"{UNIT}(?:{BETWEEN}++{UNIT}){{2,}}+")
+RUN, SHARED = 256, 32  # letters of a run that are read at a time, and how many of them again with the next
 
 
 def trigram_counts(texts) -> np.ndarray:
@@ -115,11 +121,17 @@ def log_model(counts: np.ndarray) -> list[float]:
 
 def _choices(text: str) -> list[tuple[list[tuple[str, float]], int]]:
     """For every position: (what may have been meant, its cost) and how many characters that covers."""
-    join, part = (costs[0 if SPELLED.fullmatch(text) else 1] for costs in (JOIN, PART))
+    spelled = SPELLED.fullmatch(text) is not None
+    join, part = (costs[0 if spelled else 1] for costs in (JOIN, PART))
+    letters = {m.start() for m in SINGLE.finditer(text)} if spelled else set()
     out, i = [], 0
     while i < len(text):
         c, n = text[i], 1
-        if c in CODE:
+        if spelled and i not in letters:
+            while i + n not in letters:
+                n += 1
+            out.append(([("", join), (" ", part)], n))
+        elif c in CODE:
             while i + n < len(text) and text[i + n] == c:
                 n += 1
             if n == 1:
@@ -129,7 +141,7 @@ def _choices(text: str) -> list[tuple[list[tuple[str, float]], int]]:
                 out.append(([(c, cost), (c * 2, REPEAT if n > 2 else 0.0)] + ([(c * n, REPEAT)] if n > 2 else []), n))
         elif c in LOOKALIKES:
             out.append(([(x, SWAP) for x in LOOKALIKES[c]] + [("", DROP), (" ", DROP)], 1))
-        elif c in "*#%&" and join != JOIN[0]:
+        elif c in "*#%&":
             out.append(([(x, HIDDEN) for x in VOWELS] + [("", DROP), (" ", DROP)], 1))
         else:
             out.append(([("", join if c in " ._-*" else DROP), (" ", part)], 1))
@@ -157,6 +169,18 @@ def viterbi(text: str, logp: list[float]) -> str:
     return " ".join(max(states.values())[1].split())
 
 
+def spelled_runs(low: str) -> Iterator[str]:
+    """Spelled-out words of a lower-cased text. A sign at an end may also be punctuation."""
+    for run in SPACED.finditer(low):
+        units = [m.start() + run.start() for m in SINGLE.finditer(run[0])]
+        for first in range(0, max(1, len(units) - SHARED), RUN - SHARED):
+            part = units[first : first + RUN]
+            yield low[part[0] : part[-1] + 1]
+        inner = units[low[units[0]] in "!|+" : len(units) - (low[units[-1]] in "!|+")]
+        if 1 < len(inner) < len(units) <= RUN:
+            yield low[inner[0] : inner[-1] + 1]
+
+
 def _simple(word: str) -> bool:
     return word.isalpha() and not TRIPLE.search(word) and all(c in CODE or c > "׿" for c in word)
 
@@ -192,8 +216,8 @@ class Restorer(dict):
         found = set()
         for token in set(low.split()):
             found.update(self[token])
-        for run in SPACED.finditer(low):
-            found.update(viterbi(run[0], self.logp).split())
+        for run in spelled_runs(low):
+            found.update(viterbi(run, self.logp).split())
         return found
 
 
@@ -238,8 +262,8 @@ class Scorer:
                 known[token] = hits = self._of_words(self.restorer._decode(token))
             if hits:
                 found.update(hits)
-        for run in SPACED.finditer(low):
-            found.update(self._of_words(viterbi(run[0], self.restorer.logp).split()))
+        for run in spelled_runs(low):
+            found.update(self._of_words(viterbi(run, self.restorer.logp).split()))
         margin = self.model.bias + math.fsum(self.model.weights[f] for f in found)
         together = 1 / (1 + math.exp(-max(-50.0, min(50.0, margin))))
         return max(together, max((self.model.alone.get(f, 0.0) for f in found), default=0.0))

@@ -39,6 +39,25 @@ def test_plain_words_are_left_alone():
     assert restorer.words("") == set() and restorer.words("*** 123 !!!") == set()
 
 
+@pytest.mark.parametrize(
+    "written",
+    [
+        "an i d i o t, go", "i d i o t.", '"i d i o t"', "(i d i o t)", "[i-d-i-o-t]!", "i d i o t!", "i d i o t !", "«i d i o t»", "i / d / i / o / t",
+        "i/d/i/o/t", "i   d   i   o   t", "i\td\ni o t?", "i,d,i,o,t", "! d ! o t;", "so: 1 d 1 0 t…", "i|d|i|o|t", "a house.i d i o t",
+    ],
+)
+def test_spelled_out_runs_beside_punctuation(written):
+    assert "idiot" in toxicity.Restorer(LOGP).words(written)
+
+
+def test_what_is_no_spelled_out_run():
+    for text in ("don't", "the house is green", "a b", "!!!! ???? ++++", "it's a t", "*** --- ___"):
+        assert not list(toxicity.spelled_runs(text)), text
+    long = "the house " + "i d i o t " * 300
+    assert "idiot" in {w for run in toxicity.spelled_runs(long) for w in toxicity.viterbi(run, LOGP).split()}
+    assert list(toxicity.spelled_runs("!" * 100_000 + " a" + "! " * 50_000)) is not None  # linear in the text
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("aido01*. ")), min_size=1, max_size=5))
 def test_search_finds_the_best_of_all_paths(text):
