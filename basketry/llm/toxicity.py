@@ -4,7 +4,8 @@ A disguised word is seen as a clean word sent through a channel that swaps lette
 repeats letters, and puts separators between them. Its lattice holds, for every written character,
 the letters it may stand for and what that costs; Viterbi search finds the path that a character
 trigram model of the whole corpus and the channel together find likeliest. Words without any sign of
-disguise are their own only path. Each distinct token is decoded once per worker.
+disguise are their own only path; one with doubled letters counts as written and as restored. Tokens of
+any length are searched, long ones in overlapping parts. Each distinct token is decoded once per worker.
 
 The score is a logistic model over the restored words and their beginnings, so that inflected forms
 share what is learned; a feature that by itself all but settles the label counts as much as it did there. Words and beginnings are chosen by their association with the labels, and all
@@ -61,7 +62,11 @@ SWAP, DROP, HIDDEN, REPEAT = 0.5, 7.0, 1.0, 0.7  # costs in nats
 JOIN, PART = (0.2, 2.0), (5.0, 0.5)
 EDGES = ".,;:?\"'()[]{}…«»“”‘’ "
 JUNK = re.compile(r"([^\w\s])\1{2,}$")
+DOUBLE = re.compile(r"(.)\1")
 TRIPLE = re.compile(r"(.)\1\1")
+REPEATED = re.compile(r"(.)\1{3,}")
+LONG = 40  # characters from which a token may also be an address or a key, so its plain words count as well
+PIECE, LAP = 400, 60  # characters of a token that are searched at a time, and how many of them again with the next
 INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
 # A letter without neighbours (what follows an apostrophe belongs to the word before it), or a sign that may
 # stand for one. Runs of these have anything but letters and digits between them and around them.
@@ -198,17 +203,29 @@ class Restorer(dict):
         self[token] = words = self._decode(token)
         return words
 
+    def _searched(self, word: str) -> Iterator[str]:
+        for first in range(0, max(1, len(word) - LAP), PIECE - LAP):
+            yield from viterbi(word[first : first + PIECE], self.logp).split()
+
+    def _plain(self, word: str) -> tuple[str, ...]:
+        """A simple word and, if it has doubled letters, what the search makes of it."""
+        if not DOUBLE.search(word) or not all(c in CODE for c in word):
+            return (word,)
+        return tuple(dict.fromkeys([word, *self._searched(word)]))
+
     def _decode(self, token: str) -> tuple[str, ...]:
         word = JUNK.sub("", INVISIBLE.sub("", token).strip(EDGES)).strip(EDGES)
         if _simple(word):
-            return (word,)
+            return self._plain(word)
         word = unicodedata.normalize("NFKC", word).lower()
         if _simple(word):
-            return (word,)
-        letters = sum(c.isalpha() for c in word)
-        if not letters or len(word) > 40:  # no disguise of a word: addresses, keys, numbers
-            return tuple(w for w in re.split(r"[\W\d_]+", word) if w)
-        return tuple(viterbi(word, self.logp).split())
+            return self._plain(word)
+        if len(word) > LONG:
+            word = REPEATED.sub(r"\1\1\1", word)
+        parts = [w for w in re.split(r"[\W\d_]+", word) if w]
+        if not any(c.isalpha() for c in word):
+            return tuple(parts)
+        return tuple(dict.fromkeys([*(parts if len(word) > LONG else []), *self._searched(word)]))
 
     def words(self, text: str) -> set[str]:
         """All restored words of a text; letters that stand alone in a row are read together."""

@@ -50,6 +50,25 @@ def test_spelled_out_runs_beside_punctuation(written):
     assert "idiot" in toxicity.Restorer(LOGP).words(written)
 
 
+@pytest.mark.parametrize(
+    "written",
+    [
+        "idi" + "o" * 60 + "t", "1d1" + "0" * 3 + "t" * 80, "the.house.is.really.green.a.1d10t.and.opens.the.door", "iidiioott", "iddiot", "idiott",
+        "the_house_is_green_the_door_opens_" * 30 + "1d10t_" + "the_garden_" * 90, "street/" * 55 + "id*ot" + "/letter" * 70,
+    ],
+)
+def test_long_tokens_and_doubled_letters(written):
+    restorer = toxicity.Restorer(LOGP)
+    assert "idiot" in restorer[written]
+    assert "idiot" in restorer.words(f"the house, {written}. is green")
+
+
+def test_words_of_long_addresses_stay():
+    found = toxicity.Restorer(LOGP)["https://www.example.com/garden42letter/" + "a1b2c3d4e5f6" * 3]
+    assert {"https", "example", "garden", "letter"} <= set(found)
+    assert toxicity.Restorer(LOGP)["letter"] == ("letter",) and "zzyyxx" in toxicity.Restorer(LOGP)["zzyyxx"]
+
+
 def test_what_is_no_spelled_out_run():
     for text in ("don't", "the house is green", "a b", "!!!! ???? ++++", "it's a t", "*** --- ___"):
         assert not list(toxicity.spelled_runs(text)), text
