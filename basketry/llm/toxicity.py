@@ -5,7 +5,8 @@ repeats letters, and puts separators between them. Its lattice holds, for every
 the letters it may stand for and what that costs; Viterbi search finds the path that a character
 trigram model of the whole corpus and the channel together find likeliest. Words without any sign of
 disguise are their own only path; one with doubled letters counts as written and as restored. Tokens of
-any length are searched, long ones in overlapping parts. Each distinct token is decoded once per worker.
+any length are searched, long ones in overlapping parts. Letters that the character model does not know
+stand for themselves. Each distinct token is decoded once per worker.
 
 The score is a logistic model over the restored words and their beginnings, so that inflected forms
 share what is learned; a feature that by itself all but settles the label counts as much as it did there. Words and beginnings are chosen by their association with the labels, and all
@@ -124,11 +125,17 @@ def log_model(counts: np.ndarray) -> list[float]:
     return np.log(p3).ravel().tolist()
 
 
+def _outside(c: str) -> bool:
+    """Letters, and marks on letters, that the character model does not know and that look like none of its own."""
+    return c not in CODE and c not in LOOKALIKES and (c.isalpha() or unicodedata.category(c)[0] == "M")
+
+
 def _choices(text: str) -> list[tuple[list[tuple[str, float]], int]]:
     """For every position: (what may have been meant, its cost) and how many characters that covers."""
     spelled = SPELLED.fullmatch(text) is not None
     join, part = (costs[0 if spelled else 1] for costs in (JOIN, PART))
     letters = {m.start() for m in SINGLE.finditer(text)} if spelled else set()
+    foreign = not any(c in CODE for c in text) and any(_outside(c) for c in text)  # its letters stand for themselves
     out, i = [], 0
     while i < len(text):
         c, n = text[i], 1
@@ -144,6 +151,8 @@ def _choices(text: str) -> list[tuple[list[tuple[str, float]], int]]:
             else:
                 cost = REPEAT if n > 2 else 2 * REPEAT
                 out.append(([(c, cost), (c * 2, REPEAT if n > 2 else 0.0)] + ([(c * n, REPEAT)] if n > 2 else []), n))
+        elif _outside(c) or foreign and c.isalpha():
+            out.append(([(c, 0.0)], 1))
         elif c in LOOKALIKES:
             out.append(([(x, SWAP) for x in LOOKALIKES[c]] + [("", DROP), (" ", DROP)], 1))
         elif c in "*#%&":
@@ -187,7 +196,10 @@ def spelled_runs(low: str) -> Iterator[str]:
 
 
 def _simple(word: str) -> bool:
-    return word.isalpha() and not TRIPLE.search(word) and all(c in CODE or c > "׿" for c in word)
+    if not word.isalpha() or TRIPLE.search(word):
+        return False
+    known = [c in CODE for c in word]
+    return all(known) or not any(known)  # mixed scripts may be a disguise
 
 
 class Restorer(dict):
@@ -225,7 +237,8 @@ class Restorer(dict):
         parts = [w for w in re.split(r"[\W\d_]+", word) if w]
         if not any(c.isalpha() for c in word):
             return tuple(parts)
-        return tuple(dict.fromkeys([*(parts if len(word) > LONG else []), *self._searched(word)]))
+        mixed = word.isalpha() and not TRIPLE.search(word)  # Latin letters among others, a word as it stands
+        return tuple(dict.fromkeys([*(parts if mixed or len(word) > LONG else []), *self._searched(word)]))
 
     def words(self, text: str) -> set[str]:
         """All restored words of a text; letters that stand alone in a row are read together."""

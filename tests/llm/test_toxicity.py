@@ -69,6 +69,15 @@ def test_words_of_long_addresses_stay():
     assert toxicity.Restorer(LOGP)["letter"] == ("letter",) and "zzyyxx" in toxicity.Restorer(LOGP)["zzyyxx"]
 
 
+def test_letters_outside_the_model_stay():
+    restorer = toxicity.Restorer(LOGP)
+    for word in ("идиот", "привет", "ηλίθιος", "מטומטם", "zażółć", "şöför", "हिन्दी", "日本語", "сосо"):
+        assert word in restorer[word], word
+        assert word in restorer[f"{word}!"] + restorer[f"{word}?"] and word in restorer.words(f"({word}), the house"), word
+    assert "идиот" in restorer.words("и д и о т!") and "идиот" in restorer["идиот1"] + restorer["идиот-"]
+    assert "idiot" in restorer["idiоt"] and "idiot" in restorer["іdіоt"]  # Cyrillic look-alikes among Latin letters
+
+
 def test_what_is_no_spelled_out_run():
     for text in ("don't", "the house is green", "a b", "!!!! ???? ++++", "it's a t", "*** --- ___"):
         assert not list(toxicity.spelled_runs(text)), text
