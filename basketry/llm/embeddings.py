@@ -3,9 +3,11 @@
 Rotations are learned on at most about ``SAMPLE`` distinct vectors, so that the signs of the rotated,
 centred vectors are balanced codes close to the vectors. Every distinct vector is indexed: its codes
 are cut into ``BITS``-bit substrings, each the key of a table. Vectors that share a substring in any table
-are compared by their cosine in double precision. Vectors at cosine 0.9 differ in about a seventh
-of the bits, so a table holds both with probability 0.16 and 20 tables together with 0.97; closer
-pairs are found more surely. A pair counts in the first table only in which it meets.
+are compared by their cosine in double precision. Where the mean is zero, vectors at cosine 0.9 differ in
+about a seventh of the bits, so a table holds both with probability 0.16 and 20 tables together with
+0.97; closer pairs are found more surely. Vectors with a common direction are further apart once they are
+centred. So pairs at the least cosine are made from the sample, and the substrings get as long as they can
+be, up to ``BITS``, for ``FOUND`` of them to meet. A pair counts in the first table only in which it meets.
 
 Copies travel as one vector with their number. A bucket is compared in blocks of ``BLOCK`` vectors;
 a larger one is split into blocks and every two blocks meet in one group, so no group is
@@ -35,6 +37,8 @@ SAMPLE = 20_000
 LEAST_COSINE = 0.9
 BITS = 12
 TABLES = 20
+FOUND = 0.96  # share of the pairs made at the least cosine that must meet in a table
+TRIED = 4_000  # of these pairs of a sort
 BLOCK = 2048
 ROUNDS = 30
 
@@ -74,6 +78,45 @@ def substrings(vectors: np.ndarray, mean: np.ndarray, projections: np.ndarray, b
     return np.stack(columns, 1)[:, :tables].astype("<u4")
 
 
+def made_pairs(sample: np.ndarray, least: float, seed: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit vectors at cosine ``least``: sampled ones turned in any direction, or towards the difference
+    of two others, as the data vary; and sampled ones at up to 0.02 more, if there are enough."""
+    if len(sample) < 2 or sample.shape[1] < 2:
+        return []
+    rng = np.random.default_rng(seed)
+    x = sample[rng.integers(0, len(sample), TRIED)]
+    others = sample[rng.integers(0, len(sample), (2, TRIED))]
+    found = []
+    for aside in (rng.standard_normal(x.shape), others[0] - others[1]):
+        aside = aside - (aside * x).sum(1, keepdims=True) * x
+        far = np.linalg.norm(aside, axis=1)
+        some = far > 1e-9
+        turned = least * x[some] + np.sqrt(max(0.0, 1 - least**2)) * aside[some] / far[some, None]
+        if some.any():
+            found.append((x[some], turned))
+    own = sample[:TRIED]
+    cosines = np.triu(own @ own.T, 1)
+    a, b = np.nonzero((cosines >= least) & (cosines < least + 0.02))
+    if len(a) >= 200:
+        few = rng.permutation(len(a))[:TRIED]
+        found.append((own[a[few]], own[b[few]]))
+    return found
+
+
+def choose_bits(sample: np.ndarray, least: float, bits: int, tables: int) -> tuple[int, tuple[np.ndarray, np.ndarray]]:
+    """The largest length of a substring, ``bits`` at most, at which ``FOUND`` of each sort of made pairs meet
+    in one of the tables, and the rotations for it."""
+    length = sample.shape[1]
+    pairs = made_pairs(sample, least)
+    mean, projections = learn_rotations(sample, -(-tables // (length // bits)))
+    for fewer in range(bits, 0, -1):  # shorter substrings need no more rotations
+        rotations = mean, projections[: -(-tables // (length // fewer))]
+        met = [(substrings(a, *rotations, fewer, tables) == substrings(b, *rotations, fewer, tables)).any(1).mean() for a, b in pairs]
+        if min(met, default=1.0) >= FOUND:
+            break
+    return fewer, rotations
+
+
 def link_group(
     table: int, vectors: np.ndarray, keys: np.ndarray, weights: np.ndarray, block: np.ndarray, across: bool, least: float
 ):
@@ -138,9 +181,8 @@ def near_duplicates(
     if len(learned):
         learned /= np.linalg.norm(learned, axis=1, keepdims=True)
     length = learned.shape[1] if len(learned) else classes.select(F.max(F.size("vector"))).first()[0] or 1
-    bits = min(bits, length)
-    rotations = -(-tables // (length // bits))
-    held = spark.sparkContext.broadcast(learn_rotations(learned.reshape(-1, length), rotations))
+    bits, rotations = choose_bits(learned.reshape(-1, length), least, min(bits, length), tables)
+    held = spark.sparkContext.broadcast(rotations)
     # Vectors travel as they are stored; four bytes hold a float exactly.
     stored = "<f4" if dict(embeddings.dtypes)["embedding"] == "array<float>" else "<f8"
 

@@ -83,6 +83,26 @@ def test_recall_at_the_threshold():
     assert (abs(share - 0.5) < 0.1).all()  # balanced
 
 
+@pytest.mark.parametrize("common", [0.0, 0.7, 1.5, 4.0])
+def test_recall_beside_a_common_direction(spark, common):
+    """Brute force over vectors whose mean is ``common`` times as long as their spread."""
+    rng = np.random.default_rng(2)
+    length = 64
+    centre = rng.standard_normal(length)
+    x = rng.standard_normal((700, length)) + common * np.sqrt(length) * centre / np.linalg.norm(centre)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    noise = rng.standard_normal(x.shape)
+    noise -= (noise * x).sum(1, keepdims=True) * x
+    cosine = rng.uniform(0.9, 0.92, len(x))[:, None]
+    y = cosine * x + np.sqrt(1 - cosine**2) * noise / np.linalg.norm(noise, axis=1, keepdims=True)
+    stored = np.concatenate([x, y]).astype(np.float32).astype(float)
+    units = stored / np.linalg.norm(stored, axis=1, keepdims=True)
+    wanted = (units @ units.T >= 0.9).sum() - len(units)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(stored)], "vec_id long, embedding array<float>")
+    found = sum(r["n_links"] for r in embeddings.near_duplicates(table).collect())
+    assert 0.95 * wanted <= found <= wanted
+
+
 def test_query_recall_on_the_table(spark):
     sf = "/root/testdata/sf0.01"
     rows = sorted((r["vec_id"], list(r["embedding"])) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect())
