@@ -61,3 +61,30 @@ SELECT page_id, octet_length(encode(html)) AS payload_bytes, digest AS payload_d
        CASE WHEN page_id <> response THEN response END AS refers_to
 FROM named JOIN best USING (html)
 """
+
+# Terms of all documents that no item asks for only count in the lengths.
+SQL["op13_ball_tree"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), s AS (SELECT count(*) FILTER (len(w) > 0) AS nd, sum(len(w))::BIGINT AS total FROM d),
+q AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT DISTINCT item_id, text FROM benchmark))
+  GROUP BY item_id, term
+), p AS (
+  SELECT doc_id, term, count(*) AS tf, any_value(n) AS n FROM (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM p, s GROUP BY term, nd
+), scores AS (
+  SELECT item_id, doc_id,
+         sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // total))))::BIGINT AS score
+  FROM p JOIN weights USING (term) JOIN q USING (term), s GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""

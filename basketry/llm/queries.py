@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontam, embeddings, grammar, packing, pii, sharding, simhash, toxicity, warc
+from basketry.llm import (
+    chat,
+    decontam,
+    embeddings,
+    grammar,
+    language,
+    lexical,
+    packing,
+    pii,
+    sharding,
+    simhash,
+    spelling,
+    toxicity,
+    warc,
+)
 from basketry.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +126,21 @@ def op3_toxicity_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_itq_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    predicted = language.predict(docs, language.fit(docs))
+    return predicted.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op12_q_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.noisy(spelling.runs(table(spark, sf_dir, "documents")))
+    return spelling.group_variants(spelling.vocabulary(found))
+
+
+@query
+def op13_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
