@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import random
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -15,21 +14,10 @@ from pyspark.sql import functions as F
 
 from basketry.operators.evaluation import auc, classification_metrics, score_counts
 from basketry.operators.scale import running_totals
-from basketry.operators.trials import run_trials
+from basketry.operators.trials import RUNGS, Rung, TreeConfig, classifier, halving_search
 from basketry.sources.readers import path_exists
 
 
-@dataclass(frozen=True)
-class TreeConfig:
-    max_depth: int = 4
-    learning_rate: float = 0.1
-    n_estimators: int = 300
-    subsample: float = 0.8
-    colsample: float = 0.8
-    min_child: int = 1
-    min_gain: float = 0.0
-
-
 # The manual sweep.
 TREE_SWEEP = (
     TreeConfig(4, 0.1, 300),
@@ -74,12 +62,7 @@ def fit_trees(
 ) -> PipelineModel:
     """Boosted trees on the train rows; the validation rows stop the iterations."""
     fitting = split.filter("split <> 'test'").withColumn("is_val", F.col("split") == "val")
-    trees = GBTClassifier(
-        featuresCol="features", labelCol=label, validationIndicatorCol="is_val", maxDepth=config.max_depth,
-        stepSize=config.learning_rate, maxIter=config.n_estimators, subsamplingRate=config.subsample,
-        featureSubsetStrategy=str(config.colsample), minInstancesPerNode=config.min_child,
-        minInfoGain=config.min_gain, seed=seed,
-    )
+    trees = classifier(config, label, seed)
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), trees]).fit(fitting)
 
 
@@ -162,35 +145,36 @@ def search(
     n_trials: int = 60,
     seed: int = 42,
     max_iter: tuple[int, int] = (100, 800),
-) -> tuple[DataFrame, PipelineModel]:
-    """Random search by validation AUC; one row of test metrics for the winner, and its model.
-
-    Trials run as tasks on a bounded sample; the winner is fitted on all rows for as many rounds as
-    its trial found best.
-    """
+    rungs: tuple[Rung, ...] = RUNGS,
+) -> tuple[DataFrame, PipelineModel, DataFrame]:
+    """Successive halving over random configurations: the winner by validation AUC with its test
+    metrics as one row, its model, and one row per fit."""
+    spark = split.sparkSession
     configs = draw_configs(n_trials, seed, max_iter)
-    done = run_trials(split, features, label, [asdict(c) for c in configs], seed)
-    best = max(range(n_trials), key=lambda i: (done[i][0] or 0.0, -i))
-    chosen = replace(configs[best], n_estimators=max(1, done[best][1]))
-    model = fit_trees(split, features, label, chosen, seed)
-    val_auc = validation_auc(model, split, label)
-    row = (n_trials, *asdict(chosen).values(), val_auc, *evaluate(model, split, label).first())
-    names = ["n_trials", *asdict(chosen), "val_auc", "auc_roc", "precision_at_top20pct"]
+    assembler = VectorAssembler(inputCols=features, outputCol="features")
+    vectors = assembler.transform(split).select("customer_id", "split", label, "features")
+    best, val_auc, trees, history = halving_search(vectors, label, configs, rungs, seed)
+    model = PipelineModel([assembler, trees])
+    row = (n_trials, *asdict(configs[best]).values(), trees.getNumTrees, val_auc, *evaluate(model, split, label).first())
+    names = ["n_trials", *asdict(configs[best]), "rounds", "val_auc", "auc_roc", "precision_at_top20pct"]
     names += ["precision_at_threshold", "recall_at_threshold"]
-    return split.sparkSession.createDataFrame([row], names), model
+    fits = spark.createDataFrame(history, "rung int, config int, rounds int, share double, val_auc double")
+    drawn = spark.createDataFrame([(i, *asdict(c).values()) for i, c in enumerate(configs)], ["config", *asdict(configs[0])])
+    return spark.createDataFrame([row], names), model, fits.join(F.broadcast(drawn), "config")
 
 
 def compare_feature_sets(
     split: DataFrame, feature_sets: dict[str, list[str]], label: str, **search_args
 ) -> tuple[DataFrame, str, PipelineModel]:
-    """The same search per feature set; the set with the higher AUC wins."""
-    table, models = None, {}
-    for name, features in feature_sets.items():
-        row, models[name] = search(split, features, label, **search_args)
-        row = row.select(F.lit(name).alias("feature_set"), F.lit(len(features)).alias("n_features"), "*")
+    """The same search per feature set; the set with the higher validation AUC wins, the first on a tie."""
+    with ThreadPoolExecutor(len(feature_sets)) as pool:
+        done = dict(zip(feature_sets, pool.map(lambda f: search(split, f, label, **search_args), feature_sets.values()), strict=True))
+    table = None
+    for name, (row, _, _) in done.items():
+        row = row.select(F.lit(name).alias("feature_set"), F.lit(len(feature_sets[name])).alias("n_features"), "*")
         table = row if table is None else table.unionByName(row)
-    winner = table.agg(F.max_by("feature_set", "auc_roc")).first()[0]
-    return table, winner, models[winner]
+    winner = max(done, key=lambda name: done[name][0].first()["val_auc"])
+    return table, winner, done[winner][1]
 
 
 # --- attribution ------------------------------------------------------------------------------

@@ -155,14 +155,15 @@ def precision_at_top_k(
     return precision_curve(scored, id_col, [k_frac], score, label)
 
 
-def score_counts(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """Positives and negatives per distinct score with running counts from the highest score."""
-    counts = scored.groupBy(F.col(score).alias("threshold")).agg(
+def score_counts(scored: DataFrame, score: str = "score", label: str = "label", by: list[str] | None = None) -> DataFrame:
+    """Positives and negatives per distinct score (and ``by``) with running counts from the highest score."""
+    by = by or []
+    counts = scored.groupBy(*by, F.col(score).alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum(1 - F.col(label).cast("long")).alias("neg"),
     )
     return running_totals(
-        counts, {"score": -F.col("threshold")}, {"pos": F.col("pos"), "neg": F.col("neg")}
+        counts, {"score": -F.col("threshold")}, {"pos": F.col("pos"), "neg": F.col("neg")}, group=by
     )
 
 
@@ -175,10 +176,10 @@ def roc_curve(scored: DataFrame, score: str = "score", label: str = "label") ->
     )
 
 
-def auc(counted: DataFrame) -> DataFrame:
-    """Area under the ROC curve from ``score_counts``: ranked pairs, ties count half."""
+def auc(counted: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Area under the ROC curve from ``score_counts`` (per ``by``): ranked pairs, ties count half."""
     wins = F.col("neg") * (F.col("pos_running") * 2 - F.col("pos"))
-    return counted.agg(
+    return counted.groupBy(*(by or [])).agg(
         F.try_divide(
             F.sum(wins.cast("decimal(38,0)")).cast("double"),
             F.max("pos_all").cast("double") * F.max("neg_all") * 2,

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -16,13 +15,14 @@ from pyspark.sql import functions as F
 
 from basketry.functions.expressions import octant_label
 from basketry.operators.rfm import METRICS
-from basketry.operators.scale import hash_sample
 from basketry.session import cut
 
 SCALED = tuple(f"{c}_scaled" for c in METRICS)
 NOISE = -1
-MAX_ITER, TOLERANCE = 300, 1e-4  # iterations at most, and the squared movement that counts as rest
-SEED_ROWS = 10_000
+MAX_ITER, TOLERANCE = 300, 1e-4  # iterations at most, and the movement of a center that counts as rest
+SEED_PASSES = 2  # k-means|| passes over all rows before the first iteration
+PARALLEL = 8  # fits side by side
+TASK_ROWS = 50_000  # rows of one task in a fit, about
 # Qualifiers for clusters that share a base name, by falling monetary mean.
 QUALIFIERS = ("premium", "core", "emerging", "marginal")
 
@@ -73,75 +73,32 @@ class Centers:
         return rows.withColumn(name, nearest["i"])
 
 
-def _first_centers(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """k-means++ on a sample."""
-    rng = np.random.default_rng(seed)
-    centers = [sample[rng.integers(len(sample))]]
-    for _ in range(k - 1):
-        apart = np.min([((sample - c) ** 2).sum(1) for c in centers], axis=0)
-        total = apart.sum()
-        centers.append(sample[rng.choice(len(sample), p=apart / total)] if total > 0 else sample[rng.integers(len(sample))])
-    return np.array(centers)
-
-
-def _lloyd_step(rows: DataFrame, columns: tuple[str, ...], centers: dict[int, np.ndarray]) -> dict[int, dict[int, tuple]]:
-    """For every fit: cluster -> (rows, cost, sums...). One pass over the rows for all fits."""
-    width = len(columns)
-    names = ["fit", "cluster", "n", "cost", *[f"s{i}" for i in range(width)]]
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = {f: np.zeros((len(c), width + 2)) for f, c in centers.items()}
-        for batch in batches:
-            points = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], 1)
-            for f, c in centers.items():
-                squared = ((points[:, None, :] - c[None]) ** 2).sum(2)
-                nearest = squared.argmin(1)
-                cost = squared[np.arange(len(points)), nearest]
-                for i, weights in enumerate((None, cost, *points.T)):
-                    totals[f][:, i] += np.bincount(nearest, weights, len(c))
-        lines = [(f, j, *row) for f, table in totals.items() for j, row in enumerate(table.tolist())]
-        arrays = [pa.array(v, pa.int32() if i < 2 else pa.float64()) for i, v in enumerate(zip(*lines, strict=True))]
-        yield pa.RecordBatch.from_arrays(arrays, names)
-
-    schema = "fit int, cluster int, " + ", ".join(f"{n} double" for n in names[2:])
-    partial = rows.select(*columns).mapInArrow(sums, schema)
-    out: dict[int, dict[int, tuple]] = {}
-    for r in partial.groupBy("fit", "cluster").agg(*[F.sum(n).alias(n) for n in names[2:]]).collect():
-        out.setdefault(r["fit"], {})[r["cluster"]] = tuple(r)[2:]
-    return out
-
-
 def fit_starts(
     rows: DataFrame, jobs: list[tuple[int, int]], columns: tuple[str, ...] = SCALED,
-    max_iter: int = MAX_ITER, tolerance: float = TOLERANCE, sample: int = SEED_ROWS,
+    max_iter: int = MAX_ITER, tolerance: float = TOLERANCE, parallelism: int = PARALLEL,
 ) -> dict[tuple[int, int], Centers]:
-    """Lloyd's iterations of all (k, seed) pairs side by side, each until its centers rest.
+    """A fit of every (k, seed) pair, several side by side.
 
-    An iteration is one pass over all rows, whatever the number of fits; what comes back is one
-    row per fit and cluster. The first centers are drawn from about ``sample`` rows; ``rows`` should
-    be cached or checkpointed.
+    First centers come from k-means|| passes over all rows: each pass draws rows with a chance that
+    grows with their distance to the centers so far, so a small group far from the others is met however
+    many rows there are. ``rows`` should be cached or checkpointed.
     """
-    key = F.struct(*[F.col(c) for c in rows.columns if c != "features"])
-    drawn = hash_sample(rows, key, sample, list(columns)).select(*columns).collect()
-    start = np.array(sorted(map(tuple, drawn)), float).reshape(-1, len(columns))
-    if not len(start):
+    vectors = as_vectors(rows.select(*columns), columns).select("features")
+    size = vectors.count()
+    if not size:
         raise ValueError("no rows to cluster")
-    centers = {i: _first_centers(start, k, seed) for i, (k, seed) in enumerate(jobs)}
-    moving, done = dict(centers), {}
-    for iteration in range(1, max_iter + 1):
-        for fit, clusters in _lloyd_step(rows, columns, moving).items():
-            table = np.array([clusters[j] for j in range(len(moving[fit]))])
-            filled = table[:, 0] > 0
-            moved = moving[fit].copy()
-            moved[filled] = table[filled, 2:] / table[filled, :1]
-            rests = ((moved - moving[fit]) ** 2).sum() <= tolerance
-            if rests or iteration == max_iter:
-                done[fit] = Centers(moving.pop(fit), float(table[:, 1].sum()), iteration)
-            else:
-                moving[fit] = moved
-        if not moving:
-            break
-    return {job: done[i] for i, job in enumerate(jobs)}
+    vectors = vectors.repartition(max(1, -(-size // TASK_ROWS))).cache()
+    vectors.count()
+
+    def fit(job: tuple[int, int]) -> Centers:
+        k, seed = job
+        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tolerance, initMode="k-means||", initSteps=SEED_PASSES).fit(vectors)
+        return Centers(np.array(model.clusterCenters()), float(model.summary.trainingCost), model.summary.numIter)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        done = dict(zip(jobs, pool.map(fit, jobs), strict=True))
+    vectors.unpersist()
+    return done
 
 
 def fit_kmeans(rows: DataFrame, k: int, seed: int = 42, n_init: int = 10, max_iter: int = MAX_ITER) -> Centers:
@@ -178,6 +135,15 @@ def sweep_kmeans(
     return cut(table.join(index, "k")), best
 
 
+def inertia(placed: DataFrame, centers: np.ndarray, columns: tuple[str, ...] = SCALED) -> DataFrame:
+    """(cluster, n_rows, inertia): rows and summed squared distances to the center each was given."""
+    of = F.array(*[F.array(*[F.lit(float(v)) for v in center]) for center in centers])
+    own = F.array(*[F.col(c) for c in columns])
+    squares = F.zip_with(own, F.get(of, F.col("cluster")), lambda x, y: (x - y) * (x - y))
+    squared = F.aggregate(squares, F.lit(0.0), lambda acc, s: acc + s)
+    return placed.groupBy("cluster").agg(F.count("*").alias("n_rows"), F.sum(squared).alias("inertia"))
+
+
 def choose_k(sweep: DataFrame, target_range: tuple[int, int] = (6, 8)) -> int:
     """The k inside the range with the highest silhouette, the smallest one on a tie."""
     chosen = (

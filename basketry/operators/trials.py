@@ -1,111 +1,106 @@
-"""Hyper-parameter trials side by side: every trial is one task over the same bounded sample.
+"""Hyper-parameter search by successive halving over MLlib boosted trees.
 
-The helper boosts depth-wise trees on binned features with early stopping; it only ranks
-configurations. The chosen one is fitted again on all rows by ``churn_model.fit_trees``.
+All configurations are fitted for a few rounds on a share of the train rows; the best of them by
+validation AUC go on to a rung with more rounds and more rows, and the last rung is fitted in full. A
+configuration that is left behind is not fitted again. Every rung scores the whole validation part under
+all of its models in one pass and ranks them with one aggregate; nothing but one row per configuration
+reaches the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
-import numpy as np
-import pyarrow as pa
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators.scale import hash_sample
-
-SAMPLE_ROWS = 50_000  # train and validation rows a trial sees at most, about
-BINS = 32
-PATIENCE = 50  # rounds without a better validation loss
-
-
-def rank_auc(scores: np.ndarray, labels: np.ndarray) -> float | None:
-    """Area under the ROC curve, ties counted half; None for a single class."""
-    positive = labels == 1
-    n, m = int(positive.sum()), int((~positive).sum())
-    if not n or not m:
-        return None
-    values, place, counts = np.unique(scores, return_inverse=True, return_counts=True)
-    middle = np.cumsum(counts) - (counts - 1) / 2
-    return float((middle[place][positive].sum() - n * (n + 1) / 2) / (n * m))
-
-
-def _tree(bins, slope, weight, used, features, depth, least_rows, least_gain):
-    """Leaf number of every row and the leaf values of one tree."""
-    n, width = len(bins), len(features)
-    node, value = np.zeros(n, np.int64), np.zeros(1)
-    for _ in range(depth + 1):
-        nodes = int(node.max()) + 1
-        sums = [np.bincount(node[used], w, nodes) for w in (slope[used], weight[used])]
-        value = sums[0] / (sums[1] + 1.0)
-        if _ == depth:
-            break
-        at = ((node[used, None] * width + np.arange(width)) * BINS + bins[used][:, features]).ravel()
-        shape = (nodes, width, BINS)
-        total = [np.bincount(at, np.repeat(w, width), nodes * width * BINS).reshape(shape) for w in (slope[used], weight[used], np.ones(used.sum()))]
-        left = [t.cumsum(2)[:, :, :-1] for t in total]
-        right = [t.sum(2, keepdims=True) - part for t, part in zip(total, left, strict=True)]
-        gain = left[0] ** 2 / (left[1] + 1) + right[0] ** 2 / (right[1] + 1) - (sums[0] ** 2 / (sums[1] + 1))[:, None, None]
-        gain[(left[2] < least_rows) | (right[2] < least_rows)] = -np.inf
-        flat = gain.reshape(nodes, -1)
-        best = flat.argmax(1)
-        split = flat[np.arange(nodes), best] > least_gain
-        if not split.any():
-            break
-        feature, cut = np.array(features)[best // (BINS - 1)], best % (BINS - 1)
-        goes_right = bins[np.arange(n), feature[node]] > cut[node]
-        first = np.concatenate([[0], np.cumsum(1 + split)])[:-1]
-        node = first[node] + (split[node] & goes_right)
-    return node, value
-
-
-def boost(bins: np.ndarray, labels: np.ndarray, is_val: np.ndarray, config: dict, seed: int) -> tuple[float | None, int]:
-    """(validation AUC, rounds) at the round with the smallest validation loss."""
-    rng = np.random.default_rng(seed)
-    n, width = bins.shape
-    share = np.clip(labels[~is_val].mean(), 1e-6, 1 - 1e-6) if (~is_val).any() else 0.5
-    margin = np.full(n, np.log(share / (1 - share)))
-    best = (np.inf, rank_auc(margin[is_val], labels[is_val]), 0)
-    for step in range(1, config["n_estimators"] + 1):
-        chance = 1 / (1 + np.exp(-margin))
-        used = ~is_val & (rng.random(n) < config["subsample"])
-        if not used.any():
-            continue
-        features = np.sort(rng.permutation(width)[: max(1, round(config["colsample"] * width))])
-        leaf, value = _tree(
-            bins, labels - chance, chance * (1 - chance), used, features, config["max_depth"], config["min_child"], config["min_gain"]
-        )
-        margin += config["learning_rate"] * value[leaf]
-        sign = np.where(labels[is_val] == 1, -1.0, 1.0)
-        loss = float(np.logaddexp(0, sign * margin[is_val]).mean()) if is_val.any() else float(-step)
-        if loss < best[0]:
-            best = (loss, rank_auc(margin[is_val], labels[is_val]), step)
-        elif step - best[2] >= PATIENCE:
-            break
-    return best[1], best[2]
-
-
-def run_trials(split: DataFrame, features: list[str], label: str, configs: list[dict], seed: int = 42, sample: int = SAMPLE_ROWS):
-    """[(validation AUC, rounds)] by configuration, every configuration on the same rows."""
-    spark = split.sparkSession
-    fitting = split.filter("split <> 'test'").select(
-        "customer_id", *[F.col(f).cast("double").alias(f) for f in features], F.col(label).cast("double").alias("_label"), (F.col("split") == "val").alias("_val")
-    )
-    rows = hash_sample(fitting, F.col("customer_id"), sample, [*features, "_label", "_val"]).orderBy("k").collect()
-    values = np.array([[r[f] for f in features] for r in rows], float).reshape(len(rows), len(features))
-    labels, is_val = np.array([r["_label"] for r in rows]), np.array([r["_val"] for r in rows], bool)
-    edges = [np.unique(np.quantile(c[~is_val], np.linspace(0, 1, BINS + 1)[1:-1])) for c in values.T] if (~is_val).any() else []
-    bins = np.stack([np.searchsorted(e, c, "right") for e, c in zip(edges, values.T, strict=True)], 1) if edges else np.zeros((0, 1), int)
-    held = spark.sparkContext.broadcast((bins.astype(np.int64), labels, is_val))
-
-    def trial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            numbers = batch["id"].to_pylist()
-            found = [boost(*held.value, configs[i], seed + i) for i in numbers]
-            yield pa.RecordBatch.from_arrays(
-                [batch["id"], pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.int32())], ["id", "auc", "rounds"]
-            )
-
-    done = spark.range(0, len(configs), 1, len(configs)).mapInArrow(trial, "id long, auc double, rounds int").collect()
-    return [(r["auc"], r["rounds"]) for r in sorted(done)]
+from basketry.operators.evaluation import auc, score_counts
+from basketry.operators.scale import HASH_SPACE
+
+PARALLEL = 8  # fits side by side
+TASK_ROWS = 50_000  # rows of one task in a fit, about
+
+
+@dataclass(frozen=True)
+class TreeConfig:
+    max_depth: int = 4
+    learning_rate: float = 0.1
+    n_estimators: int = 300
+    subsample: float = 0.8
+    colsample: float = 0.8
+    min_child: int = 1
+    min_gain: float = 0.0
+
+
+@dataclass(frozen=True)
+class Rung:
+    """One round of the search: at most so many configurations, boosting rounds (None: all) and a share of the train rows."""
+
+    configs: int | None
+    rounds: int | None
+    share: float
+
+
+RUNGS = (Rung(None, 3, 1 / 3), Rung(20, 9, 1.0), Rung(6, 27, 1.0), Rung(2, None, 1.0))
+
+
+def classifier(config: TreeConfig, label: str, seed: int) -> GBTClassifier:
+    """Boosted trees whose iterations end when the rows flagged ``is_val`` stop improving."""
+    return GBTClassifier(
+        featuresCol="features", labelCol=label, validationIndicatorCol="is_val", maxDepth=config.max_depth,
+        stepSize=config.learning_rate, maxIter=config.n_estimators, subsamplingRate=config.subsample,
+        featureSubsetStrategy=str(config.colsample), minInstancesPerNode=config.min_child,
+        minInfoGain=config.min_gain, seed=seed,
+    )
+
+
+def in_share(id_col: str, share: float, seed: int):
+    """Rows of a share that holds the rows of every smaller one."""
+    return F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(HASH_SPACE)) < F.lit(float(HASH_SPACE) * share)
+
+
+def validation_aucs(models: dict[int, GBTClassificationModel], rows: DataFrame, label: str) -> dict[int, float]:
+    """AUC of every model on the same rows; 0 where they hold one class only."""
+    scored = rows
+    for number, model in models.items():
+        bare = model.copy({model.rawPredictionCol: "", model.predictionCol: "", model.probabilityCol: f"_p{number}"})
+        scored = bare.transform(scored)
+    each = [F.struct(F.lit(number).alias("trial"), vector_to_array(f"_p{number}")[1].alias("score")) for number in models]
+    long = scored.select(F.col(label).alias("label"), F.explode(F.array(*each)).alias("s")).select("label", "s.*")
+    found = auc(score_counts(long, by=["trial"]), by=["trial"]).collect()
+    return dict.fromkeys(models, 0.0) | {r["trial"]: r["auc_roc"] for r in found if r["auc_roc"] is not None}
+
+
+def halving_search(
+    vectors: DataFrame, label: str, configs: tuple[TreeConfig, ...], rungs: tuple[Rung, ...] = RUNGS,
+    seed: int = 42, id_col: str = "customer_id", parallelism: int = PARALLEL,
+) -> tuple[int, float, GBTClassificationModel, list[tuple[int, int, int, float, float]]]:
+    """Winner, its validation AUC and model, and (rung, config, rounds, share, val_auc) of every fit.
+
+    ``vectors`` has id, features, label and ``split``. Ties go to the first configuration.
+    """
+    fitting = vectors.filter("split <> 'test'").withColumn("is_val", F.col("split") == "val")
+    tasks = max(1, -(-fitting.count() // TASK_ROWS))
+    fitting = fitting.repartition(tasks, id_col).cache()
+    held_back = fitting.filter("is_val").select(label, "features")
+    left, history, models, scores = list(range(len(configs))), [], {}, {}
+    for number, rung in enumerate(rungs):
+        left = left[: rung.configs]
+        rows = fitting if rung.share >= 1 else fitting.filter(F.col("is_val") | in_share(id_col, rung.share, seed)).cache()
+
+        def fit(i: int, rung: Rung = rung, rows: DataFrame = rows) -> GBTClassificationModel:
+            rounds = min(rung.rounds or configs[i].n_estimators, configs[i].n_estimators)
+            return classifier(replace(configs[i], n_estimators=rounds), label, seed).fit(rows)
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            models = dict(zip(left, pool.map(fit, left), strict=True))
+        scores = validation_aucs(models, held_back, label)
+        history += [(number, i, models[i].getNumTrees, rung.share, scores[i]) for i in sorted(left)]
+        left = sorted(left, key=lambda i: (-scores[i], i))
+        if rows is not fitting:
+            rows.unpersist()
+    fitting.unpersist()
+    return left[0], scores[left[0]], models[left[0]], history
