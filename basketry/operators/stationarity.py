@@ -1,18 +1,18 @@
 """Unit-root and level-stationarity tests, one small regression problem per series.
 
-A series has one row per calendar day, so a group is bounded by the length of the calendar; Spark
-spreads the series over tasks and the tests run in numpy on Arrow batches.
+A series has one row per calendar day, so its values are an array bounded by the length of the calendar.
+Regressions are Gram matrices of lagged arrays, eliminated by array expressions: no Python worker runs.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.functions.expressions import normal_cdf
+from basketry.functions.linear import corner_path, diagonal, dot, eliminate
 from basketry.operators.series import first_difference, stationarity_verdict
 
 # Published coefficients (constant, no trend) for the unit-root test.
@@ -30,96 +30,161 @@ ADF_SWITCH, ADF_MIN, ADF_MAX = -1.61, -18.83, 2.74
 KPSS_CRITICAL = {"10%": 0.347, "5%": 0.463, "2.5%": 0.574, "1%": 0.739}
 KPSS_P = (0.10, 0.05, 0.025, 0.01)
 LEVEL = 0.05
+TESTS = ("adf_statistic", "adf_p_value", "adf_n_lags", "adf_n_obs", "adf_critical", "kpss_statistic", "kpss_p_value", "kpss_n_lags")
 
-TEST_SCHEMA = (
-    "series_id string, column string, form string, n_observations long, "
-    "adf_statistic double, adf_p_value double, adf_n_lags int, adf_n_obs int, "
-    "adf_critical map<string,double>, kpss_statistic double, kpss_p_value double, kpss_n_lags int"
-)
 
+def _lags(z: Column, k: Column, n: Column) -> Column:
+    """Autocovariance of a centred array at lag k."""
+    return dot(F.slice(z, k + 1, n - k), F.slice(z, F.lit(1), n - k)) / n
 
-def adf_test(y: np.ndarray) -> tuple[float, float, int, int]:
-    """Augmented Dickey-Fuller with constant; lag order by AIC over a common sample.
 
-    Returns statistic, p-value, lags and observations used.
+def level_test(series: DataFrame) -> DataFrame:
+    """Adds the level-stationarity test (data-driven lag rule) to rows of (z, n): z is standardized."""
+    z, n = F.col("z"), F.col("n")
+    pilot = F.transform(F.sequence(F.lit(0), F.floor(F.pow(n, F.lit(2 / 9))).cast("int")), lambda k: _lags(z, k, n))
+    total = lambda values: F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+    s0 = 2 * total(F.col("_pilot")) - F.get("_pilot", F.lit(0))
+    s1 = 2 * total(F.transform("_pilot", lambda c, k: c * k))
+    width = 1.1447 * F.pow(F.pow(F.try_divide(s1, s0), 2), F.lit(1 / 3)) * F.pow(n, F.lit(1 / 3))
+    lags = F.least(F.coalesce(F.floor(width).cast("int"), F.lit(0)), n - 1)
+    chosen = F.col("kpss_n_lags")
+    # The triangular weights add up to squared sums of ``chosen + 1`` neighbours, zero beyond the ends.
+    upto = F.aggregate(z, F.array(F.lit(0.0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+    square = lambda x: x * x
+    window = lambda j: F.get("_upto", F.least(n, j + chosen + 1)) - F.get("_upto", F.greatest(F.lit(0), j))
+    windows = F.aggregate(F.sequence(-chosen, n - 1), F.lit(0.0), lambda acc, j: acc + square(window(j)))
+    partial = F.aggregate("_upto", F.lit(0.0), lambda acc, x: acc + square(x))
+    statistic = F.try_divide(partial, n * n * F.col("_long"))
+    points = list(zip(KPSS_CRITICAL.values(), KPSS_P, strict=True))
+    p_value = F.lit(points[-1][1])
+    for (x0, p0), (x1, p1) in reversed(list(zip(points, points[1:], strict=False))):
+        p_value = F.when(F.col("kpss_statistic") < x1, p0 + (F.col("kpss_statistic") - x0) * ((p1 - p0) / (x1 - x0))).otherwise(p_value)
+    p_value = F.when(F.col("kpss_statistic") <= points[0][0], points[0][1]).otherwise(p_value)
+    nan = F.lit(math.nan)
+    return (
+        series.withColumn("_pilot", pilot)
+        .withColumn("kpss_n_lags", F.when(F.col("flat"), F.lit(0)).otherwise(lags))
+        .withColumn("_upto", upto)
+        .withColumn("_long", windows / (n * (chosen + 1)))
+        .withColumn("kpss_statistic", F.when(F.col("flat"), nan).otherwise(F.coalesce(statistic, nan)))
+        .withColumn("kpss_p_value", F.when(F.isnan("kpss_statistic"), nan).otherwise(p_value))
+        .drop("_pilot", "_upto", "_long")
+    )
+
+
+CONSTANT, LEVEL_AT = -2, -1  # in the order of a regression's columns; 0 is the target, k the change k days before
+
+
+def _order(lags: Column, level_last: bool) -> Column:
+    shifted = _counting(F.lit(1), lags)
+    constant, level, target = (F.array(F.lit(i)) for i in (CONSTANT, LEVEL_AT, 0))
+    return F.concat(constant, shifted, level, target) if level_last else F.concat(constant, level, shifted, target)
+
+
+def _counting(first: Column, last: Column) -> Column:
+    return F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+
+def _products(lags: Column, skip: Column) -> Column:
+    """Sums and products of constant, level and lagged changes from position ``skip`` on.
+
+    Products of two lags differ from those of the two lags before only at both ends of the rows, so
+    ``across[d][i]``, of the changes i and i + d days before, needs one pass over the rows for every d.
     """
-    n = len(y)
-    change = np.diff(y)
-    max_lag = min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 2)
-    if max_lag < 0 or np.ptp(y) == 0:
-        return math.nan, math.nan, 0, 0
-
-    def regress(lags: int, skip: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        target = change[skip:]
-        rows = len(target)
-        columns = [np.ones(rows), y[skip : skip + rows]]
-        columns += [change[skip - k : skip - k + rows] for k in range(1, lags + 1)]
-        design = np.column_stack(columns)
-        coef = np.linalg.lstsq(design, target, rcond=None)[0]
-        return design, target - design @ coef, coef
-
-    def aic(lags: int) -> float:
-        design, rest, _ = regress(lags, max_lag)
-        rows, width = design.shape
-        return rows * (math.log(2 * math.pi * max(rest @ rest, 1e-300) / rows) + 1) + 2 * width
-
-    lags = min(range(max_lag + 1), key=aic)
-    design, rest, coef = regress(lags, lags)
-    rows, width = design.shape
-    variance = rest @ rest / (rows - width) * np.linalg.pinv(design.T @ design)[1, 1]
-    statistic = float(coef[1] / math.sqrt(variance)) if variance > 0 else math.nan
-    return statistic, adf_p_value(statistic), lags, rows
-
-
-def adf_p_value(statistic: float) -> float:
-    if math.isnan(statistic):
-        return math.nan
-    if statistic >= ADF_MAX:
-        return 1.0
-    if statistic <= ADF_MIN:
-        return 0.0
-    powers = ADF_SMALL_P if statistic <= ADF_SWITCH else ADF_LARGE_P
-    z = sum(c * statistic**i for i, c in enumerate(powers))
-    return 0.5 * math.erfc(-z / math.sqrt(2))
-
-
-def kpss_test(y: np.ndarray) -> tuple[float, float, int]:
-    """Level-stationarity test with the data-driven lag rule; statistic, p-value, lags."""
-    n = len(y)
-    rest = y - y.mean()
-    if n < 2 or np.ptp(y) == 0:
-        return math.nan, math.nan, 0
-
-    def autocov(k: int) -> float:
-        return float(rest[k:] @ rest[: n - k]) / n
-
-    pilot = [autocov(k) for k in range(int(n ** (2 / 9)) + 1)]
-    s0 = pilot[0] + 2 * sum(pilot[1:])
-    s1 = 2 * sum(k * c for k, c in enumerate(pilot))
-    lags = min(int(1.1447 * ((s1 / s0) ** 2) ** (1 / 3) * n ** (1 / 3)), n - 1)
-    long_run = autocov(0) + 2 * sum((1 - k / (lags + 1)) * autocov(k) for k in range(1, lags + 1))
-    statistic = float(np.sum(np.cumsum(rest) ** 2)) / (n * n * long_run)
-    return statistic, float(np.interp(statistic, list(KPSS_CRITICAL.values()), KPSS_P)), lags
-
-
-def _tests(group: pd.DataFrame) -> pd.DataFrame:
-    first = group.iloc[0]
-    y = group.sort_values("ds")["y"].to_numpy(dtype=float)
-    statistic, p_value, lags, rows = adf_test(y)
-    critical = {
-        name: c0 + c1 / rows + c2 / rows**2 + c3 / rows**3
-        for name, (c0, c1, c2, c3) in (ADF_CRITICAL.items() if rows else ())
-    }
-    return pd.DataFrame(
-        [
-            (first["series_id"], first["column"], first["form"], len(y))
-            + (statistic, p_value, lags, rows, critical)
-            + kpss_test(y)
-        ],
-        columns=[field.split()[0] for field in TEST_SCHEMA.split(", ")],
+    rows = F.size("change") - skip
+    before = lambda k: F.slice("change", skip - k + 1, rows)
+    level = F.slice("z", skip + 1, rows)
+    every = F.sequence(F.lit(0), lags)
+    total = lambda values: F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+    at = lambda i: F.get("change", i)
+
+    def diagonal_of(d: Column) -> Column:
+        first = F.array(dot(before(F.lit(0)), before(d)))
+        ends = lambda r: at(skip - 1 - r) * at(skip - 1 - r - d) - at(skip + rows - 1 - r) * at(skip + rows - 1 - r - d)
+        return F.aggregate(_counting(F.lit(1), lags - d), first, lambda acc, i: F.concat(acc, F.array(F.element_at(acc, -1) + ends(i - 1))))
+
+    return F.struct(
+        rows.cast("double").alias("rows"),
+        total(level).alias("level"),
+        dot(level, level).alias("level_level"),
+        F.transform(every, lambda k: total(before(k))).alias("sums"),
+        F.transform(every, lambda k: dot(level, before(k))).alias("with_level"),
+        F.transform(every, diagonal_of).alias("across"),
     )
 
 
+def _gram(products: Column, order: Column) -> Column:
+    def entry(a: Column, b: Column) -> Column:
+        low, high = F.least(a, b), F.greatest(a, b)
+        with_constant = F.when(high == CONSTANT, products["rows"]).when(high == LEVEL_AT, products["level"]).otherwise(F.get(products["sums"], high))
+        with_level = F.when(high == LEVEL_AT, products["level_level"]).otherwise(F.get(products["with_level"], high))
+        return F.when(low == CONSTANT, with_constant).when(low == LEVEL_AT, with_level).otherwise(F.get(F.get(products["across"], high - low), low))
+
+    return F.transform(order, lambda a: F.transform(order, lambda b: entry(a, b)))
+
+
+def unit_root_test(series: DataFrame) -> DataFrame:
+    """Adds the augmented Dickey-Fuller test with constant to rows of (z, n).
+
+    One elimination of the Gram matrix with the most lags leaves the residual sums of all lag orders on a
+    common sample, of which AIC picks; the chosen order is fitted on all of its rows.
+    """
+    n = F.col("n")
+    most = F.least(F.ceil(12 * F.pow(n / 100, F.lit(0.25))).cast("int"), F.floor(n / 2).cast("int") - 2)
+    rows = F.size("change") - F.col("_most")
+    aic = F.transform(
+        F.slice("_path", 3, F.col("_most") + 1),
+        lambda rss, k: rows * (F.ln(2 * math.pi * F.greatest(rss, F.lit(1e-300)) / rows) + 1) + 2 * (k + 2),
+    )
+    width, used = F.col("adf_n_lags") + 2, F.size("change") - F.col("adf_n_lags")
+    # What is left of level and target once constant and lags are taken out.
+    own = F.get(F.get("_left", width - 1), width - 1)
+    cross, rest = F.get(F.get("_left", width - 1), width), F.get(F.get("_left", width), width)
+    slope = F.try_divide(cross, own)
+    error = F.sqrt(F.greatest(F.try_divide(rest - slope * cross, (used - width) * own), F.lit(0.0)))
+    tested = ~F.col("flat") & (F.col("_most") >= 0)
+    return (
+        series.withColumn("change", F.zip_with(F.slice("z", F.lit(2), n - 1), F.slice("z", F.lit(1), n - 1), lambda a, b: a - b))
+        .withColumn("_most", F.when(F.col("flat"), F.lit(-1)).otherwise(most))
+        .withColumn("_products", F.when(F.col("_most") >= 0, _products(F.col("_most"), F.col("_most"))))
+        .withColumn("_order", F.when(F.col("_most") >= 0, _order(F.col("_most"), False)))
+        .withColumn("_gram", _gram(F.col("_products"), F.col("_order")))
+        .withColumn("_lengths", diagonal(F.col("_gram")))
+        .withColumn("_path", corner_path(F.col("_gram"), F.col("_most") + 2, F.col("_lengths")))
+        .withColumn("_aic", aic)
+        .withColumn("adf_n_lags", F.when(tested, (F.array_position("_aic", F.array_min("_aic")) - 1).cast("int")).otherwise(0))
+        .withColumn("_products", F.when(tested, _products(F.col("adf_n_lags"), F.col("adf_n_lags"))))
+        .withColumn("_order", F.when(tested, _order(F.col("adf_n_lags"), True)))
+        .withColumn("_gram", _gram(F.col("_products"), F.col("_order")))
+        .withColumn("_lengths", diagonal(F.col("_gram")))
+        .withColumn("_left", eliminate(F.col("_gram"), F.col("adf_n_lags") + 1, F.col("_lengths")))
+        .withColumn("adf_statistic", F.coalesce(F.when(tested, F.try_divide(slope, error)), F.lit(math.nan)))
+        .withColumn("adf_n_obs", F.when(tested, used).otherwise(0))
+        .withColumn("adf_p_value", unit_root_p_value(F.col("adf_statistic")))
+        .withColumn("adf_critical", _critical(F.col("adf_n_obs")))
+        .drop("change", "_most", "_products", "_order", "_gram", "_lengths", "_path", "_aic", "_left")
+    )
+
+
+def unit_root_p_value(statistic: Column) -> Column:
+    def polynomial(powers: tuple[float, ...]) -> Column:
+        out = F.lit(0.0)
+        for c in reversed(powers):
+            out = out * statistic + c
+        return out
+
+    z = F.when(statistic <= ADF_SWITCH, polynomial(ADF_SMALL_P)).otherwise(polynomial(ADF_LARGE_P))
+    inside = normal_cdf(z)
+    return F.when(F.isnan(statistic), statistic).when(statistic >= ADF_MAX, 1.0).when(statistic <= ADF_MIN, 0.0).otherwise(inside)
+
+
+def _critical(rows: Column) -> Column:
+    pairs = []
+    for name, (c0, c1, c2, c3) in ADF_CRITICAL.items():
+        pairs += [F.lit(name), F.lit(c0) + F.try_divide(F.lit(c1), rows) + F.try_divide(F.lit(c2), rows * rows) + F.try_divide(F.lit(c3), rows * rows * rows)]
+    return F.when(rows > 0, F.create_map(*pairs)).otherwise(F.create_map().cast("map<string,double>"))
+
+
 def run_tests(long: DataFrame) -> DataFrame:
     """Both tests per (series, column) for the level and the first difference.
 
@@ -131,11 +196,23 @@ def run_tests(long: DataFrame) -> DataFrame:
     both = keyed.withColumn("form", F.lit("level")).unionByName(
         first_difference(keyed).withColumn("form", F.lit("diff1"))
     )
-    return (
-        both.select(F.col("_series").alias("series_id"), "column", "form", "ds", "y")
-        .groupBy("series_id", "column", "form")
-        .applyInPandas(_tests, TEST_SCHEMA)
+    ordered = F.array_sort(F.collect_list(F.struct("ds", F.col("y").cast("double").alias("y"))))
+    values = both.groupBy(F.col("_series").alias("series_id"), "column", "form").agg(F.transform(ordered, lambda r: r["y"]).alias("ys"))
+    size = F.size("ys")
+    mean = F.aggregate("ys", F.lit(0.0), lambda acc, x: acc + x, lambda acc: acc / size)
+    spread = F.sqrt(F.aggregate("ys", F.lit(0.0), lambda acc, x: acc + (x - F.col("_mean")) * (x - F.col("_mean"))) / size)
+    # Both statistics are the same for any origin and scale, and sums of products are exact enough for this one.
+    scaled = F.transform("ys", lambda x: F.coalesce(F.try_divide(x - F.col("_mean"), F.col("_spread")), F.lit(0.0)))
+    series = (
+        values.withColumn("n", size)
+        .withColumn("flat", (F.array_min("ys") == F.array_max("ys")) | (size < 2))
+        .withColumn("_mean", mean)
+        .withColumn("_spread", spread)
+        .withColumn("z", scaled)
+        .drop("ys", "_mean", "_spread")
     )
+    tested = unit_root_test(level_test(series))
+    return tested.select("series_id", "column", "form", F.col("n").cast("long").alias("n_observations"), *TESTS)
 
 
 def diagnostics(long: DataFrame) -> DataFrame:
