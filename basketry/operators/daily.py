@@ -20,15 +20,16 @@ def daily_aggregates(sales: DataFrame, series: Column | str | None = None) -> Da
     series named ``all``. ``latest_sale`` is NULL on filled days.
     """
     series = F.lit("all") if series is None else F.col(series) if isinstance(series, str) else series
-    per_day = (
-        sales.groupBy(series.alias("series_id"), F.to_date("invoice_date").alias("date"))
-        .agg(
-            F.sum("total").alias("revenue"),
-            F.sum("quantity").alias("quantity"),
-            F.countDistinct("invoice").alias("n_invoices"),
-            F.countDistinct("customer_id").alias("n_customers"),
-            F.max("invoice_date").alias("latest_sale"),
-        )
+    # One row per invoice and customer first: the distinct counts then expand these rows, not the lines.
+    baskets = sales.groupBy(series.alias("series_id"), F.to_date("invoice_date").alias("date"), "invoice", "customer_id").agg(
+        F.sum("total").alias("revenue"), F.sum("quantity").alias("quantity"), F.max("invoice_date").alias("latest_sale")
+    )
+    types = {m: baskets.schema[m].dataType for m in ("revenue", "quantity")}
+    per_day = baskets.groupBy("series_id", "date").agg(
+        *[F.sum(m).cast(kind).alias(m) for m, kind in types.items()],
+        F.countDistinct("invoice").alias("n_invoices"),
+        F.countDistinct("customer_id").alias("n_customers"),
+        F.max("latest_sale").alias("latest_sale"),
     )
     return fill_days(per_day, MEASURES)
 

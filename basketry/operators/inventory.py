@@ -56,9 +56,11 @@ def tier_summary(abc: DataFrame, tiers: tuple[str, ...] = ("A", "B", "C")) -> Da
     )
 
 
-def quantity_cap(sales: DataFrame, percentile: float = QUANTITY_CAP_PERCENTILE) -> Column:
-    """Exact quantile of the line quantity over the whole table, as a scalar."""
-    return exact_quantiles(sales, ["quantity"], [percentile]).select("value").scalar()
+def quantity_caps(sales: DataFrame, percentiles: tuple[float, ...]) -> Column:
+    """Exact quantiles of the line quantity over the whole table, as one scalar array."""
+    points = exact_quantiles(sales, ["quantity"], list(percentiles))
+    of = lambda p: F.max(F.when(F.col("probability") == p, F.col("value")))
+    return points.agg(F.array(*[of(float(p)) for p in percentiles]).alias("caps")).scalar()
 
 
 def demand_stats(
@@ -72,35 +74,42 @@ def demand_stats(
     Days without a sale count as zero through the closed form, so no day is materialised. Sales
     later on the first calendar day of the window count for description and price only.
     """
+    caps = quantity_caps(sales, (quantity_cap_percentile,))
+    capped = _capped_demand(sales, [F.get(caps, F.lit(0))], lookback_days, reference_date)
+    return capped.select("stock_code", F.col("mean_0").alias("daily_demand_mean"), F.col("std_0").alias("daily_demand_std"), "description", "avg_unit_price")
+
+
+def _capped_demand(sales: DataFrame, caps: list[Column], lookback_days: int, reference_date: str | None) -> DataFrame:
+    """``mean_i`` and ``std_i`` of demand under every cap, description and price, from one pass over the window."""
     reference = (
         sales.agg(F.max("invoice_date")).scalar() if reference_date is None else ntz(reference_date)
     )
     start = days_later(reference, -lookback_days)
-    cap = quantity_cap(sales, quantity_cap_percentile)
+    kinds = range(len(caps))
     window = sales.filter(
         (F.col("invoice_date") > start) & (F.col("invoice_date") <= reference)
     ).select(
         "stock_code",
         "description",
         F.to_date("invoice_date").alias("date"),
-        F.least(F.col("quantity").cast("double"), cap).alias("quantity"),
+        *[F.least(F.col("quantity").cast("double"), cap).alias(f"q{i}") for i, cap in enumerate(caps)],
         "unit_price",
     )
     # (product, day, description) rows first: a hot product is combined before it is shuffled.
     partial = window.groupBy("stock_code", "date", "description").agg(
-        F.sum("quantity").alias("quantity"),
+        *[F.sum(f"q{i}").alias(f"q{i}") for i in kinds],
         F.sum("unit_price").alias("price_sum"),
         F.count("*").alias("n_lines"),
     )
     in_days = F.col("date") > F.to_date(start)
-    per_day = partial.groupBy("stock_code", "date").agg(F.sum("quantity").alias("quantity"))
+    per_day = partial.groupBy("stock_code", "date").agg(*[F.sum(f"q{i}").alias(f"q{i}") for i in kinds])
     n = F.lit(float(lookback_days))
-    mean = F.coalesce(F.sum(F.when(in_days, F.col("quantity"))), F.lit(0.0)) / n
-    mean_sq = F.coalesce(F.sum(F.when(in_days, F.col("quantity") * F.col("quantity"))), F.lit(0.0)) / n
     demand = per_day.groupBy("stock_code").agg(
-        mean.alias("daily_demand_mean"),
-        F.sqrt(F.greatest(mean_sq - mean * mean, F.lit(0.0))).alias("daily_demand_std"),
+        *[(F.coalesce(F.sum(F.when(in_days, F.col(f"q{i}"))), F.lit(0.0)) / n).alias(f"mean_{i}") for i in kinds],
+        *[(F.coalesce(F.sum(F.when(in_days, F.col(f"q{i}") * F.col(f"q{i}"))), F.lit(0.0)) / n).alias(f"sq_{i}") for i in kinds],
     )
+    spread = lambda i: F.sqrt(F.greatest(F.col(f"sq_{i}") - F.col(f"mean_{i}") * F.col(f"mean_{i}"), F.lit(0.0)))
+    demand = demand.select("stock_code", *[F.col(f"mean_{i}") for i in kinds], *[spread(i).alias(f"std_{i}") for i in kinds])
     by_text = partial.groupBy("stock_code", "description").agg(
         F.sum("n_lines").alias("n_lines"), F.sum("price_sum").alias("price_sum")
     )
@@ -169,18 +178,13 @@ def reorder_trigger(recommended: DataFrame, stock: DataFrame) -> DataFrame:
 def winsor_effect(
     sales: DataFrame, caps: tuple[float, float] = (0.9999999, QUANTITY_CAP_PERCENTILE)
 ) -> DataFrame:
-    """Per product: lines above the cap, and demand statistics before and after capping."""
-    uncapped, capped = caps
-    before = demand_stats(sales, quantity_cap_percentile=uncapped).select(
-        "stock_code",
-        F.col("daily_demand_mean").alias("uncapped_mean"),
-        F.col("daily_demand_std").alias("uncapped_std"),
-    )
-    after = demand_stats(sales, quantity_cap_percentile=capped).select(
-        "stock_code",
-        F.col("daily_demand_mean").alias("capped_mean"),
-        F.col("daily_demand_std").alias("capped_std"),
-    )
-    cap = quantity_cap(sales, capped)
-    above = sales.groupBy("stock_code").agg(F.count_if(F.col("quantity") > cap).alias("lines_above_cap"))
-    return before.join(after, "stock_code").join(above, "stock_code")
+    """Per product: lines above the cap, and demand statistics before and after capping.
+
+    Both caps come from one ordering of the quantities, both statistics from one pass.
+    """
+    both = quantity_caps(sales, caps)
+    uncapped, capped = F.get(both, F.lit(0)), F.get(both, F.lit(1))
+    names = {"mean_0": "uncapped_mean", "std_0": "uncapped_std", "mean_1": "capped_mean", "std_1": "capped_std"}
+    demand = _capped_demand(sales, [uncapped, capped], DEMAND_LOOKBACK_DAYS, None)
+    above = sales.groupBy("stock_code").agg(F.count_if(F.col("quantity") > capped).alias("lines_above_cap"))
+    return demand.select("stock_code", *[F.col(c).alias(n) for c, n in names.items()]).join(above, "stock_code")
