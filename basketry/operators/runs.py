@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.sources.schemas import RUNS
+from basketry.sources.sinks import write_batch
 
 # Metric targets.
 AUC_TARGET = 0.88
@@ -16,10 +17,9 @@ PRECISION_TARGET = 0.75
 MAPE_TARGET = 12.0
 
 
-def append_runs(runs: DataFrame, path: str) -> str:
-    """Append run records to the runs table."""
-    runs.select(*RUNS.fieldNames()).write.mode("append").parquet(path)
-    return path
+def append_runs(runs: DataFrame, path: str, batch: str | None = None) -> str:
+    """Append run records to the runs table; a call repeated with the same ``batch`` leaves one copy."""
+    return write_batch(runs.select(*RUNS.fieldNames()), path, batch or uuid.uuid4().hex)
 
 
 def run_records(

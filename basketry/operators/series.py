@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from basketry.functions.expressions import day_of_week
+from basketry.functions.expressions import day_of_week, ratio
+from basketry.session import cut
 
 PERIOD = 7
+ROBUST_ROUNDS = 4  # re-weighting rounds of the robust decomposition
 
 
 def by_series():
@@ -168,6 +170,38 @@ def decompose(series: DataFrame, period: int = PERIOD) -> DataFrame:
     )
 
 
+def decompose_robust(series: DataFrame, period: int = PERIOD, rounds: int = ROBUST_ROUNDS) -> DataFrame:
+    """Additive decomposition in which outlying days lose their weight, with the weights it ends at.
+
+    After a pass with seasonal medians, each round weighs a day by the bisquare of its remainder over six times the median
+    absolute remainder of its series, and takes trend and seasonal means as weighted means; the trend
+    is then taken of the seasonally adjusted values, so that a day left out does not tilt its week.
+    """
+    half = period // 2
+    frame = in_order().rowsBetween(-half, half)
+    season = F.pmod(F.datediff("ds", F.lit("1970-01-05").cast("date")), F.lit(period))
+    state = series.select("series_id", "ds", F.col("y").alias("observed"), season.alias("_season"), F.lit(0.0).alias("seasonal"), F.lit(1.0).alias("weight"))
+    for number in range(rounds + 1):
+        full = F.count(F.lit(1)).over(frame) == period
+        adjusted = F.col("observed") - F.col("seasonal")
+        trend = F.when(full, ratio(F.sum(F.col("weight") * adjusted).over(frame), F.sum("weight").over(frame)))
+        detrended = state.withColumn("trend", trend).withColumn("_left", F.col("observed") - F.col("trend"))
+        weight = F.when(F.col("_left").isNotNull(), F.col("weight")).otherwise(0.0)
+        weighted = ratio(F.sum(weight * F.coalesce("_left", F.lit(0.0))), F.sum(weight))
+        means = detrended.groupBy("series_id", "_season").agg((weighted if number else F.median("_left")).alias("_mean"))
+        centred = means.withColumn("seasonal", F.coalesce(F.col("_mean") - F.avg("_mean").over(by_series()), F.lit(0.0))).drop("_mean")
+        placed = detrended.drop("seasonal").join(centred, ["series_id", "_season"])
+        state = placed.withColumn("resid", F.col("_left") - F.col("seasonal")).drop("_left")
+        if number < rounds:
+            middle = state.groupBy("series_id").agg(F.median(F.abs("resid")).alias("_mad"))
+            share = F.coalesce(ratio(F.abs("resid"), 6 * F.col("_mad")), F.lit(0.0))
+            judged = F.when(share < 1, F.pow(1 - share * share, 2)).otherwise(0.0)
+            # Among days without weight there is no trend to judge by.
+            bisquare = F.when(F.col("resid").isNull(), F.col("weight")).otherwise(judged)
+            state = cut(state.join(middle, "series_id").withColumn("weight", bisquare).drop("_mad", "trend", "resid"))
+    return state.select("series_id", "ds", "observed", "trend", "seasonal", "resid", "weight")
+
+
 def seasonal_by_weekday(decomposed: DataFrame) -> DataFrame:
     return decomposed.groupBy("series_id", day_of_week(F.col("ds")).alias("dow")).agg(
         F.avg("seasonal").alias("mean_seasonal")

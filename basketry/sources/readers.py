@@ -6,7 +6,7 @@ import logging
 from pathlib import PurePosixPath
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,40 @@ def normalize_schema(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({s: n for s, n in SOURCE_COLUMNS.items() if s in df.columns})
 
 
+def _typed(name: str, text: Column) -> Column:
+    """A declared column from its text; NULL if the text does not fit."""
+    if name == "invoice_date":
+        # The format decides what fits; the cast keeps local times as they are written.
+        fits = F.try_to_timestamp(text, F.lit(CSV_TIMESTAMP)).isNotNull()
+        return F.when(fits, text.try_cast("timestamp_ntz"))
+    if name == "customer_id":
+        return text.try_cast("double").try_cast("long")
+    declared = {f.name: f.dataType for f in RAW_CSV}
+    return text.try_cast(declared[name]) if name in declared else text
+
+
+def read_csv_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantined rows) of a CSV extract; together they are all of its records.
+
+    A record is quarantined if it has too few or too many fields or a text that does not fit its
+    declared type: ``record`` holds its fields, ``reasons`` the columns that do not fit, or ``_record`` for
+    one that does not match the header. Missing values are no reason.
+    """
+    names = spark.read.csv(path, header=True, encoding="UTF-8").columns
+    fields = ", ".join(f"`{n}` string" for n in [*names, "_record"])
+    text = spark.read.csv(
+        path, schema=fields, header=True, encoding="UTF-8", enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord="_record"
+    )
+    named = normalize_schema(text)
+    columns = [c for c in named.columns if c != "_record"]
+    misfit = lambda c: F.when(F.col(f"`{c}`").isNotNull() & _typed(c, F.col(f"`{c}`")).isNull(), F.lit(c))
+    reasons = F.when(F.col("_record").isNotNull(), F.array(F.lit("_record"))).otherwise(F.array_compact(F.array(*map(misfit, columns))))
+    judged = named.withColumn("reasons", reasons)
+    good = judged.filter(F.size("reasons") == 0).select([_typed(c, F.col(f"`{c}`")).alias(c) for c in columns])
+    whole = F.coalesce("_record", F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]))).alias("record")
+    return good, judged.filter(F.size("reasons") > 0).select(whole, "reasons")
+
+
 def read_csv_extract(spark: SparkSession, path: str) -> DataFrame:
     """Read a CSV extract by its header, with declared instead of inferred types."""
     text = spark.read.csv(path, header=True, encoding="UTF-8", enforceSchema=False)
@@ -81,7 +115,7 @@ def read_table_or_empty(
             # Text that does not fit the declared type is an error, not a NULL.
             reader = reader.option("header", True).option("timestampNTZFormat", CSV_TIMESTAMP)
             reader = reader.option("mode", "FAILFAST")
-        return reader.load(path)
+        return reader.load(path).select(*schema.fieldNames())
     except AnalysisException as err:
         if "PATH_NOT_FOUND" not in str(err.getCondition() or ""):
             raise

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +44,16 @@ def export_csv(df: DataFrame, columns: list[str], path: str) -> str:
     return write_table(df.select(*columns), path, "csv")
 
 
-def append_pipeline_log(df: DataFrame, path: str) -> str:
-    """Append run summaries to the JSON-lines audit log, stamped with the current time."""
-    df.withColumn("timestamp", F.current_timestamp()).write.mode("append").json(path)
+def write_batch(df: DataFrame, path: str, batch: str, fmt: str = "parquet") -> str:
+    """Store ``df`` in a table as the batch of that id: another attempt with the same id replaces it."""
+    writer = df.withColumn("batch", F.lit(batch)).write.format(fmt).mode("overwrite").partitionBy("batch")
+    writer.option("partitionOverwriteMode", "dynamic").save(path)
     return path
+
+
+def append_pipeline_log(df: DataFrame, path: str, batch: str | None = None) -> str:
+    """Append run summaries to the JSON-lines audit log, stamped with the current time.
+
+    A call that may be repeated names its ``batch``: however often it runs, its entries are there once.
+    """
+    return write_batch(df.withColumn("timestamp", F.current_timestamp()), path, batch or uuid.uuid4().hex, "json")
