@@ -185,11 +185,22 @@ def ensemble_job(
         F.max_by("series_id", "best_ensemble_mape").alias("worst_series"),
         F.count("*").alias("n_series"),
     )
-    _log(worst, runs_path, EXPERIMENTS["forecast"], ENSEMBLE_RUN, ["n_series", "worst_series"],
+    settings = asdict(config) | lag_config
+    worst = worst.select("*", *[F.lit(value).alias(name) for name, value in settings.items()])
+    _log(worst, runs_path, EXPERIMENTS["forecast"], ENSEMBLE_RUN, ["n_series", "worst_series", *settings],
          ["best_ensemble_mape", "mean_ensemble_mape"], started)
     return combined, metrics, best
 
 
+def forecast_job(split: DataFrame, lag_iterations: int = 50, runs_path: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Both sweeps, then the ensemble of the configurations they chose by validation MAPE."""
+    features = with_calendar(split)
+    metrics, _ = additive_job(split, runs_path)
+    additive = forecasting.ADDITIVE_SWEEP[forecasting.best_config(metrics, ()).first()["config"]]
+    _, lag, _ = lag_job(features, max_iter=lag_iterations, runs_path=runs_path)
+    return ensemble_job(features, additive, lag, lag_iterations, runs_path)
+
+
 # --- churn ------------------------------------------------------------------------------------
 
 
@@ -299,11 +310,7 @@ def retraining_job(
     if "churn" in targets:
         churn_search_job(churn_split(churn_dataset), n_trials, max_iter, model_path, runs_path)
     if "forecast" in targets:
-        features = with_calendar(demand_split)
-        metrics, _ = additive_job(demand_split, runs_path)
-        additive = forecasting.ADDITIVE_SWEEP[forecasting.best_config(metrics, ()).first()["config"]]
-        _, lag, _ = lag_job(features, max_iter=lag_iterations, runs_path=runs_path)
-        ensemble_job(features, additive, lag, lag_iterations, runs_path)
+        forecast_job(demand_split, lag_iterations, runs_path)
     after = _constraints(readers.read_table_or_empty(spark, runs_path, RUNS))
     churned = F.when(F.lit("churn" in targets), F.col("constraints.churn"))
     forecast = F.when(F.lit("forecast" in targets), F.col("constraints.forecast"))

@@ -118,8 +118,8 @@ def lag_model(spark, sf_dir):
 
 @query
 def ensemble_run(spark, sf_dir):
-    features = jobs.with_calendar(_split_series(spark, sf_dir))
-    return jobs.ensemble_job(features)[0]
+    """The ensemble of the configurations that both sweeps chose."""
+    return jobs.forecast_job(cut(_split_series(spark, sf_dir)))[0]
 
 
 @query
@@ -172,7 +172,7 @@ def monitoring(spark, sf_dir):
     from basketry.plans.retail_queries import _churn_snapshots, _demand_snapshots
 
     records = scratch_path(spark, "runs")
-    jobs.ensemble_job(jobs.with_calendar(_split_series(spark, sf_dir)), runs_path=records)
+    jobs.forecast_job(cut(_split_series(spark, sf_dir)), runs_path=records)
     summary = jobs.monitoring_job(
         spark, _churn_snapshots(spark, sf_dir), _demand_snapshots(spark, sf_dir), records, scratch_path(spark, "log"),
     )

@@ -856,3 +856,119 @@ LEFT JOIN (SELECT n.a, c.cluster FROM near n JOIN component c ON n.b = c.id
 GROUP BY 1
 """)
 SQL["dbscan"] = SQL["dbscan"].replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+# --- sketches, state, checked input ---
+_POINTS = "unnest([0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99])"
+oracle("quantile_bounds", "completed", "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS "column", CAST({_POINTS} AS DOUBLE) AS probability, n, low, high, true AS within
+FROM (SELECT count({c}) AS n, round(CAST(min({c}) AS DOUBLE), 6) AS low, round(CAST(max({c}) AS DOUBLE), 6) AS high FROM completed)"""
+    for c in ("quantity", "unit_price")
+))
+oracle("customer_movements", "customers", """
+, active AS (SELECT DISTINCT date_trunc('month', invoice_date) AS m, customer_id FROM customers),
+months AS (SELECT m, lag(m) OVER (ORDER BY m) AS p FROM (SELECT DISTINCT m FROM active)),
+firsts AS (SELECT customer_id, min(m) AS m FROM active GROUP BY 1)
+SELECT CAST(CAST(months.m AS DATE) AS VARCHAR) AS month,
+       (SELECT count(*) FROM active a WHERE a.m = months.m) AS active,
+       (SELECT count(*) FROM firsts f WHERE f.m = months.m) AS first_seen,
+       (SELECT count(*) FROM active a JOIN active b USING (customer_id) WHERE a.m = months.m AND b.m = months.p) AS retained,
+       (SELECT count(*) FROM active b WHERE b.m = months.p
+        AND NOT EXISTS (SELECT 1 FROM active a WHERE a.m = months.m AND a.customer_id = b.customer_id)) AS lost
+FROM months
+""")
+oracle("drift_interval", "churn_distances demand_distances", "\nUNION ALL ".join(
+    f"""SELECT '{m}' AS model, "column", n_reference, n_current, round(ks_distance, 6) AS ks_distance, true AS covered FROM {t}"""
+    for m, t in (("churn", "churn_distances"), ("forecast", "demand_distances"))
+))
+oracle("customer_state_rfm", "rfm", """
+SELECT customer_id, recency_days, frequency, CAST(monetary AS DOUBLE) AS monetary FROM rfm
+""")
+oracle("csv_quarantine", "raw", """
+SELECT part, count(*) AS n_rows, CAST(CASE WHEN part = 'good' THEN sum(quantity) END AS BIGINT) AS quantity
+FROM (SELECT quantity, CASE WHEN quantity % 11 = 0 AND quantity % 13 = 0 THEN 'invoice_date,unit_price'
+                            WHEN quantity % 11 = 0 THEN 'unit_price' WHEN quantity % 13 = 0 THEN 'invoice_date'
+                            ELSE 'good' END AS part FROM raw)
+GROUP BY 1
+""")
+
+# --- tests and models ---
+oracle("level_stationarity", "daily_country", """
+, long AS (
+  SELECT series_id, 'quantity' AS "column", date AS ds, CAST(quantity AS DOUBLE) AS y FROM daily_country WHERE NOT is_partial_day
+  UNION ALL SELECT series_id, 'revenue', date, CAST(revenue AS DOUBLE) FROM daily_country WHERE NOT is_partial_day
+), forms AS (
+  SELECT *, 'level' AS form FROM long
+  UNION ALL SELECT series_id, "column", ds, d, 'diff1'
+  FROM (SELECT *, y - lag(y) OVER (PARTITION BY series_id, "column" ORDER BY ds) AS d FROM long) WHERE d IS NOT NULL
+), centred AS (
+  SELECT series_id, "column", form, count(*) OVER g AS n, y - avg(y) OVER g AS e,
+         row_number() OVER (PARTITION BY series_id, "column", form ORDER BY ds) AS i
+  FROM forms WINDOW g AS (PARTITION BY series_id, "column", form)
+), acov AS (
+  SELECT a.series_id, a."column", a.form, a.n, a.i - b.i AS k, sum(a.e * b.e) / a.n AS c
+  FROM centred a JOIN centred b ON a.series_id = b.series_id AND a."column" = b."column" AND a.form = b.form
+       AND b.i BETWEEN a.i - 10 AND a.i
+  GROUP BY 1, 2, 3, 4, 5
+), pilot AS (
+  SELECT series_id, "column", form, n, 2 * sum(c) - max(c) FILTER (WHERE k = 0) AS s0, 2 * sum(k * c) AS s1
+  FROM acov WHERE k <= floor(pow(n, 2.0 / 9)) GROUP BY 1, 2, 3, 4
+), widths AS (
+  SELECT *, CAST(least(floor(1.1447 * pow(pow(s1 / s0, 2), 1.0 / 3) * pow(n, 1.0 / 3)), n - 1) AS INTEGER) AS lags FROM pilot
+), spread AS (
+  SELECT w.series_id, w."column", w.form, w.n, lags,
+         sum(CASE WHEN a.i = b.i THEN 1 ELSE 2 * (1 - (a.i - b.i) / (lags + 1.0)) END * a.e * b.e) / w.n AS long_run
+  FROM widths w JOIN centred a ON w.series_id = a.series_id AND w."column" = a."column" AND w.form = a.form
+  JOIN centred b ON a.series_id = b.series_id AND a."column" = b."column" AND a.form = b.form AND b.i <= a.i AND a.i - b.i <= lags
+  GROUP BY 1, 2, 3, 4, 5
+), partial AS (
+  SELECT series_id, "column", form, sum(s * s) AS squares FROM (
+    SELECT *, sum(e) OVER (PARTITION BY series_id, "column", form ORDER BY i) AS s FROM centred) GROUP BY 1, 2, 3
+), tested AS (
+  SELECT s.*, squares / (CAST(n AS DOUBLE) * n * long_run) AS eta FROM spread s JOIN partial p
+    ON s.series_id = p.series_id AND s."column" = p."column" AND s.form = p.form
+)
+SELECT series_id, "column", form, n AS n_observations, round(eta, 6) AS kpss_statistic, lags AS kpss_n_lags,
+       round(CASE WHEN eta <= 0.347 THEN 0.10 WHEN eta < 0.463 THEN 0.10 - (eta - 0.347) * 0.05 / 0.116
+                  WHEN eta < 0.574 THEN 0.05 - (eta - 0.463) * 0.025 / 0.111
+                  WHEN eta < 0.739 THEN 0.025 - (eta - 0.574) * 0.015 / 0.165 ELSE 0.01 END, 6) AS kpss_p_value
+FROM tested
+""")
+
+
+def _robust_rounds(rounds: int) -> str:
+    parts = []
+    weighted = "sum(weight * (observed - trend)) / nullif(sum(weight) FILTER (WHERE trend IS NOT NULL), 0)"
+    for j in range(rounds + 1):
+        before = f"s{j}" if j else "s0"
+        parts.append(f"""t{j} AS (
+  SELECT *, CASE WHEN count(*) OVER w = 7 THEN sum(weight * (observed - seasonal)) OVER w / nullif(sum(weight) OVER w, 0) END AS trend
+  FROM {before} WINDOW w AS (PARTITION BY series_id ORDER BY ds ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)
+), m{j} AS (
+  SELECT series_id, season, coalesce(m - avg(m) OVER (PARTITION BY series_id), 0) AS seasonal FROM (
+    SELECT series_id, season, {weighted if j else "median(observed - trend)"} AS m
+    FROM t{j} GROUP BY 1, 2)
+), p{j} AS (
+  SELECT t.series_id, t.ds, t.observed, t.season, t.weight, t.trend, m.seasonal, t.observed - t.trend - m.seasonal AS resid
+  FROM t{j} t JOIN m{j} m ON t.series_id = m.series_id AND t.season = m.season
+), s{j + 1} AS (
+  SELECT series_id, ds, observed, season, seasonal, CASE WHEN resid IS NULL THEN weight WHEN share < 1 THEN pow(1 - share * share, 2) ELSE 0 END AS weight
+  FROM (SELECT *, coalesce(abs(resid) / nullif(6 * median(abs(resid)) OVER (PARTITION BY series_id), 0), 0) AS share FROM p{j})
+)""")
+    return ",\n".join(parts)
+
+
+oracle("decompose_robust", "demand", f"""
+, s0 AS (SELECT series_id, ds, y AS observed, date_diff('day', DATE '1970-01-05', ds) % 7 AS season, 0.0::DOUBLE AS seasonal, 1.0::DOUBLE AS weight FROM demand),
+{_robust_rounds(4)}
+SELECT series_id, CAST(ds AS VARCHAR) AS ds, observed, round(trend, 5) AS trend, round(seasonal, 5) AS seasonal,
+       round(resid, 5) AS resid, round(weight, 5) AS weight FROM p4
+""")
+oracle("nearest_centers", "scaled_rfm", """
+, means AS (SELECT customer_id % 5 AS g, avg(recency_days_scaled) AS r, avg(frequency_scaled) AS f, avg(monetary_scaled) AS m
+            FROM scaled_rfm GROUP BY 1),
+squared AS (SELECT customer_id, g, (recency_days_scaled - r) ** 2 + (frequency_scaled - f) ** 2 + (monetary_scaled - m) ** 2 AS d
+            FROM scaled_rfm, means),
+nearest AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY d, g) AS k FROM squared)
+SELECT CAST(g AS INTEGER) AS cluster, count(*) AS n_rows, round(sum(d), 4) AS inertia FROM nearest WHERE k = 1 GROUP BY 1
+""")
