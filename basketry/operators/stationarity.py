@@ -197,20 +197,14 @@ def run_tests(long: DataFrame) -> DataFrame:
         first_difference(keyed).withColumn("form", F.lit("diff1"))
     )
     ordered = F.array_sort(F.collect_list(F.struct("ds", F.col("y").cast("double").alias("y"))))
-    values = both.groupBy(F.col("_series").alias("series_id"), "column", "form").agg(F.transform(ordered, lambda r: r["y"]).alias("ys"))
-    size = F.size("ys")
-    mean = F.aggregate("ys", F.lit(0.0), lambda acc, x: acc + x, lambda acc: acc / size)
-    spread = F.sqrt(F.aggregate("ys", F.lit(0.0), lambda acc, x: acc + (x - F.col("_mean")) * (x - F.col("_mean"))) / size)
+    # Moments are aggregates: an expression over the array would be evaluated anew for every element of it.
+    values = both.groupBy(F.col("_series").alias("series_id"), "column", "form").agg(
+        F.transform(ordered, lambda r: r["y"]).alias("ys"), F.count("*").cast("int").alias("n"),
+        F.avg("y").alias("_mean"), F.stddev_pop("y").alias("_spread"), (F.min("y") == F.max("y")).alias("flat"),
+    )
     # Both statistics are the same for any origin and scale, and sums of products are exact enough for this one.
     scaled = F.transform("ys", lambda x: F.coalesce(F.try_divide(x - F.col("_mean"), F.col("_spread")), F.lit(0.0)))
-    series = (
-        values.withColumn("n", size)
-        .withColumn("flat", (F.array_min("ys") == F.array_max("ys")) | (size < 2))
-        .withColumn("_mean", mean)
-        .withColumn("_spread", spread)
-        .withColumn("z", scaled)
-        .drop("ys", "_mean", "_spread")
-    )
+    series = values.withColumn("z", scaled).drop("ys", "_mean", "_spread")
     tested = unit_root_test(level_test(series))
     return tested.select("series_id", "column", "form", F.col("n").cast("long").alias("n_observations"), *TESTS)
 
