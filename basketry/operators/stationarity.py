@@ -54,7 +54,7 @@ def level_test(series: DataFrame) -> DataFrame:
     window = lambda j: F.get("_upto", F.least(n, j + chosen + 1)) - F.get("_upto", F.greatest(F.lit(0), j))
     windows = F.aggregate(F.sequence(-chosen, n - 1), F.lit(0.0), lambda acc, j: acc + square(window(j)))
     partial = F.aggregate("_upto", F.lit(0.0), lambda acc, x: acc + square(x))
-    statistic = F.try_divide(partial, n * n * F.col("_long"))
+    statistic = F.try_divide(partial, n.cast("double") * n * F.col("_long"))
     points = list(zip(KPSS_CRITICAL.values(), KPSS_P, strict=True))
     p_value = F.lit(points[-1][1])
     for (x0, p0), (x1, p1) in reversed(list(zip(points, points[1:], strict=False))):
@@ -179,9 +179,10 @@ def unit_root_p_value(statistic: Column) -> Column:
 
 
 def _critical(rows: Column) -> Column:
+    inverse = F.try_divide(F.lit(1.0), rows.cast("double"))
     pairs = []
     for name, (c0, c1, c2, c3) in ADF_CRITICAL.items():
-        pairs += [F.lit(name), F.lit(c0) + F.try_divide(F.lit(c1), rows) + F.try_divide(F.lit(c2), rows * rows) + F.try_divide(F.lit(c3), rows * rows * rows)]
+        pairs += [F.lit(name), c0 + inverse * (c1 + inverse * (c2 + inverse * c3))]
     return F.when(rows > 0, F.create_map(*pairs)).otherwise(F.create_map().cast("map<string,double>"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from basketry.functions import linear
 from basketry.functions.expressions import normal_cdf
 from basketry.operators import stationarity
-from basketry.operators.stationarity import ADF_LARGE_P, ADF_MAX, ADF_MIN, ADF_SMALL_P, ADF_SWITCH, KPSS_CRITICAL, KPSS_P
+from basketry.operators.stationarity import ADF_CRITICAL, ADF_LARGE_P, ADF_MAX, ADF_MIN, ADF_SMALL_P, ADF_SWITCH, KPSS_CRITICAL, KPSS_P
 
 
 def adf_test(y: np.ndarray) -> tuple[float, float, int, int]:
@@ -91,7 +91,7 @@ def test_both_tests_equal_numpy(spark):
     named = {
         "noise": rng.normal(size=400), "walk": np.cumsum(rng.normal(size=500)) * 1e4 + 3e5, "short": rng.normal(size=9), "tiny": [1.0, 2.0, 4.0, 3.0, 9.0],
         "one": [5.0], "flat": [3.0] * 30, "week": 100 + 15 * np.sin(np.arange(300) * 2 * np.pi / 7) + rng.normal(size=300),
-        "sparse": np.where(rng.random(250) < 0.9, 0.0, rng.integers(1, 9, 250)), "trend": np.arange(120) * 2.0 + rng.normal(size=120),
+        "sparse": np.where(rng.random(250) < 0.9, 0.0, rng.integers(1, 9, 250)), "trend": np.arange(120) * 2.0 + rng.normal(size=120), "long": rng.normal(size=2400),
     }
     got = {(r["series_id"][1:], r["form"]): r for r in stationarity.run_tests(frame(spark, named)).collect()}
     for name, values in named.items():
@@ -106,6 +106,8 @@ def test_both_tests_equal_numpy(spark):
             assert same(row["adf_statistic"], statistic, 1e-5) and same(row["adf_p_value"], p_value, 1e-5), (name, form)
             statistic, p_value, lags = kpss_test(y)
             assert row["kpss_n_lags"] == lags and same(row["kpss_statistic"], statistic) and same(row["kpss_p_value"], p_value), (name, form)
+            for name_, (c0, c1, c2, c3) in ADF_CRITICAL.items() if rows else ():
+                assert row["adf_critical"][name_] == pytest.approx(c0 + c1 / rows + c2 / rows**2 + c3 / rows**3)
             assert row["n_observations"] == len(y) and (set(row["adf_critical"]) == {"1%", "5%", "10%"}) == (rows > 0)
 
 
