@@ -39,6 +39,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/staged/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_staged(spark: SparkSession) -> None:
+    """Remove this application's staged tables; call it when their results have been read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/staged/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back."""
     path = scratch_path(df.sparkSession, name)

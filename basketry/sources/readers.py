@@ -139,7 +139,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def artifact_status(spark: SparkSession, artifacts: dict[str, str]) -> DataFrame:
-    """One row per named artifact: does its path exist yet?"""
-    rows = [(name, path_exists(spark, path)) for name, path in artifacts.items()]
-    return spark.createDataFrame(rows, "artifact string, ready boolean")
+def artifact_status(spark: SparkSession, artifacts: dict[str, str], fmt: str = "parquet") -> DataFrame:
+    """One row per named artifact: does its path exist yet, and how many rows has it?"""
+    out = spark.createDataFrame([], "artifact string, ready boolean, n_rows long")
+    for name, path in artifacts.items():
+        if path_exists(spark, path):
+            rows = spark.read.format(fmt).option("header", True).load(path).agg(F.count("*").alias("n_rows"))
+            out = out.unionByName(rows.select(F.lit(name).alias("artifact"), F.lit(True).alias("ready"), "n_rows"))
+        else:
+            out = out.unionByName(spark.createDataFrame([(name, False, None)], out.schema))
+    return out

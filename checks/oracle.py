@@ -783,11 +783,10 @@ SELECT 'completed_sales' AS "table", count(*) AS n_rows, sum(quantity) AS quanti
 UNION ALL SELECT 'customer_sales', count(*), sum(quantity) FROM customers
 UNION ALL SELECT 'excluded', count(*), sum(quantity) FROM flagged WHERE NOT ({SALE})
 """)
-oracle("artifact_status", "", """
-SELECT 'customer' AS artifact, (SELECT count(*) >= 0 FROM customer) AS ready UNION ALL SELECT 'lineitem', (SELECT count(*) >= 0 FROM lineitem)
-UNION ALL SELECT 'orders', (SELECT count(*) >= 0 FROM orders) UNION ALL SELECT 'events', (SELECT count(*) >= 0 FROM events)
-UNION ALL SELECT 'nothing_here', false
-""")
+oracle("artifact_status", "", "\nUNION ALL ".join(
+    [f"SELECT '{t}' AS artifact, true AS ready, count(*) AS n_rows FROM {t}" for t in ("customer", "lineitem", "orders", "events")]
+    + ["SELECT 'nothing_here', false, NULL"]
+))
 oracle("product_labels", "reco", """
 SELECT stock_code, concat_ws(' — ', stock_code, description) AS label, stock_code AS code FROM reco
 """)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.operators import runs
+from basketry.plans import prepared
 from basketry.sources import readers, sinks
 from basketry.sources.schemas import RAW, RUNS, SOURCE_COLUMNS
 
@@ -55,8 +56,8 @@ def test_tables_round_trip_and_missing_ones_are_empty(spark, lines, tmp_path):
     back = readers.read_table_or_empty(spark, paths["a"], RAW, "csv")
     assert sorted(back.collect()) == sorted(table.collect())
     assert readers.read_table_or_empty(spark, f"{tmp_path}/none", RAW).isEmpty()
-    status = readers.artifact_status(spark, {"a": paths["a"], "none": f"{tmp_path}/none"})
-    assert {r["artifact"]: r["ready"] for r in status.collect()} == {"a": True, "none": False}
+    status = readers.artifact_status(spark, {"a": paths["a"], "none": f"{tmp_path}/none"}, "csv")
+    assert {r["artifact"]: (r["ready"], r["n_rows"]) for r in status.collect()} == {"a": (True, 2), "none": (False, None)}
     sinks.write_snapshot(table, f"{tmp_path}/raw")
     assert spark.read.parquet(f"{tmp_path}/raw").count() == 2
     sinks.export_csv(table, ["invoice", "country"], f"{tmp_path}/export")
@@ -92,3 +93,16 @@ def test_run_records(spark, tmp_path):
     assert (best["run_name"], best["value"]) == ("k3", 0.7)
     latest = {r["run_name"]: r for r in runs.latest_runs(table, ["silhouette", "extra"]).collect()}
     assert latest["k2"]["extra"] is None and latest["k3"]["extra"] == 1.0
+
+
+def test_staged_tables_are_dropped(spark, lines):
+    from pathlib import Path
+
+    from basketry import session
+
+    table = session.stage(lines({"country": "France"}), "lines")
+    folder = Path(table.inputFiles()[0].removeprefix("file://")).parent
+    assert folder.exists()
+    session.drop_staged(spark)
+    assert not folder.parent.exists()
+    prepared._staged.clear()
