@@ -11,7 +11,9 @@ import struct
 
 from tokenizers import Tokenizer
 
-CACHED_PIECES = 1_000_000  # distinct pieces a worker remembers; beyond it, it starts afresh
+from basketry.llm.held import held
+
+CACHED_PIECES = 600_000  # distinct pieces a worker remembers; beyond it, it starts afresh
 MARKS = ".,;:!?"  # never part of a word, so a word and the marks after it are encoded apart
 
 
@@ -69,11 +71,6 @@ class Encoder(dict):
         return ids
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    """The worker's encoder; what it has learned serves later tasks of the worker as well."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    """The worker's encoder; what it has learned serves later tasks of the same operator as well."""
+    return held(("encoder", path), lambda: Encoder(path))

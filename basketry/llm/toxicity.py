@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm.held import held
+
 SAMPLE = 20_000  # labelled documents that train; a parameter of ``fit``
 FEATURES = 3_000  # words and beginnings the model looks at
 LEAST_DOCS = 3  # documents a feature must occur in
@@ -43,7 +45,7 @@ BEGINNINGS = (3, 4, 5, 6)
 PRIOR = 5.0  # documents of the average sort that every feature is given
 SURE = 0.95  # smoothed share from which a feature settles the label by itself
 PENALTY = 1.0  # documents' worth of evidence that a weight must outweigh
-CACHED = 400_000  # tokens a worker remembers; beyond it, it starts afresh
+CACHED = 200_000  # tokens a worker remembers; beyond it, it starts afresh
 
 # Letters of the character model; everything else is a word boundary, number 0.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
@@ -299,14 +301,8 @@ class Scorer:
         return max(together, max((self.model.alone.get(f, 0.0) for f in found), default=0.0))
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def _scorer(model: Model) -> Scorer:
-    if model.name not in _scorers:
-        _scorers.clear()
-        _scorers[model.name] = Scorer(model)
-    return _scorers[model.name]
+    return held(("toxicity", model.name), lambda: Scorer(model))
 
 
 def logistic(rows: np.ndarray, columns: np.ndarray, labels: np.ndarray, size: int, penalty: float = PENALTY, rounds: int = 1500):
@@ -356,10 +352,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = one.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2**31)) < float(2**31) * min(1.0, sample / max(1, size)))
     # About ``sample`` rows of two numbers: bounded, whatever the number of labels.
     train = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("_toxic", "text")
-    held = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = _scorer(held.value).restorer
+        restorer = _scorer(shared.value).restorer
         seen: list[Counter] = [Counter(), Counter()]
 
         def flush() -> pa.RecordBatch:
@@ -395,7 +391,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = spark.sparkContext.broadcast(index)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = _scorer(held.value).restorer
+        restorer = _scorer(shared.value).restorer
         for batch in batches:
             rows = [
                 sorted(known.value[f] for f in features_of(restorer.words(text.as_py() or "")) if f in known.value) for text in batch[1]
@@ -416,12 +412,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def score(docs: DataFrame, model: Model, carried: list[str] | None = None) -> DataFrame:
     """(doc_id[, carried...], score): the toxicity of every whole text."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # SIZE**3 counts and at most FEATURES weights
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # SIZE**3 counts and at most FEATURES weights
     rows = docs.select("doc_id", *(carried or []), F.col("text").alias("_text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(held.value)
+        scorer = _scorer(shared.value)
         for batch in batches:
             scores = pa.array([scorer.score(t.as_py()) for t in batch["_text"]], pa.float64())
             kept = batch.drop_columns(["_text"])
