@@ -27,9 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm.held import held
+from basketry.session import cut
+
 WINDOW = 13
 K = 5
 SMALL_CHARS = 8_000_000
+HOT_SHARE, DEALT = 0.001, 32  # share of the grams from which one is dealt out, and over how many places
 
 # A-Z become a-z; ASCII other than digits and letters separates words, other bytes belong to them.
 _KEEP = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
@@ -156,16 +160,10 @@ class Items:
         return place, last
 
 
-_items: dict[str, Items] = {}
-
-
 def _shared(broadcast) -> Items:
     """The items of a broadcast (name, texts), built once per worker."""
     name, texts = broadcast.value
-    if name not in _items:
-        _items.clear()
-        _items[name] = Items(texts)
-    return _items[name]
+    return held(("items", name), lambda: Items(texts))
 
 
 FOUND = "n_words long, n_hit long, items array<string>, contaminated boolean"
@@ -188,17 +186,23 @@ def _named(items: DataFrame) -> DataFrame:
     return items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("id"), F.col("text").cast("binary").alias("text"))
 
 
+def written_size(benchmark: DataFrame) -> int:
+    """Characters of all items: every item counts, also one without a text, and its id with it."""
+    written = F.coalesce(F.length("text"), F.lit(0)) + F.coalesce(F.length(F.col("item_id").cast("string")), F.lit(4)) + 16
+    return benchmark.agg(F.sum(written.cast("long"))).first()[0] or 0
+
+
 def judge(docs: DataFrame, benchmark: DataFrame, carried: list[str] | None = None, small_chars: int = SMALL_CHARS) -> DataFrame:
     """(doc_id[, carried...], n_words, n_hit, items, contaminated) of every document."""
-    size = benchmark.agg(F.sum(F.length("text") + 16)).first()[0] or 0
+    size = written_size(benchmark)
     rows = docs.select("doc_id", *(carried or []), F.col("text").cast("binary").alias("_text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
     if size <= small_chars:
         texts = [(r["id"], bytes(r["text"] or b"")) for r in _named(benchmark).collect()]
-        held = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, texts))
+        shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, texts))
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = _shared(held)
+            items = _shared(shared)
             for batch in batches:
                 yield _judge(batch.drop_columns(["_text"]), batch["_text"], lambda _: items)
 
@@ -235,7 +239,7 @@ def _judge_by_join(rows: DataFrame, items: DataFrame, fields: str) -> DataFrame:
     ours = rows.select("_key", "_text").mapInArrow(lambda b: fingerprint(b, False), "gram long, key long")
     theirs = items.withColumn("row", F.xxhash64("id", "text"))
     theirs_grams = theirs.select("row", "text").mapInArrow(lambda b: fingerprint(b, True), "gram long, key long")
-    pairs = ours.withColumnRenamed("key", "_key").join(theirs_grams.withColumnRenamed("key", "row"), "gram").select("_key", "row").distinct()
+    pairs = _shared_grams(cut(ours.withColumnRenamed("key", "_key")), theirs_grams.withColumnRenamed("key", "row")).distinct()
     candidates = (
         pairs.join(theirs.dropDuplicates(["row"]), "row")
         .groupBy("_key")
@@ -258,6 +262,21 @@ def _judge_by_join(rows: DataFrame, items: DataFrame, fields: str) -> DataFrame:
     return joined.select(*order, "_text", "_key", "_candidates").mapInArrow(verify, f"{fields}, {FOUND}")
 
 
+def _shared_grams(ours: DataFrame, theirs: DataFrame, hot_share: float = HOT_SHARE) -> DataFrame:
+    """(_key, row) for every gram of (gram, _key) that is also one of (gram, row).
+
+    Grams with more than ``hot_share`` of all rows, at most 1 / ``hot_share`` of them, are dealt out: the
+    documents' rows over ``DEALT`` places, the items' rows to each of these.
+    """
+    total = ours.count()
+    hot = F.broadcast(ours.groupBy("gram").count().filter(F.col("count") > total * hot_share).select("gram", F.lit(DEALT).alias("places")))
+    spread = F.when(F.col("places").isNull(), 0).otherwise(F.pmod(F.xxhash64("_key"), F.lit(DEALT))).cast("int")
+    left = ours.join(hot, "gram", "left").select("gram", spread.alias("place"), "_key")
+    everywhere = F.sequence(F.lit(0), F.coalesce("places", F.lit(1)) - 1)
+    right = theirs.join(hot, "gram", "left").select("gram", F.explode(everywhere).alias("place"), "row")
+    return left.join(right, ["gram", "place"]).select("_key", "row")
+
+
 def _short_lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts = {len(words_of(raw.as_py())) for raw in batch["text"]}

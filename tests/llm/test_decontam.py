@@ -69,3 +69,32 @@ def test_winnowing_keeps_a_gram_of_every_window():
         inside = picked[(picked >= i) & (picked < i + 9)]
         assert (grams[inside] == grams[i : i + 9].min()).any()
     assert len(picked) < 0.35 * len(grams)
+
+
+def test_items_without_text_and_long_ids_count_in_the_size(spark):
+    rows = [("i" * 1000 + str(i), None) for i in range(50)] + [(None, "abc")]
+    benchmark = spark.createDataFrame(rows, "item_id string, text string")
+    assert decontam.written_size(benchmark) >= 50_000
+    assert decontam.written_size(benchmark.filter("false")) == 0
+    docs = spark.createDataFrame([(1, "abc def")], "doc_id long, text string")
+    got = {small: tuple(decontam.judge(docs, benchmark, small_chars=small).first()) for small in (decontam.SMALL_CHARS, 0)}
+    assert got[0] == got[decontam.SMALL_CHARS] == (1, 2, 1, ["null"], True)
+
+
+def test_hot_grams_are_dealt_out(spark):
+    ours = spark.range(2000).selectExpr("if(id % 3 = 0, 5, id) AS gram", "id AS _key")
+    theirs = spark.range(300).selectExpr("if(id % 2 = 0, 5, id) AS gram", "id AS row")
+    wanted = sorted(map(tuple, ours.join(theirs, "gram").select("_key", "row").collect()))
+    for share in (0.001, 1.0):
+        assert sorted(map(tuple, decontam._shared_grams(ours, theirs, share).collect())) == wanted
+
+
+def test_a_worker_keeps_one_thing_at_a_time():
+    from basketry.llm import held
+
+    made = []
+    keep = lambda key: held.held(key, lambda: made.append(key) or [key])
+    first = keep("a")
+    assert keep("a") is first and made == ["a"]
+    keep("b")
+    assert list(held._kept) == ["b"] and keep("a") is not first
