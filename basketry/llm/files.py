@@ -9,6 +9,13 @@ from __future__ import annotations
 import uuid
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system named, as Spark itself would resolve it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def locate(path: str) -> tuple[fs.FileSystem, str]:

@@ -199,6 +199,7 @@ class ShardFile:
 
 def write_corpus(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Encode and write all documents; one row per file written, in (part, roll) order of the ids."""
+    folder = files.qualified(docs.sparkSession, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)

@@ -127,6 +127,7 @@ def deduplicated(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 def write_packages(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write records as from ``deduplicated``; one row (path, n_records) per package."""
+    folder = files.qualified(records.sparkSession, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         package = None
