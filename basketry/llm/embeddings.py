@@ -9,6 +9,9 @@ about a seventh of the bits, so a table holds both with probability 0.16 and 20
 centred. So pairs at the least cosine are made from the sample, and the substrings get as long as they can
 be, up to ``BITS``, for ``FOUND`` of them to meet. A pair counts in the first table only in which it meets.
 
+Buckets hold codes of ``CODE_BITS`` bits only. A vector travels to a bucket if its code lies within a Hamming
+distance of another one there, which ``KEPT`` of the made pairs keep; cosines decide among those.
+
 Copies travel as one vector with their number. A bucket is compared in blocks of ``BLOCK`` vectors;
 a larger one is split into blocks and every two blocks meet in one group, so no group is
 unbounded and no pair is left out. Pairs never leave their task: what does is the number of links of
@@ -37,6 +40,8 @@ SAMPLE = 20_000
 LEAST_COSINE = 0.9
 BITS = 12
 TABLES = 20
+CODE_BITS = 128  # of the code that is compared before vectors travel
+KEPT = 0.995  # share of the pairs made at the least cosine whose codes must be near
 FOUND = 0.96  # share of the pairs made at the least cosine that must meet in a table
 TRIED = 4_000  # of these pairs of a sort
 BLOCK = 2048
@@ -163,6 +168,77 @@ def _valid(rows: DataFrame) -> DataFrame:
     return rows.withColumn("vector", F.when(fits & good, doubles))
 
 
+def _matrix(values: pa.Array) -> np.ndarray:
+    """Rows of an array of lists of one length, as doubles."""
+    return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1).astype(float)
+
+
+def codes(vectors: np.ndarray, mean: np.ndarray, projections: np.ndarray) -> np.ndarray:
+    """``CODE_BITS`` signs of each vector, or as many as the rotations give, in whole 64-bit words."""
+    wanted = projections[: -(-CODE_BITS // vectors.shape[1])]
+    signs = np.concatenate([(vectors - mean) @ p >= 0 for p in wanted], 1)[:, :CODE_BITS]
+    signs = np.pad(signs, ((0, 0), (0, -signs.shape[1] % 64)))
+    return np.packbits(signs, axis=1, bitorder="little").view("<u8")
+
+
+def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances of codes."""
+    return np.bitwise_count(a ^ b).sum(-1, dtype=np.int64)
+
+
+def farthest_code(sample: np.ndarray, least: float, rotations: tuple[np.ndarray, np.ndarray]) -> int:
+    """The Hamming distance within which ``KEPT`` of each sort of made pairs at the least cosine lie."""
+    pairs = made_pairs(sample, least)
+    distances = [np.quantile(apart(codes(a, *rotations), codes(b, *rotations)), KEPT) for a, b in pairs]
+    return int(np.ceil(max(distances, default=CODE_BITS)))
+
+
+def near_codes(code: np.ndarray, block: np.ndarray, across: bool, farthest: int) -> np.ndarray:
+    """Which rows have another one (``across``: of another block) within the distance."""
+    some = np.zeros(len(code), bool)
+    for start in range(0, len(code) if len(code) > 1 else 0, 256):
+        part = slice(start, start + 256)
+        near = sum(np.bitwise_count(code[part, None, w] ^ code[None, :, w]).astype(np.int16) for w in range(code.shape[1])) <= farthest
+        own = np.arange(len(near))
+        near[own, own + start] = False
+        if across:
+            near &= block[part, None] != block[None, :]
+        some[part] |= near.any(1)
+    return some
+
+
+def _by_group(rows: DataFrame, group: list[str], compare, schema: str) -> DataFrame:
+    """``compare(rows of a group, its name)`` for every group of rows that lie side by side in their task."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_back: pa.Table | None = None
+
+        def each(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            names = np.stack([table[c].to_numpy() for c in group], 1)
+            ends = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1).tolist(), len(names)]
+            out = [compare(table.slice(a, b - a), names[a]) for a, b in zip(ends, ends[1:], strict=False) if b - a > 1]
+            out = [o for o in out if len(o["idx"])]
+            if out:
+                yield pa.RecordBatch.from_pydict({c: np.concatenate([o[c] for o in out]) for c in out[0]})
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            table = pa.Table.from_batches([batch])
+            if held_back is not None:
+                table = pa.concat_tables([held_back, table])
+            names = np.stack([table[c].to_numpy() for c in group], 1)
+            last = np.flatnonzero((names != names[-1]).any(1))
+            done = int(last[-1]) + 1 if len(last) else 0
+            if done:
+                yield from each(table.slice(0, done))
+            held_back = table.slice(done)  # its group may go on: at most two blocks
+        if held_back is not None:
+            yield from each(held_back)
+
+    return rows.mapInArrow(work, schema)
+
+
 def near_duplicates(
     embeddings: DataFrame,
     least: float = LEAST_COSINE,
@@ -182,74 +258,53 @@ def near_duplicates(
         learned /= np.linalg.norm(learned, axis=1, keepdims=True)
     length = learned.shape[1] if len(learned) else classes.select(F.max(F.size("vector"))).first()[0] or 1
     bits, rotations = choose_bits(learned.reshape(-1, length), least, min(bits, length), tables)
-    held = spark.sparkContext.broadcast(rotations)
+    held = spark.sparkContext.broadcast((rotations, farthest_code(learned.reshape(-1, length), least, rotations)))
     # Vectors travel as they are stored; four bytes hold a float exactly.
-    stored = "<f4" if dict(embeddings.dtypes)["embedding"] == "array<float>" else "<f8"
+    stored = "array<float>" if dict(embeddings.dtypes)["embedding"] == "array<float>" else "array<double>"
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            vectors = batch["vector"].flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
-            keys = substrings(unit(vectors), *held.value, bits, tables)
-            raw = [v.tobytes() for v in vectors.astype(stored)]
-            codes = [k.tobytes() for k in keys]
+            vectors = unit(_matrix(batch["vector"]))
+            keys = substrings(vectors, *held.value[0], bits, tables)
+            code = pa.array([c.tobytes() for c in codes(vectors, *held.value[0])], pa.binary())
             for t in range(keys.shape[1]):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([t] * len(raw), pa.int32()), pa.array(keys[:, t].astype(np.int64)), batch["idx"], batch["copies"], pa.array(codes, pa.binary()), pa.array(raw, pa.binary())],
-                    ["t", "bucket", "idx", "copies", "codes", "raw"],
-                )
-
-    keyed = classes.select("idx", "copies", "vector").mapInArrow(index, "t int, bucket long, idx long, copies long, codes binary, raw binary")
-    # Few buckets are larger than a block, so this join seldom has to move the vectors.
-    large = keyed.groupBy("t", "bucket").count().filter(F.col("count") > block)
-    large = large.select("t", "bucket", F.ceil(F.col("count") / block).alias("blocks"))
-    met = keyed.join(large, ["t", "bucket"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[:, t].astype(np.int64) | (t << 32)), batch["idx"], code], ["bucket", "idx", "code"])
+
+    keyed = classes.select("idx", "vector").mapInArrow(index, "bucket long, idx long, code binary")
+    # Few buckets are larger than a block, so this join seldom has to move the codes.
+    large = keyed.groupBy("bucket").count().filter(F.col("count") > block)
+    large = large.select("bucket", F.ceil(F.col("count") / block).alias("blocks"))
+    met = keyed.join(large, "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
     met = met.withColumn("mine", F.pmod(F.xxhash64("idx"), F.col("blocks")))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     met = met.withColumns({"lo": F.least("mine", "other"), "hi": F.greatest("mine", "other")}).drop("blocks", "other")
-    group = ["t", "bucket", "lo", "hi"]
+    group = ["bucket", "lo", "hi"]
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = met.repartition(partitions, *group).sortWithinPartitions(*group, "mine", "idx")
 
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_back: pa.Table | None = None
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition(partitions, *group).sortWithinPartitions(*group, "mine", "idx")
 
-        def compare(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            names = np.stack([table[c].to_numpy() for c in group], 1)
-            ends = [*(np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1).tolist(), len(names)]
-            idx, copies, own = (table[c].to_numpy() for c in ("idx", "copies", "mine"))
-            vectors = unit(np.frombuffer(b"".join(table["raw"].to_pylist()), stored).reshape(len(idx), -1).astype(float))
-            keys = np.frombuffer(b"".join(table["codes"].to_pylist()), "<u4").reshape(len(idx), -1)
-            out, start = [], 0
-            for end in ends:
-                part = slice(start, end)
-                across = bool(names[start, 2] != names[start, 3])
-                links, root = link_group(int(names[start, 0]), vectors[part], keys[part], copies[part], own[part], across, least)
-                linked = np.flatnonzero(links)
-                if len(linked):
-                    out.append((idx[part][linked], links[linked], idx[part][root[linked]]))
-                start = end
-            if out:
-                columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["idx", "links", "root"])
+    def close(part: pa.Table, names: np.ndarray) -> dict[str, np.ndarray]:
+        """Rows whose code is near another one's in their group."""
+        own, code = part["mine"].to_numpy(), np.frombuffer(b"".join(part["code"].to_pylist()), "<u8").reshape(len(part), -1)
+        some = np.flatnonzero(near_codes(code, own, names[1] != names[2], held.value[1]))
+        return {c: part[c].to_numpy()[some] for c in (*group, "mine", "idx")}
 
-        for batch in batches:
-            if not len(batch):
-                continue
-            table = pa.Table.from_batches([batch])
-            if held_back is not None:
-                table = pa.concat_tables([held_back, table])
-            names = np.stack([table[c].to_numpy() for c in group], 1)
-            last = np.flatnonzero((names != names[-1]).any(1))
-            done = int(last[-1]) + 1 if len(last) else 0
-            if done:
-                yield from compare(table.slice(0, done))
-            held_back = table.slice(done)  # its group may go on: at most two blocks
-        if held_back is not None:
-            yield from compare(held_back)
+    def verify(part: pa.Table, names: np.ndarray) -> dict[str, np.ndarray]:
+        """Links of a group's vectors, by their cosine."""
+        idx, copies, own = (part[c].to_numpy() for c in ("idx", "copies", "mine"))
+        vectors = unit(_matrix(part["vector"].combine_chunks()))
+        keys = substrings(vectors, *held.value[0], bits, tables)
+        links, root = link_group(int(names[0]) >> 32, vectors, keys, copies, own, bool(names[1] != names[2]), least)
+        linked = np.flatnonzero(links)
+        return {"idx": idx[linked], "links": links[linked], "root": idx[root[linked]]}
 
-    found = cut(dealt.mapInArrow(link, "idx long, links long, root long"))
+    near = _by_group(dealt(met), group, close, "bucket long, lo long, hi long, mine long, idx long")
+    # Only vectors with a near code travel.
+    fetched = near.join(classes.select("idx", "copies", F.col("vector").cast(stored).alias("vector")), "idx")
+    found = cut(_by_group(dealt(fetched), group, verify, "idx long, links long, root long"))
     links = found.groupBy("idx").agg(F.sum("links").alias("links"))
     classed = connected_components(found.select(F.col("idx").alias("a"), F.col("root").alias("b")))
     placed = (

@@ -112,3 +112,20 @@ def test_query_recall_on_the_table(spark):
     assert all(got[i]["n_links"] <= n for (i, _), (n, _) in zip(rows, wanted, strict=True))
     assert found >= 0.97 * sum(n for n, _ in wanted)
     assert sum(got[i]["component_id"] == c for (i, _), (_, c) in zip(rows, wanted, strict=True)) >= 0.99 * len(rows)
+
+
+def test_codes_drop_strangers_and_keep_neighbours():
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rotations = embeddings.learn_rotations(x, 4)
+    farthest = embeddings.farthest_code(x, 0.9, rotations)
+    pairs = embeddings.made_pairs(x, 0.9, seed=9)
+    for a, b in pairs:
+        assert (embeddings.apart(embeddings.codes(a, *rotations), embeddings.codes(b, *rotations)) <= farthest).mean() > 0.985
+    assert embeddings.codes(x, *rotations).shape == (1500, 2)
+    near = embeddings.near_codes(embeddings.codes(x, *rotations), np.zeros(1500, int), False, farthest)
+    assert near.mean() < 0.01  # of strangers
+    twice = np.concatenate([x[:50], x[:50]])
+    block = np.repeat([0, 1], 50)
+    assert embeddings.near_codes(embeddings.codes(twice, *rotations), block, True, farthest).all()
