@@ -19,7 +19,7 @@ from basketry.session import cut
 
 SCALED = tuple(f"{c}_scaled" for c in METRICS)
 NOISE = -1
-MAX_ITER, TOLERANCE = 300, 1e-4  # iterations at most, and the movement of a center that counts as rest
+MAX_ITER, TOLERANCE = 300, 1e-4  # iterations at most, and the squared movement of a center that counts as rest
 SEED_PASSES = 2  # k-means|| passes over all rows before the first iteration
 PARALLEL = 8  # fits side by side
 TASK_ROWS = 50_000  # rows of one task in a fit, about
@@ -92,7 +92,7 @@ def fit_starts(
 
     def fit(job: tuple[int, int]) -> Centers:
         k, seed = job
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tolerance, initMode="k-means||", initSteps=SEED_PASSES).fit(vectors)
+        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tolerance**0.5, initMode="k-means||", initSteps=SEED_PASSES).fit(vectors)
         return Centers(np.array(model.clusterCenters()), float(model.summary.trainingCost), model.summary.numIter)
 
     with ThreadPoolExecutor(parallelism) as pool:

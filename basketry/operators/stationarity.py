@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketry.functions.expressions import normal_cdf
@@ -39,7 +40,8 @@ def _lags(z: Column, k: Column, n: Column) -> Column:
 
 
 def level_test(series: DataFrame) -> DataFrame:
-    """Adds the level-stationarity test (data-driven lag rule) to rows of (z, n): z is standardized."""
+    """Adds the level-stationarity test (data-driven lag rule) to rows of (z, upto, n): standardized values and
+    their running sums from 0 on."""
     z, n = F.col("z"), F.col("n")
     pilot = F.transform(F.sequence(F.lit(0), F.floor(F.pow(n, F.lit(2 / 9))).cast("int")), lambda k: _lags(z, k, n))
     total = lambda values: F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
@@ -49,11 +51,10 @@ def level_test(series: DataFrame) -> DataFrame:
     lags = F.least(F.coalesce(F.floor(width).cast("int"), F.lit(0)), n - 1)
     chosen = F.col("kpss_n_lags")
     # The triangular weights add up to squared sums of ``chosen + 1`` neighbours, zero beyond the ends.
-    upto = F.aggregate(z, F.array(F.lit(0.0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
     square = lambda x: x * x
-    window = lambda j: F.get("_upto", F.least(n, j + chosen + 1)) - F.get("_upto", F.greatest(F.lit(0), j))
+    window = lambda j: F.get("upto", F.least(n, j + chosen + 1)) - F.get("upto", F.greatest(F.lit(0), j))
     windows = F.aggregate(F.sequence(-chosen, n - 1), F.lit(0.0), lambda acc, j: acc + square(window(j)))
-    partial = F.aggregate("_upto", F.lit(0.0), lambda acc, x: acc + square(x))
+    partial = F.aggregate("upto", F.lit(0.0), lambda acc, x: acc + square(x))
     statistic = F.try_divide(partial, n.cast("double") * n * F.col("_long"))
     points = list(zip(KPSS_CRITICAL.values(), KPSS_P, strict=True))
     p_value = F.lit(points[-1][1])
@@ -64,11 +65,10 @@ def level_test(series: DataFrame) -> DataFrame:
     return (
         series.withColumn("_pilot", pilot)
         .withColumn("kpss_n_lags", F.when(F.col("flat"), F.lit(0)).otherwise(lags))
-        .withColumn("_upto", upto)
         .withColumn("_long", windows / (n * (chosen + 1)))
         .withColumn("kpss_statistic", F.when(F.col("flat"), nan).otherwise(F.coalesce(statistic, nan)))
         .withColumn("kpss_p_value", F.when(F.isnan("kpss_statistic"), nan).otherwise(p_value))
-        .drop("_pilot", "_upto", "_long")
+        .drop("_pilot", "_long")
     )
 
 
@@ -85,31 +85,46 @@ def _counting(first: Column, last: Column) -> Column:
     return F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
 
 
-def _products(lags: Column, skip: Column) -> Column:
-    """Sums and products of constant, level and lagged changes from position ``skip`` on.
+def _across(lags: Column, skip: Column) -> Column:
+    """``[d][i]``: sum of products of the changes i and i + d days before, from position ``skip`` on.
 
-    Products of two lags differ from those of the two lags before only at both ends of the rows, so
-    ``across[d][i]``, of the changes i and i + d days before, needs one pass over the rows for every d.
+    From one i to the next the products only differ at both ends of the rows, so every d needs one pass.
     """
     rows = F.size("change") - skip
     before = lambda k: F.slice("change", skip - k + 1, rows)
-    level = F.slice("z", skip + 1, rows)
-    every = F.sequence(F.lit(0), lags)
-    total = lambda values: F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
     at = lambda i: F.get("change", i)
 
     def diagonal_of(d: Column) -> Column:
-        first = F.array(dot(before(F.lit(0)), before(d)))
         ends = lambda r: at(skip - 1 - r) * at(skip - 1 - r - d) - at(skip + rows - 1 - r) * at(skip + rows - 1 - r - d)
+        first = F.array(dot(before(F.lit(0)), before(d)))
         return F.aggregate(_counting(F.lit(1), lags - d), first, lambda acc, i: F.concat(acc, F.array(F.element_at(acc, -1) + ends(i - 1))))
 
+    return F.transform(F.sequence(F.lit(0), lags), diagonal_of)
+
+
+def _products(lags: Column, skip: Column, across: Column) -> Column:
+    """Sums and products of constant, level and lagged changes: lag by lag, again from both ends of the rows.
+
+    The level is the level a day before plus the change since, which adds the products of changes.
+    """
+    rows = F.size("change") - skip
+    level, target = F.slice("z", skip + 1, rows), F.slice("change", skip + 1, rows)
+    total = lambda values: F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+    change, height = (lambda i: F.get("change", i)), (lambda i: F.get("z", i))
+
+    def following(first: Column, step) -> Column:
+        return F.aggregate(_counting(F.lit(1), lags), F.array(first), lambda acc, k: F.concat(acc, F.array(F.element_at(acc, -1) + step(k))))
+
+    def moved(k: Column) -> Column:
+        return height(skip - 1) * change(skip - k) - height(skip + rows - 1) * change(skip + rows - k) + F.get(F.get(across, k - 1), F.lit(1))
+
     return F.struct(
         rows.cast("double").alias("rows"),
         total(level).alias("level"),
         dot(level, level).alias("level_level"),
-        F.transform(every, lambda k: total(before(k))).alias("sums"),
-        F.transform(every, lambda k: dot(level, before(k))).alias("with_level"),
-        F.transform(every, diagonal_of).alias("across"),
+        following(total(target), lambda k: change(skip - k) - change(skip + rows - k)).alias("sums"),
+        following(dot(level, target), moved).alias("with_level"),
+        across.alias("across"),
     )
 
 
@@ -146,14 +161,16 @@ def unit_root_test(series: DataFrame) -> DataFrame:
     return (
         series.withColumn("change", F.zip_with(F.slice("z", F.lit(2), n - 1), F.slice("z", F.lit(1), n - 1), lambda a, b: a - b))
         .withColumn("_most", F.when(F.col("flat"), F.lit(-1)).otherwise(most))
-        .withColumn("_products", F.when(F.col("_most") >= 0, _products(F.col("_most"), F.col("_most"))))
+        .withColumn("_across", F.when(F.col("_most") >= 0, _across(F.col("_most"), F.col("_most"))))
+        .withColumn("_products", F.when(F.col("_most") >= 0, _products(F.col("_most"), F.col("_most"), F.col("_across"))))
         .withColumn("_order", F.when(F.col("_most") >= 0, _order(F.col("_most"), False)))
         .withColumn("_gram", _gram(F.col("_products"), F.col("_order")))
         .withColumn("_lengths", diagonal(F.col("_gram")))
         .withColumn("_path", corner_path(F.col("_gram"), F.col("_most") + 2, F.col("_lengths")))
         .withColumn("_aic", aic)
         .withColumn("adf_n_lags", F.when(tested, (F.array_position("_aic", F.array_min("_aic")) - 1).cast("int")).otherwise(0))
-        .withColumn("_products", F.when(tested, _products(F.col("adf_n_lags"), F.col("adf_n_lags"))))
+        .withColumn("_across", F.when(tested, _across(F.col("adf_n_lags"), F.col("adf_n_lags"))))
+        .withColumn("_products", F.when(tested, _products(F.col("adf_n_lags"), F.col("adf_n_lags"), F.col("_across"))))
         .withColumn("_order", F.when(tested, _order(F.col("adf_n_lags"), True)))
         .withColumn("_gram", _gram(F.col("_products"), F.col("_order")))
         .withColumn("_lengths", diagonal(F.col("_gram")))
@@ -162,7 +179,7 @@ def unit_root_test(series: DataFrame) -> DataFrame:
         .withColumn("adf_n_obs", F.when(tested, used).otherwise(0))
         .withColumn("adf_p_value", unit_root_p_value(F.col("adf_statistic")))
         .withColumn("adf_critical", _critical(F.col("adf_n_obs")))
-        .drop("change", "_most", "_products", "_order", "_gram", "_lengths", "_path", "_aic", "_left")
+        .drop("change", "_most", "_across", "_products", "_order", "_gram", "_lengths", "_path", "_aic", "_left")
     )
 
 
@@ -197,15 +214,18 @@ def run_tests(long: DataFrame) -> DataFrame:
     both = keyed.withColumn("form", F.lit("level")).unionByName(
         first_difference(keyed).withColumn("form", F.lit("diff1"))
     )
-    ordered = F.array_sort(F.collect_list(F.struct("ds", F.col("y").cast("double").alias("y"))))
-    # Moments are aggregates: an expression over the array would be evaluated anew for every element of it.
-    values = both.groupBy(F.col("_series").alias("series_id"), "column", "form").agg(
-        F.transform(ordered, lambda r: r["y"]).alias("ys"), F.count("*").cast("int").alias("n"),
+    # Moments and running sums are taken over rows: an expression over the array would be evaluated for every element.
+    running = F.sum(F.col("y").cast("double")).over(W.partitionBy("_series", "column", "form").orderBy("ds"))
+    day = F.struct("ds", F.col("y").cast("double").alias("y"), "running")
+    values = both.withColumn("running", running).groupBy(F.col("_series").alias("series_id"), "column", "form").agg(
+        F.array_sort(F.collect_list(day)).alias("days"), F.count("*").cast("int").alias("n"),
         F.avg("y").alias("_mean"), F.stddev_pop("y").alias("_spread"), (F.min("y") == F.max("y")).alias("flat"),
     )
     # Both statistics are the same for any origin and scale, and sums of products are exact enough for this one.
-    scaled = F.transform("ys", lambda x: F.coalesce(F.try_divide(x - F.col("_mean"), F.col("_spread")), F.lit(0.0)))
-    series = values.withColumn("z", scaled).drop("ys", "_mean", "_spread")
+    scaled = lambda value: F.coalesce(F.try_divide(value, F.col("_spread")), F.lit(0.0))
+    z = F.transform("days", lambda r: scaled(r["y"] - F.col("_mean")))
+    sums = F.transform("days", lambda r, i: scaled(r["running"] - (i + 1) * F.col("_mean")))
+    series = values.withColumns({"z": z, "upto": F.concat(F.array(F.lit(0.0)), sums)}).drop("days", "_mean", "_spread")
     tested = unit_root_test(level_test(series))
     return tested.select("series_id", "column", "form", F.col("n").cast("long").alias("n_observations"), *TESTS)
 

@@ -44,7 +44,7 @@ class Rung:
     share: float
 
 
-RUNGS = (Rung(None, 3, 1 / 3), Rung(20, 9, 1.0), Rung(6, 27, 1.0), Rung(2, None, 1.0))
+RUNGS = (Rung(None, 2, 1 / 3), Rung(15, 6, 1.0), Rung(5, 18, 1.0), Rung(2, None, 1.0))
 
 
 def classifier(config: TreeConfig, label: str, seed: int) -> GBTClassifier:
