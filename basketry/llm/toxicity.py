@@ -6,7 +6,8 @@ the letters it may stand for and what that costs; Viterbi search finds the path
 trigram model of the whole corpus and the channel together find likeliest. Words without any sign of
 disguise are their own only path; one with doubled letters counts as written and as restored. Tokens of
 any length are searched, long ones in overlapping parts. Letters that the character model does not know
-stand for themselves. Each distinct token is decoded once per worker.
+stand for themselves. Each distinct token is decoded once per worker; words of letters alone that start like no
+feature of the model are neither decoded nor remembered when texts are scored.
 
 The score is a logistic model over the restored words and their beginnings, so that inflected forms
 share what is learned; a feature that by itself all but settles the label counts as much as it did there. Words and beginnings are chosen by their association with the labels, and all
@@ -68,6 +69,7 @@ JUNK = re.compile(r"([^\w\s])\1{2,}$")
 DOUBLE = re.compile(r"(.)\1")
 TRIPLE = re.compile(r"(.)\1\1")
 REPEATED = re.compile(r"(.)\1{3,}")
+PLAIN = re.compile(f"[{LETTERS}]+")
 LONG = 40  # characters from which a token may also be an address or a key, so its plain words count as well
 PIECE, LAP = 400, 60  # characters of a token that are searched at a time, and how many of them again with the next
 INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
@@ -274,19 +276,38 @@ class Model:
     bias: float = 0.0
 
 
-class Scorer:
-    """Scores texts; remembers for every token which weights its words bring."""
+class Heads(dict):
+    """The first three letters of a word -> whether any of the named features may lie in such a word.
 
-    def __init__(self, model: Model):
-        self.restorer, self.model = Restorer(log_model(model.counts)), model
+    The search only shortens runs of a letter. Without a doubled letter among the first three these stay, and
+    every feature of a word, the word and its beginnings, starts with them.
+    """
+
+    def __init__(self, names):
+        super().__init__()
+        self.starts = {f[:3] for f in names}
+
+    def __missing__(self, head: str) -> bool:
+        self[head] = may = head in self.starts or DOUBLE.search(head) is not None
+        return may
+
+
+class Finder:
+    """Finds named features in texts; remembers for every token that may hold some which they are."""
+
+    def __init__(self, counts: np.ndarray, names):
+        self.restorer, self.names, self.heads = Restorer(log_model(counts)), names, Heads(names)
         self.known: dict[str, tuple[str, ...]] = {}
 
     def _of_words(self, words) -> tuple[str, ...]:
-        return tuple(f for f in features_of(set(words)) if f in self.model.weights)
+        return tuple(f for f in features_of(set(words)) if f in self.names)
 
-    def score(self, text: str | None) -> float:
-        low, known, found = (text or "").lower(), self.known, set()
+    def found(self, text: str | None) -> set[str]:
+        low, known, heads, found = (text or "").lower(), self.known, self.heads, set()
         for token in set(low.split()):
+            word = token.strip(EDGES)
+            if not heads[word[:3]] and len(word) <= PIECE and word.isalpha() and (word.isascii() or PLAIN.fullmatch(word)):
+                continue  # one word, however it is read, that starts like none of the features
             hits = known.get(token)
             if hits is None:
                 if len(known) > CACHED:
@@ -296,6 +317,18 @@ class Scorer:
                 found.update(hits)
         for run in spelled_runs(low):
             found.update(self._of_words(viterbi(run, self.restorer.logp).split()))
+        return found
+
+
+class Scorer(Finder):
+    """Scores texts by the weights of a model."""
+
+    def __init__(self, model: Model):
+        super().__init__(model.counts, model.weights)
+        self.model = model
+
+    def score(self, text: str | None) -> float:
+        found = self.found(text)
         margin = self.model.bias + math.fsum(self.model.weights[f] for f in found)
         together = 1 / (1 + math.exp(-max(-50.0, min(50.0, margin))))
         return max(together, max((self.model.alone.get(f, 0.0) for f in found), default=0.0))
@@ -391,11 +424,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = spark.sparkContext.broadcast(index)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = _scorer(shared.value).restorer
+        finder = held(("toxicity features", shared.value.name), lambda: Finder(shared.value.counts, known.value))
         for batch in batches:
-            rows = [
-                sorted(known.value[f] for f in features_of(restorer.words(text.as_py() or "")) if f in known.value) for text in batch[1]
-            ]
+            rows = [sorted(known.value[f] for f in finder.found(text.as_py())) for text in batch[1]]
             yield pa.RecordBatch.from_arrays([batch[0], pa.array(rows, pa.list_(pa.int32()))], ["toxic", "features"])
 
     rows = train.mapInArrow(encode, "toxic int, features array<int>").collect()  # the bounded sample

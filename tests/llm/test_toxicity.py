@@ -118,6 +118,40 @@ def test_counts_equal_a_plain_count():
     assert (got == wanted).all()
 
 
+FEATURES = ["idiot", "idi-", "moro-", "scum", "aardv-", "llam-", "lam-", "ab", "grün-", "éé", "sco-"]
+
+
+def _every_feature(restorer, text):
+    return {f for f in toxicity.features_of(restorer.words(text)) if f in FEATURES}
+
+
+def test_skipped_words_hold_no_feature():
+    finder = toxicity.Finder(toxicity.trigram_counts(CORPUS), set(FEATURES))
+    texts = [
+        "iiddiioott idiotic morooons scumm sccum llamas llllama laaamas aardvark aaab aabb abb ééé «grünes» GRÜN, ab.",
+        "x" * 500 + "idiot " + "ab" * 300 + " lla" * 3 + " i d i o t m.o.r.o.n.s \u200bidiot id\u00adiot (scum)!!! ѕcum 1d10t", "", " ",
+    ]
+    for text in texts:
+        assert finder.found(text) == _every_feature(finder.restorer, text), text
+    assert finder.found(None) == set()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("aabdilmostcué0.!' ")), max_size=40))
+def test_skipped_words_of_any_text(text):
+    finder = toxicity.Finder(np.zeros(toxicity.SIZE**3, np.int64), set(FEATURES))
+    assert finder.found(text) == _every_feature(finder.restorer, text)
+
+
+def test_words_without_weight_take_no_memory():
+    scorer = toxicity.Scorer(toxicity.Model(weights={"idiot": 5.0, "idi-": 1.0}, bias=-3.0))
+    rng = random.Random(4)
+    for _ in range(50):
+        scorer.score(" ".join("".join(rng.sample("abcdefgh", 5)) + rng.choice(["", ".", ", "]) for _ in range(200)))
+    assert not scorer.known
+    assert scorer.score("you 1d10t") > 0.9 and len(scorer.known) == 1
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     rng = random.Random(9)
