@@ -108,6 +108,38 @@ def test_trained_additions_keep_the_base_and_leave_clean_text_alone(spark, docum
     assert redacted[5] == "[EMAIL]" and redacted[None] is None and redacted[-1] == ""
 
 
+def test_every_document_trains(spark, documents):
+    """The few documents that hold proposals are found among many that hold none."""
+    many = spark.range(100_000).selectExpr("id + 10000 as doc_id", "'the lorem' as text")
+    model, alone = pii.fit(documents.select("doc_id", "text").unionByName(many)), pii.fit(documents)
+    assert model.thresholds and model.thresholds == pytest.approx(alone.thresholds)
+
+
+def test_alike_proposals_weigh_as_many(spark, documents, monkeypatch):
+    once = {(r["kind"], r["label"], tuple(r["features"])): r["n"] for r in pii._training_rows(documents).collect()}
+    monkeypatch.setattr(pii, "CHUNK", 1)
+    rows = pii._training_rows(documents.unionAll(documents).repartition(3)).collect()
+    assert {(r["kind"], r["label"], tuple(r["features"])): r["n"] for r in rows} == {k: 2 * n for k, n in once.items()}
+    assert sum(once.values()) > 1000 > len(rows)
+
+
+def test_thresholds_equal_a_plain_walk(spark):
+    rng = random.Random(5)
+    bounds, levels = np.array([0.0, 0.3, 0.6, 0.9, 1.0]), np.array([0.1, 0.1, 0.97, 0.99, 1.0])
+    rows = [(k, round(x, 3), float(rng.random() < x + 0.1 * (k == 0)), rng.randrange(1, 5)) for k in range(4) for x in (rng.random() ** 0.1 for _ in range(400))]
+    rows += [(1, 0.95, 0.0, 20), (3, 0.999, 0.0, 10_000)]
+    wanted = {}
+    for kind in range(4):
+        mine = [(float(np.interp(x, bounds, levels)), label, n) for k, x, label, n in rows if k == kind]
+        for level in {m[0] for m in mine}:
+            right = sum(n * label for at, label, n in mine if at >= level)
+            total = sum(n for at, _, n in mine if at >= level)
+            if right >= pii.LEAST_SUPPORT and right >= pii.PRECISION * total:
+                wanted[kind] = min(wanted.get(kind, 1.0), level)
+    got = pii._thresholds(spark.createDataFrame(rows, "kind int, score double, label double, n long"), bounds, levels)
+    assert got == {k: max(v, pii.PRECISION) for k, v in wanted.items()} and got and 3 not in got
+
+
 def test_trees_in_tasks_score_as_the_fitted_model(spark, documents):
     """Held-out proposals of confirmed kinds get calibrated scores near one."""
     model = pii.fit(documents)
