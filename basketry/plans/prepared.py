@@ -47,10 +47,14 @@ def flagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Later stages read the staged Parquet with pushed filters and pruned columns instead of
     repeating the joins and the full-row deduplication. Changed files are staged anew.
+
+    An invoice number holds its order's key, so rows are equal with the key if they are without it; with it, equal
+    rows already meet where the orders were joined, and the lines of an invoice stay together.
     """
     key = (spark.sparkContext.applicationId, sf_dir, _version(spark, sf_dir))
     if key not in _staged:
-        flagged = cleaning.flag_lines(cleaning.dedupe(raw_lines(spark, sf_dir)))
+        lines = sales_lines(spark, sf_dir, carried=("l_orderkey",))
+        flagged = cleaning.flag_lines(cleaning.dedupe(lines).drop("l_orderkey"))
         flagged = flagged.withColumn("is_sale", cleaning.is_real_sale())
         _staged[key] = stage(flagged.sortWithinPartitions("invoice_date"), "flagged_lines")
     return _staged[key]

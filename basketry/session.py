@@ -3,10 +3,19 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections import Counter
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_freeing: Counter[int] = Counter()  # open scopes by session
+_before: dict[int, str] = {}
+_scopes = threading.Lock()
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
@@ -27,10 +36,33 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries planned inside leave no shuffle files: they go when the query has run.
+
+    Otherwise they stay on the executors' disks until the driver happens to collect its garbage, and those of
+    every step add up. Scopes may overlap in threads; the setting is as before when the last one ends.
+    """
+    key = id(spark)
+    with _scopes:
+        if not _freeing[key]:
+            _before[key] = spark.conf.get(FREED)
+            spark.conf.set(FREED, "true")
+        _freeing[key] += 1
+    try:
+        yield
+    finally:
+        with _scopes:
+            _freeing[key] -= 1
+            if not _freeing[key]:
+                spark.conf.set(FREED, _before.pop(key))
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint."""
+    """Cut the lineage of ``df`` with a reliable checkpoint; its shuffle files go."""
     shared_dir(df.sparkSession)
-    return df.checkpoint()
+    with shuffles_freed(df.sparkSession):
+        return df.select("*").checkpoint()  # planned in this scope
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -46,7 +78,8 @@ def drop_staged(spark: SparkSession) -> None:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back."""
+    """Write ``df`` once as Parquet in the shared folder and read it back; its shuffle files go."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -27,10 +27,14 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(wanted), *keys) if wanted else df
 
 
-def sales_lines(spark: SparkSession, sf_dir: str, of_orders: Column | None = None) -> DataFrame:
+def sales_lines(
+    spark: SparkSession, sf_dir: str, of_orders: Column | None = None, carried: tuple[str, ...] = ()
+) -> DataFrame:
     """Raw transaction lines, one row per invoice line, duplicates included.
 
-    ``of_orders`` restricts the orders before anything is joined to them.
+    ``of_orders`` restricts the orders before anything is joined to them. ``carried`` names columns of the
+    star schema that stay beside the raw ones. Without a restriction the orders come last: their columns
+    then travel once, and the lines of an order lie together.
     """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
@@ -49,7 +53,10 @@ def sales_lines(spark: SparkSession, sf_dir: str, of_orders: Column | None = Non
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select("l_suppkey", F.col("r_name").alias("country"))
     )
-    joined = lines.join(orders, "l_orderkey").join(parts, "l_partkey").join(countries, "l_suppkey")
+    if of_orders is None:
+        joined = lines.join(parts, "l_partkey").join(countries, "l_suppkey").join(orders, "l_orderkey")
+    else:
+        joined = lines.join(orders, "l_orderkey").join(parts, "l_partkey").join(countries, "l_suppkey")
 
     mix = F.col("l_orderkey") * 7 + F.col("l_linenumber")
     order, part = F.col("l_orderkey"), F.col("l_partkey")
@@ -75,4 +82,5 @@ def sales_lines(spark: SparkSession, sf_dir: str, of_orders: Column | None = Non
         "country",
         F.concat(F.lit("P"), F.year("o_orderdate").cast("string")).alias("source_sheet"),
         F.explode(copies).alias("copy"),
-    ).select(*RAW.fieldNames())
+        *carried,
+    ).select(*RAW.fieldNames(), *carried)

@@ -1,14 +1,18 @@
 """Kept state: sketches, batches, quarantined records, repeated appends, changed inputs."""
 
+import re
 import shutil
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.operators import customer_state, daily, rfm, runs, series, sketches
+from basketry import session
+from basketry.operators import cleaning, customer_state, daily, rfm, runs, series, sketches
 from basketry.plans import prepared
 from basketry.sources import readers, sinks
+from basketry.sources.order_sales import sales_lines
 from basketry.sources.schemas import RUNS
 
 
@@ -153,3 +157,39 @@ def test_one_outlier_does_not_move_the_seasonal_means(spark):
     assert max(abs(plain[d] - clean[d]) for d in range(7)) > 10
     weights = series.decompose_robust(_weekly(spark, True)).orderBy("weight").first()
     assert weights["weight"] == 0 and weights["observed"] > 3000
+
+
+def _shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in dirs for f in Path(d).rglob("shuffle_*.data")}
+
+
+def test_staged_and_cut_tables_leave_no_shuffle_files(spark):
+    before, setting = _shuffle_files(spark), spark.conf.get(session.FREED)
+    summed = spark.range(1000).repartition(5).groupBy((F.col("id") % 7).alias("k")).count()
+    staged, checkpointed = session.stage(summed, "freed"), session.cut(summed)
+    assert not _shuffle_files(spark) - before
+    assert sorted(staged.collect()) == sorted(checkpointed.collect()) == sorted(summed.collect())
+    assert spark.conf.get(session.FREED) == setting
+
+
+def test_equal_lines_meet_where_the_orders_are_joined(spark, tmp_path):
+    """Without an exchange for the full rows; keys may repeat and be missing."""
+    for name in prepared.SOURCES:
+        rows = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        if name in ("orders", "lineitem", "part"):
+            key = rows.columns[0]
+            none = rows.limit(20).withColumn(key, F.lit(None).cast(rows.schema[key].dataType))
+            rows = rows.unionByName(rows.filter(F.col(key) % 3 == 0)).unionByName(none)
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = sales_lines(spark, str(tmp_path), carried=("l_orderkey",))
+        text = cleaning.dedupe(lines)._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"HashAggregate\(.*\n\s*\+- HashAggregate\(.*\n\s*\+- Project", text)
+        got = prepared.flagged_lines(spark, str(tmp_path)).drop("is_sale")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    expected = cleaning.flag_lines(cleaning.dedupe(sales_lines(spark, str(tmp_path), F.lit(True))))
+    assert expected.count() > 1000 and got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
