@@ -67,6 +67,7 @@ def drift_interval(spark, sf_dir):
         ("churn", _churn_snapshots(spark, sf_dir), drift.CHURN_COLUMNS),
         ("forecast", _demand_snapshots(spark, sf_dir), drift.DEMAND_COLUMNS),
     ):
+        rows = stage(rows, "snapshots")  # for the sketches and the exact distances
         kept = stage(sketches.quantile_sketches(rows, list(columns), ["snapshot"]), "snapshot_sketches")
         part = [kept.filter(F.col("snapshot") == s) for s in ("reference", "current")]
         interval = sketches.distances(*part).select("column", "ks_low", "ks_high")

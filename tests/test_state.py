@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from basketry import session
 from basketry.operators import cleaning, customer_state, daily, rfm, runs, series, sketches
-from basketry.plans import prepared
+from basketry.plans import prepared, state_queries
 from basketry.sources import readers, sinks
 from basketry.sources.order_sales import sales_lines
 from basketry.sources.schemas import RUNS
@@ -193,3 +193,8 @@ def test_equal_lines_meet_where_the_orders_are_joined(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     expected = cleaning.flag_lines(cleaning.dedupe(sales_lines(spark, str(tmp_path), F.lit(True))))
     assert expected.count() > 1000 and got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+
+
+def test_drift_interval_reads_its_snapshots_once(spark, sf):
+    files = state_queries.drift_interval(spark, sf).inputFiles()
+    assert files and not [f for f in files if "flagged_lines" in f]
