@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.mllib.common import _py2java
+from pyspark.mllib.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,8 +25,8 @@ SCALED = tuple(f"{c}_scaled" for c in METRICS)
 NOISE = -1
 MAX_ITER, TOLERANCE = 300, 1e-4  # iterations at most, and the squared movement of a center that counts as rest
 SEED_PASSES = 2  # k-means|| passes over all rows before the first iteration
-PARALLEL = 8  # fits side by side
-TASK_ROWS = 50_000  # rows of one task in a fit, about
+PARALLEL = 4  # starts side by side; each keeps two numbers a row
+TASK_ROWS = 200_000  # rows of one task in a fit, about
 # Qualifiers for clusters that share a base name, by falling monetary mean.
 QUALIFIERS = ("premium", "core", "emerging", "marginal")
 
@@ -73,32 +77,103 @@ class Centers:
         return rows.withColumn(name, nearest["i"])
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A batch of rows as one binary block, coordinate by coordinate."""
+    for batch in batches:
+        if batch.num_rows:
+            block = np.array([c.to_numpy(zero_copy_only=False) for c in batch.columns], dtype=float)
+            if np.isnan(block).any():
+                raise ValueError("NULL or NaN among the values to cluster")
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block.tobytes()], pa.binary())})
+
+
+def _nearest(block: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """The number of the nearest center of every point (a column of ``block``), the smaller one on a tie."""
+    far = (-2 * centers) @ block  # squared distances, less what all centers have in common
+    far += (centers * centers).sum(1)[:, None]
+    label, least = np.zeros(block.shape[1], dtype=np.intp), far[0]
+    for j in range(1, len(centers)):
+        np.putmask(label, far[j] < least, j)
+        np.minimum(least, far[j], out=least)
+    return label
+
+
+def _sums(blocks: Iterator[np.ndarray], fits: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """Points and sums of coordinates by nearest center, for the centers of all fits one below the other."""
+    out = [np.zeros((len(c), 1 + c.shape[1])) for c in fits]
+    for block in blocks:
+        for total, centers in zip(out, fits, strict=True):
+            label = _nearest(block, centers)
+            for column, weights in enumerate([None, *block]):
+                total[:, column] += np.bincount(label, weights, len(centers))
+    yield np.concatenate(out)
+
+
+def _costs(blocks: Iterator[np.ndarray], fits: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """The sum of squared distances to the nearest center, by fit."""
+    out = np.zeros(len(fits))
+    for block in blocks:
+        for i, centers in enumerate(fits):
+            apart = block - centers.T[:, _nearest(block, centers)]
+            out[i] += (apart * apart).sum()
+    yield out
+
+
 def fit_starts(
     rows: DataFrame, jobs: list[tuple[int, int]], columns: tuple[str, ...] = SCALED,
     max_iter: int = MAX_ITER, tolerance: float = TOLERANCE, parallelism: int = PARALLEL,
 ) -> dict[tuple[int, int], Centers]:
-    """A fit of every (k, seed) pair, several side by side.
+    """A fit of every (k, seed) pair.
 
-    First centers come from k-means|| passes over all rows: each pass draws rows with a chance that
+    First centers come from MLlib's k-means|| passes over all rows: each pass draws rows with a chance that
     grows with their distance to the centers so far, so a small group far from the others is met however
-    many rows there are. ``rows`` should be cached or checkpointed.
+    many rows there are. The iterations of all fits then share their passes: one job moves the centers of every
+    fit that is not at rest, over blocks of rows that are packed once. Only sums per center reach the driver.
+    Rests, empty clusters and costs are as in MLlib's ``KMeans``. ``rows`` should be cached or checkpointed.
     """
-    vectors = as_vectors(rows.select(*columns), columns).select("features")
-    size = vectors.count()
+    spark = rows.sparkSession
+    points = rows.select([F.col(c).cast("double").alias(c) for c in columns])
+    size = points.count()
     if not size:
         raise ValueError("no rows to cluster")
-    vectors = vectors.repartition(max(1, -(-size // TASK_ROWS))).cache()
-    vectors.count()
-
-    def fit(job: tuple[int, int]) -> Centers:
+    packed = points.repartition(max(1, -(-size // TASK_ROWS))).mapInArrow(_packed, "block binary")
+    n = len(columns)
+    blocks = packed.rdd.map(lambda row: np.frombuffer(row["block"]).reshape(n, -1)).persist(StorageLevel.MEMORY_AND_DISK)
+    # Deserialized in the JVM once, since each start reads all of them seven times.
+    vectors = _py2java(spark.sparkContext, blocks.flatMap(lambda block: map(Vectors.dense, block.T))).rdd()
+    vectors.persist(spark._jvm.org.apache.spark.storage.StorageLevel.MEMORY_AND_DISK())
+
+    def first_centers(job: tuple[int, int]) -> np.ndarray:
         k, seed = job
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tolerance**0.5, initMode="k-means||", initSteps=SEED_PASSES).fit(vectors)
-        return Centers(np.array(model.clusterCenters()), float(model.summary.trainingCost), model.summary.numIter)
+        start = spark._jvm.org.apache.spark.mllib.clustering.KMeans().setK(k).setSeed(seed).setMaxIterations(0)
+        model = start.setInitializationMode("k-means||").setInitializationSteps(SEED_PASSES).run(vectors)
+        return np.array([list(c.toArray()) for c in model.clusterCenters()])
 
     with ThreadPoolExecutor(parallelism) as pool:
-        done = dict(zip(jobs, pool.map(fit, jobs), strict=True))
-    vectors.unpersist()
-    return done
+        centers = dict(zip(jobs, pool.map(first_centers, jobs), strict=True))
+    vectors.unpersist(False)
+
+    measured, iterations = dict(centers), dict.fromkeys(centers, 0)
+    moving = list(centers) if max_iter else []
+    while moving:
+        fits = [centers[job] for job in moving]
+        parts = blocks.mapPartitions(lambda part, fits=fits: _sums(part, fits)).collect()
+        ends = np.cumsum([len(c) for c in fits])
+        unrested = []
+        for job, sums in zip(moving, np.split(np.sum(parts, axis=0), ends[:-1]), strict=True):
+            measured[job], held = centers[job], sums[:, 0] > 0
+            moved = centers[job].copy()
+            moved[held] = sums[held, 1:] * (1.0 / sums[held, :1])
+            rests = (((moved - centers[job]) ** 2).sum(1) <= tolerance).all()
+            centers[job] = moved
+            iterations[job] += 1
+            if not rests and iterations[job] < max_iter:
+                unrested.append(job)
+        moving = unrested
+    fits = [measured[job] for job in centers]
+    costs = np.sum(blocks.mapPartitions(lambda part: _costs(part, fits)).collect(), axis=0)
+    blocks.unpersist()
+    return {job: Centers(centers[job], float(cost), iterations[job]) for job, cost in zip(centers, costs, strict=True)}
 
 
 def fit_kmeans(rows: DataFrame, k: int, seed: int = 42, n_init: int = 10, max_iter: int = MAX_ITER) -> Centers:

@@ -323,3 +323,23 @@ def test_target_is_decided_by_all_series(spark, tmp_path, names):
     records = runs.run_records(worst, jobs.EXPERIMENTS["forecast"], F.lit(jobs.ENSEMBLE_RUN), ["n_series"], ["best_ensemble_mape"])
     verdict = jobs._constraints(records).first()["constraints"]["forecast"]
     assert verdict["mape"] == 40.0 and verdict["mape_meets_target"] is False
+
+
+def test_fits_are_those_of_the_library_and_share_their_passes(spark):
+    from pyspark.ml.clustering import KMeans
+
+    rng = np.random.default_rng(8)
+    points = rng.lognormal(0, 0.7, (4000, 3))
+    rows = spark.createDataFrame([tuple(map(float, p)) for p in points], list(segmentation.SCALED)).coalesce(1).cache()
+    rows.count()
+    wanted = [(k, s) for k in (2, 5, 9) for s in range(4)]
+    jobs_before = spark._jsc.sc().dagScheduler().nextJobId()
+    fits = segmentation.fit_starts(rows, wanted)
+    ran = spark._jsc.sc().dagScheduler().nextJobId() - jobs_before
+    # Seven jobs of a start at most, one of an iteration of all fits, and a few around them.
+    assert ran <= 8 * len(wanted) + max(f.iterations for f in fits.values()) + 6
+    vectors = segmentation.as_vectors(rows).repartition(1).cache()
+    for (k, seed), fit in fits.items():
+        model = KMeans(k=k, seed=seed, maxIter=segmentation.MAX_ITER, tol=segmentation.TOLERANCE**0.5, initSteps=segmentation.SEED_PASSES).fit(vectors)
+        assert fit.iterations == model.summary.numIter and fit.cost == pytest.approx(model.summary.trainingCost)
+        assert fit.centers == pytest.approx(np.array(model.clusterCenters()), abs=1e-9)
