@@ -237,15 +237,17 @@ def davies_bouldin(
     """Mean over clusters of the worst (scatter + scatter) / centroid distance; noise is left out.
 
     ``by`` names columns that separate several clusterings. Only the centroids of one clustering
-    meet in one row.
+    meet in one row. The centroids go to the members, which are not shuffled.
     """
     members = labelled.filter(F.col(cluster) != NOISE).select(*by, F.col(cluster).alias("c"), *columns)
     centroids = members.groupBy(*by, "c").agg(F.array(*[F.avg(x) for x in columns]).alias("centroid"))
+    centroids = F.broadcast(centroids)
     spread = (
         members.join(centroids, [*by, "c"])
         .withColumn("d", _distance(F.array(*[F.col(x) for x in columns]), F.col("centroid")))
         .groupBy(*by, "c")
-        .agg(F.avg("d").alias("s"), F.first("centroid").alias("centroid"))
+        .agg(F.avg("d").alias("s"))  # beside an array it would be an aggregate of sorted members
+        .join(centroids, [*by, "c"])
     )
     everyone = spread.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("c", "s", "centroid"))).alias("all"))
 

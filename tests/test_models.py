@@ -343,3 +343,17 @@ def test_fits_are_those_of_the_library_and_share_their_passes(spark):
         model = KMeans(k=k, seed=seed, maxIter=segmentation.MAX_ITER, tol=segmentation.TOLERANCE**0.5, initSteps=segmentation.SEED_PASSES).fit(vectors)
         assert fit.iterations == model.summary.numIter and fit.cost == pytest.approx(model.summary.trainingCost)
         assert fit.centers == pytest.approx(np.array(model.clusterCenters()), abs=1e-9)
+
+
+def test_members_of_clusters_are_not_shuffled_to_their_centroids(spark):
+    rows = [(i, i % 3, *np.random.default_rng(i).normal(i % 3, 0.1, 3).tolist()) for i in range(60)]
+    labelled = spark.createDataFrame(rows, ["customer_id", "cluster", *segmentation.SCALED]).withColumn("k", F.lit(3))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        index = segmentation.davies_bouldin(labelled, segmentation.SCALED, by=("k",))
+        text = index._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in text and "SortAggregate" not in text
+        assert 0 < index.first()["davies_bouldin"] < 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
